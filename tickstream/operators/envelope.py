@@ -17,8 +17,9 @@ def price_key() -> Column:
     return F.concat_ws("|", "ticker", "bar_time")
 
 
-def to_messages(df: DataFrame, payload: StructType, key: Column, topic: str) -> DataFrame:
-    """One message per row: key and JSON value as bytes, plus the topic.
+def to_messages(df: DataFrame, payload: StructType, key: Column, topic: str,
+                *extra: Column) -> DataFrame:
+    """One message per row: key and JSON value as bytes, the topic, ``extra`` columns.
 
     NULL fields are written out, so that every message has the same fields.
     """
@@ -27,6 +28,7 @@ def to_messages(df: DataFrame, payload: StructType, key: Column, topic: str) ->
         key.cast("binary").alias("key"),
         value.cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
+        *extra,
     )
 
 

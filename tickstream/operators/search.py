@@ -145,6 +145,7 @@ class BestHits:
         for start in range(0, len(queries), QUERY_SLICE):
             rows = slice(start, start + QUERY_SLICE)
             scores = np.round(queries[rows] @ vectors.T, SCORE_DIGITS)
+            scores = np.where(np.isnan(scores), -np.inf, scores + 0.0)
             take = self._first_k(scores)
             self._merge(rows, np.take_along_axis(scores, take, 1), ids[take])
 

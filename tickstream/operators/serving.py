@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,12 +23,16 @@ def latest_attention(sentiment: DataFrame, n: int = LATEST_DAYS) -> DataFrame:
     return sentiment.orderBy(F.desc("published_date")).limit(n)
 
 
-def price_snapshot(daily: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Latest daily bar of every ticker, its change and its 52-week range.
+def price_snapshot(daily: DataFrame, tickers: Sequence[str] | None = None,
+                   as_of: Column | None = None) -> DataFrame:
+    """Latest daily bar of every (or every named) ticker, its change and 52-week range.
 
     ``as_of`` ignores later days. A ticker has one row per calendar day here, so
     its window partition is bounded by the length of its history in days.
     """
+    if tickers is not None:
+        names = [t.strip().upper() for t in tickers]
+        daily = daily.filter(normal_ticker(F.col("ticker")).isin(names))
     if as_of is not None:
         daily = daily.filter(F.col("bar_date") <= F.to_date(as_of))
     by_day = Window.partitionBy("ticker").orderBy("bar_date")
@@ -35,8 +41,7 @@ def price_snapshot(daily: DataFrame, as_of: Column | None = None) -> DataFrame:
     days = F.unix_date("bar_date")
     year = Window.partitionBy("ticker").orderBy(days).rangeBetween(-YEAR_RANGE_DAYS, 0)
     return (
-        daily.withColumn("ticker", normal_ticker(F.col("ticker")))
-        .withColumns({
+        daily.withColumns({
             "prev_close": F.lag("close").over(by_day),
             "year_high": F.max("high").over(year),
             "year_low": F.min("low").over(year),
@@ -57,7 +62,7 @@ def price_snapshot(daily: DataFrame, as_of: Column | None = None) -> DataFrame:
 def snapshot_text(snapshot: DataFrame) -> DataFrame:
     """The snapshot as display strings."""
     return snapshot.select(
-        "ticker",
+        normal_ticker(F.col("ticker")).alias("ticker"),
         money(F.col("close")).alias("latest_close"),
         signed_change(F.col("change"), F.col("change_pct")).alias("daily_change"),
         F.format_number("volume", 0).alias("volume"),

@@ -2,43 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DataType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
+
+TEXT = StringType()
+REAL = DoubleType()
+WHOLE = LongType()
 
 
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+def _schema(**columns: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
 NEWS_PAYLOAD = _schema(
-    "ingested_at STRING, source_name STRING, author STRING, title STRING, "
-    "description STRING, url STRING, published_at STRING, content STRING"
+    ingested_at=TEXT, source_name=TEXT, author=TEXT, title=TEXT,
+    description=TEXT, url=TEXT, published_at=TEXT, content=TEXT,
 )
 
 PRICE_PAYLOAD = _schema(
-    "ingested_at STRING, ticker STRING, bar_time STRING, "
-    "open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume BIGINT"
+    ingested_at=TEXT, ticker=TEXT, bar_time=TEXT,
+    open=REAL, high=REAL, low=REAL, close=REAL, volume=WHOLE,
 )
 
 ENVELOPE = _schema(
-    "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, "
-    "timestamp TIMESTAMP, timestampType INT"
+    key=BinaryType(), value=BinaryType(), topic=TEXT, partition=IntegerType(),
+    offset=WHOLE, timestamp=TimestampType(), timestampType=IntegerType(),
 )
 
 # One article as the feed delivers it. ``position`` is its place in the feed.
 RAW_ARTICLE = _schema(
-    "source STRUCT<name: STRING>, author STRING, title STRING, description STRING, "
-    "url STRING, publishedAt STRING, content STRING, "
-    "category STRING, language STRING, position BIGINT"
+    source=_schema(name=TEXT), author=TEXT, title=TEXT, description=TEXT,
+    url=TEXT, publishedAt=TEXT, content=TEXT,
+    category=TEXT, language=TEXT, position=WHOLE,
 )
 
 RAW_BAR = _schema(
-    "ticker STRING, bar_time_ts TIMESTAMP, "
-    "open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume BIGINT"
+    ticker=TEXT, bar_time_ts=TimestampType(),
+    open=REAL, high=REAL, low=REAL, close=REAL, volume=WHOLE,
 )
 
 VECTORS = _schema(
-    "vec_id BIGINT, embedding ARRAY<FLOAT>, title STRING, url STRING, "
-    "source_name STRING, published_at STRING, text STRING"
+    vec_id=WHOLE, embedding=ArrayType(FloatType()), title=TEXT, url=TEXT,
+    source_name=TEXT, published_at=TEXT, text=TEXT,
 )
 
 GOLD_ANOMALY_COLUMNS = (
