@@ -54,10 +54,7 @@ def part_bars(lineitem: DataFrame) -> DataFrame:
     price = F.try_divide("l_extendedprice", "l_quantity")
     line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     return (
-        lineitem.groupBy(
-            F.concat(F.lit("P"), F.col("l_partkey")).alias("ticker"),
-            F.col("l_shipdate").cast("timestamp").alias("bar_time_ts"),
-        )
+        lineitem.groupBy("l_partkey", "l_shipdate")
         .agg(
             F.min_by(price, line).alias("open"),
             F.max(price).alias("high"),
@@ -65,7 +62,12 @@ def part_bars(lineitem: DataFrame) -> DataFrame:
             F.max_by(price, line).alias("close"),
             F.sum("l_quantity").cast("bigint").alias("volume"),
         )
-        .withColumn("price_range", F.col("high") - F.col("low"))
+        .select(
+            F.concat(F.lit("P"), F.col("l_partkey")).alias("ticker"),
+            F.col("l_shipdate").cast("timestamp").alias("bar_time_ts"),
+            "open", "high", "low", "close", "volume",
+            (F.col("high") - F.col("low")).alias("price_range"),
+        )
     )
 
 
@@ -98,7 +100,8 @@ def bronze_prices(bars: DataFrame) -> DataFrame:
 
 
 def _articles(documents: DataFrame) -> DataFrame:
-    lines = F.size(F.split("text", "\n"))
+    one_line = ~F.contains("text", F.lit("\n"))
+    over_three_lines = F.substring_index("text", "\n", 3) != F.col("text")
     desk = F.substring_index("source", "src", -1).cast("int")
     minutes = F.col("n_chars").cast("int")
     published = instant(NEWS_START) + F.make_interval(mins=minutes)
@@ -109,12 +112,12 @@ def _articles(documents: DataFrame) -> DataFrame:
         F.when(F.col("source") != "src0", F.col("source")).alias("source_name"),
         F.concat("lang", F.lit(" desk")).alias("author"),
         F.when(F.col("n_chars") < 40, F.lit(REMOVED_TITLE))
-        .when((lines > 1) | (F.col("n_chars") < 400), F.substring_index("text", "\n", 1))
+        .when(~one_line | (F.col("n_chars") < 400), F.substring_index("text", "\n", 1))
         .alias("title"),
         F.nullif(F.split_part("text", F.lit("\n"), F.lit(2)), F.lit("")).alias("description"),
-        F.when((F.col("source") != "src2") | (lines > 1),
+        F.when((F.col("source") != "src2") | ~one_line,
                F.concat(F.lit("https://news.example/"), F.md5("text"))).alias("url"),
-        F.when(lines == 1, F.lit("n/a"))
+        F.when(one_line, F.lit("n/a"))
         .when(F.col("lang") == "de",
               F.concat(F.date_format(published + F.expr("INTERVAL 1 HOUR"), clock),
                        F.lit("+01:00")))
@@ -125,7 +128,7 @@ def _articles(documents: DataFrame) -> DataFrame:
         F.when(F.col("source") != "src1",
                F.concat("text", F.lit(" [+"), "n_chars", F.lit(" chars]"))).alias("content"),
         arrival.alias("arrival"),
-        F.when(lines > 3, F.lit("business")).otherwise(F.lit("general")).alias("category"),
+        F.when(over_three_lines, F.lit("business")).otherwise(F.lit("general")).alias("category"),
         F.col("lang").alias("language"),
         F.col("doc_id").alias("position"),
     )

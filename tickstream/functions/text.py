@@ -40,13 +40,14 @@ def compose_text(title: Column, description: Column, content: Column) -> Column:
 
 
 def words(text: Column) -> Column:
+    """The words of a text in lower case."""
     return F.split(F.lower(text), NON_WORD)
 
 
-def has_all_words(text: Column, phrase: str) -> Column:
-    """True when every word of the phrase occurs in the text as a whole word."""
+def has_all_words(tokens: Column, phrase: str) -> Column:
+    """True when every word of the phrase is among the tokens; NULL without tokens."""
     wanted = F.array(*[F.lit(w) for w in phrase.lower().split()])
-    return F.size(F.array_except(wanted, words(text))) == 0
+    return F.size(F.array_except(wanted, tokens)) == 0
 
 
 def excerpt(text: Column, chars: int = EXCERPT_CHARS) -> Column:

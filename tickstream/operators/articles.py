@@ -17,40 +17,39 @@ from tickstream.constants import (
     SEARCH_PHRASES,
     SEARCHES_PER_CYCLE,
 )
-from tickstream.functions.text import has_all_words
+from tickstream.functions.text import has_all_words, words
 from tickstream.functions.times import iso_instant, iso_string, lookback_start, stamp
 from tickstream.operators.dedup import one_per_key, top_per_group
 from tickstream.schemas import NEWS_PAYLOAD
 
 
-def headlines(articles: DataFrame, category: str = HEADLINE_CATEGORY,
-              language: str = FEED_LANGUAGE) -> DataFrame:
-    """Feed 0: the articles of one category and language."""
-    return articles.filter(
-        (F.col("category") == category) & (F.col("language") == language)
-    ).withColumn("feed", F.lit(0))
+def is_headline(category: str = HEADLINE_CATEGORY, language: str = FEED_LANGUAGE) -> Column:
+    return (F.col("category") == category) & (F.col("language") == language)
 
 
-def recent(articles: DataFrame, as_of: Column, hours: int = LOOKBACK_HOURS) -> DataFrame:
-    """Articles published on or after the day ``hours`` before ``as_of``."""
-    return articles.filter(iso_instant(F.col("publishedAt")) >= lookback_start(as_of, hours))
+def is_recent(as_of: Column, hours: int = LOOKBACK_HOURS) -> Column:
+    """Published on or after the day ``hours`` before ``as_of``."""
+    return iso_instant(F.col("publishedAt")) >= lookback_start(as_of, hours)
 
 
-def searches(articles: DataFrame,
-             phrases: Sequence[str] = SEARCH_PHRASES[:SEARCHES_PER_CYCLE],
-             language: str = FEED_LANGUAGE) -> DataFrame:
-    """Feeds 1, 2, ...: one row for every phrase an article matches.
+def cycle_feeds(articles: DataFrame, as_of: Column,
+                phrases: Sequence[str] = SEARCH_PHRASES[:SEARCHES_PER_CYCLE],
+                category: str = HEADLINE_CATEGORY, language: str = FEED_LANGUAGE,
+                hours: int = LOOKBACK_HOURS) -> DataFrame:
+    """The headline feed and one search feed per phrase, in one table.
 
-    All phrases are tested in a single pass over the articles.
+    Feed 0 holds the headlines; feed n the recent articles with all words of
+    phrase n in title or description. An article has one row per feed it is in.
+    All feeds come out of a single pass over the articles.
     """
+    searchable = (F.col("language") == language) & is_recent(as_of, hours)
     text = F.concat_ws(" ", "title", "description")
-    feeds = F.array(*[
-        F.when(has_all_words(text, phrase), F.lit(number))
+    tokens = articles.withColumn("_words", F.when(searchable, words(text)))
+    feeds = [F.when(is_headline(category, language), F.lit(0))] + [
+        F.when(has_all_words(F.col("_words"), phrase), F.lit(number))
         for number, phrase in enumerate(phrases, start=1)
-    ])
-    return articles.filter(F.col("language") == language).withColumn(
-        "feed", F.explode(F.array_compact(feeds))
-    )
+    ]
+    return tokens.withColumn("feed", F.explode(F.array_compact(F.array(*feeds)))).drop("_words")
 
 
 def page(feeds: DataFrame, headlines_page: int = HEADLINES_PAGE,
@@ -69,16 +68,6 @@ def page(feeds: DataFrame, headlines_page: int = HEADLINES_PAGE,
     return ranked.filter(F.col("_rn") <= size).drop("_rn")
 
 
-def cycle_feeds(articles: DataFrame, as_of: Column,
-                phrases: Sequence[str] = SEARCH_PHRASES[:SEARCHES_PER_CYCLE],
-                category: str = HEADLINE_CATEGORY, language: str = FEED_LANGUAGE,
-                hours: int = LOOKBACK_HOURS) -> DataFrame:
-    """Headlines and recent search hits in one table, repeats included."""
-    return headlines(articles, category, language).unionByName(
-        searches(recent(articles, as_of, hours), phrases, language)
-    )
-
-
 def normalise_articles(feeds: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Usable articles in payload form, each url once.
 

@@ -5,16 +5,18 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickstream.constants import EMBED_BATCH
-from tickstream.functions.text import compose_text, strip_all
+from tickstream.functions.text import body_without_tail, compose_text
 from tickstream.functions.vectors import l2_normalise
+from tickstream.session import ship_package
 
 # An embedding model: texts in, one vector per text out, in the same order.
 Embedder = Callable[[Sequence[str]], Sequence[Sequence[float]]]
@@ -26,21 +28,21 @@ TOKEN = re.compile("[0-9A-Za-zÀ-ɏ]+")
 
 
 @functools.lru_cache(maxsize=1 << 17)
-def _slot(token: str) -> tuple[int, float]:
+def _slot(token: str) -> tuple[int, int]:
     digest = hashlib.md5(token.encode("utf-8")).hexdigest()
-    return int(digest[:8], 16), 1.0 if int(digest[8], 16) < 8 else -1.0
+    return int(digest[:8], 16), 1 if int(digest[8], 16) < 8 else -1
 
 
 def hash_embedder(dim: int = 64) -> Embedder:
     """Offline embedder: signed counts of hashed tokens."""
 
-    def embed(texts: Sequence[str]) -> list[np.ndarray]:
+    def embed(texts: Sequence[str]) -> list[list[float]]:
         out = []
         for text in texts:
-            vector = np.zeros(dim, dtype=np.float64)
-            for token in TOKEN.findall(text.lower()):
+            vector = [0.0] * dim
+            for token, count in Counter(TOKEN.findall(text.lower())).items():
                 number, sign = _slot(token)
-                vector[number % dim] += sign
+                vector[number % dim] += sign * count
             out.append(vector)
         return out
 
@@ -54,6 +56,7 @@ def embed_texts(text: Column, make_embedder: Callable[[], Embedder],
     ``make_embedder`` runs once per task, which is where a service client or a
     model file is opened.
     """
+    ship_package(SparkSession.active())
 
     @F.pandas_udf("array<double>")
     def call(chunks: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -73,15 +76,20 @@ def embed_texts(text: Column, make_embedder: Callable[[], Embedder],
 
 
 def article_texts(news: DataFrame, *keep: str) -> DataFrame:
-    """Articles with their embedding text; those without any text are left out."""
-    return news.select(
+    """Articles with their embedding text; those without any part are left out.
+
+    A part carries its label, so a text is blank only when it has no part at all.
+    """
+    title, description, content = F.col("title"), F.col("description"), F.col("content")
+    any_part = (title != "") | (description != "") | (body_without_tail(content) != "")
+    return news.filter(any_part).select(
         *keep,
         "title",
         "url",
         "source_name",
         "published_at",
-        compose_text(F.col("title"), F.col("description"), F.col("content")).alias("text"),
-    ).filter(strip_all(F.col("text")) != "")
+        compose_text(title, description, content).alias("text"),
+    )
 
 
 def message_id() -> Column:
@@ -104,7 +112,7 @@ def build_vectors(news: DataFrame, make_embedder: Callable[[], Embedder] = hash_
 
 
 def index_stats(vectors: DataFrame, titles: int) -> DataFrame:
-    """Number of vectors, their dimension and the first titles by id."""
+    """Number of vectors, their dimension and the first titles by id, in one row."""
     counts = vectors.agg(
         F.count("*").alias("articles_indexed"),
         F.max(F.size("embedding")).alias("embedding_dim"),
@@ -114,7 +122,9 @@ def index_stats(vectors: DataFrame, titles: int) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("vec_id", "title"))).alias("_first"))
         .select(F.col("_first.title").alias("sample_titles"))
     )
-    # Both sides are one row.
-    return counts.withColumn("_one", F.lit(1)).join(
-        first.withColumn("_one", F.lit(1)), "_one"
-    ).drop("_one")
+    # Two rows, each with the columns the other lacks.
+    return counts.unionByName(first, allowMissingColumns=True).agg(
+        F.max("articles_indexed").alias("articles_indexed"),
+        F.max("embedding_dim").alias("embedding_dim"),
+        F.max("sample_titles").alias("sample_titles"),
+    )

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # A series longer than this is cut into spans of about this many rows.
 SPLIT_ROWS = 250_000
+# Up to this many long series are looked up by broadcast.
+MAX_SENT_SERIES = 100_000
 
 
 def with_rolling(df: DataFrame, key: str, ts: str, rows: int,
@@ -20,24 +22,21 @@ def with_rolling(df: DataFrame, key: str, ts: str, rows: int,
     ``stats`` maps an output column to a function of the window; ``inputs`` names
     the columns those functions read. ``ts`` must not be NULL.
 
-    A window partitioned by ``key`` alone would sort a whole series in one task.
-    Series longer than ``split_rows`` are therefore cut into spans of equal time,
-    and every span is given a copy of the ``rows - 1`` rows that precede it, so
-    the frames are the same as on the uncut series. ``split_rows=None`` turns the
-    cutting off.
+    A window partitioned by ``key`` alone sorts a whole series in one task. Rows
+    per series are therefore counted first, and series longer than ``split_rows``
+    are cut into spans of equal time. Every span gets a copy of the ``rows - 1``
+    rows that precede it, so the frames are those of the uncut series. The count
+    reads two columns of ``df``, which should be a stored table.
+    ``split_rows=None`` skips count and cutting.
     """
     order = [ts, *ties]
-    if split_rows is None:
+    spans = None if split_rows is None else _long_series(df, key, ts, split_rows)
+    if spans is None:
         return df.withColumns(_apply(stats, Window.partitionBy(key).orderBy(*order), rows))
 
-    spans = _spans(df, key, ts, split_rows)
-    # At most (row count / split_rows) series are that long, so this side stays
-    # small at any table size.
-    cut = df.join(F.broadcast(spans), key, "left")
     elapsed = F.unix_micros(ts) - F.col("_start")
-    cut = cut.withColumn(
-        "_span", F.coalesce(F.floor(elapsed / F.col("_width")), F.lit(0)).cast("long")
-    )
+    span = F.floor(elapsed / F.col("_width")).cast("long")
+    cut = df.join(spans, key, "left").withColumn("_span", F.coalesce(span, F.lit(0)))
     lead_in = _lead_in(
         cut.filter(F.col("_width").isNotNull()), key, order, inputs, rows - 1
     )
@@ -58,16 +57,18 @@ def _apply(stats: dict[str, Callable[[WindowSpec], Column]], window: WindowSpec,
     return {name: stat(frame) for name, stat in stats.items()}
 
 
-def _spans(df: DataFrame, key: str, ts: str, split_rows: int) -> DataFrame:
-    """Start and span width (microseconds) of every series that has to be cut."""
-    return (
-        df.groupBy(key)
+def _long_series(df: DataFrame, key: str, ts: str, split_rows: int) -> DataFrame | None:
+    """Start and span width (microseconds) of the series to be cut, if there are any."""
+    micros = F.unix_micros(ts)
+    long = (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(key)
         .agg(
             F.count("*").alias("_n"),
-            F.min(F.unix_micros(ts)).alias("_start"),
-            F.max(F.unix_micros(ts)).alias("_end"),
+            F.min(micros).alias("_start"),
+            F.max(micros).alias("_end"),
         )
-        .filter((F.col("_n") > split_rows) & F.col(key).isNotNull())
+        .filter(F.col("_n") > split_rows)
         .select(
             key,
             "_start",
@@ -78,6 +79,12 @@ def _spans(df: DataFrame, key: str, ts: str, split_rows: int) -> DataFrame:
             ).cast("long").alias("_width"),
         )
     )
+    found = long.limit(MAX_SENT_SERIES + 1).toArrow()
+    if found.num_rows == 0:
+        return None
+    if found.num_rows > MAX_SENT_SERIES:
+        return long
+    return F.broadcast(df.sparkSession.createDataFrame(found, long.schema))
 
 
 def _lead_in(cut: DataFrame, key: str, order: Sequence[str], inputs: Sequence[str],

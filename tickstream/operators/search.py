@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tickstream.constants import TOP_K
 from tickstream.functions.text import citation
 from tickstream.operators.dedup import top_per_group
+from tickstream.session import ship_package
+from tickstream.sources.tables import stored
 
 # Query vectors sent to every task; more than this go the shuffled way.
 MAX_SENT_QUERIES = 8192
@@ -43,6 +45,7 @@ def knn_search(queries: DataFrame, vectors: DataFrame, k: int = TOP_K,
     are compared and no pair of rows is ever emitted that is not among the best
     ``k`` of its block.
     """
+    ship_package(vectors.sparkSession)
     queries = queries.select(F.col("query_id").cast("bigint"), "embedding").filter(
         F.col("embedding").isNotNull()
     )
@@ -183,10 +186,12 @@ class BestHits:
 def with_metadata(hits: DataFrame, metadata: DataFrame, id_col: str = "vec_id") -> DataFrame:
     """Hits with the article columns of their vectors; unmatched hits stay.
 
-    The hit ids are first matched against the metadata, so that only the rows
-    that were hit are carried along.
+    The hits are stored first: they are searched for once, and Spark sees how
+    large they are when it picks the join. Metadata rows that were not hit are
+    dropped by a semi join before anything else is done with them.
     """
-    wanted = hits.select(F.col("vec_id").alias(id_col)).distinct()
+    hits = stored(hits, "hits")
+    wanted = hits.select(F.col("vec_id").alias(id_col))
     rows = metadata.join(wanted, id_col, "left_semi")
     return hits.join(rows.withColumnRenamed(id_col, "vec_id"), "vec_id", "left")
 

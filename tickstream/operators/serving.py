@@ -28,26 +28,32 @@ def price_snapshot(daily: DataFrame, tickers: Sequence[str] | None = None,
     """Latest daily bar of every (or every named) ticker, its change and 52-week range.
 
     ``as_of`` ignores later days. A ticker has one row per calendar day here, so
-    its window partition is bounded by the length of its history in days.
+    its window partition is bounded by the length of its history in days. Its
+    newest day is found in one pass, and the aggregation after it runs on the
+    same partitioning.
     """
     if tickers is not None:
         names = [t.strip().upper() for t in tickers]
         daily = daily.filter(normal_ticker(F.col("ticker")).isin(names))
     if as_of is not None:
         daily = daily.filter(F.col("bar_date") <= F.to_date(as_of))
-    by_day = Window.partitionBy("ticker").orderBy("bar_date")
-    newest = Window.partitionBy("ticker").orderBy(F.desc("bar_date"))
-    # Day numbers turn the calendar range into a numeric one.
-    days = F.unix_date("bar_date")
-    year = Window.partitionBy("ticker").orderBy(days).rangeBetween(-YEAR_RANGE_DAYS, 0)
+    newest = F.max("bar_date").over(Window.partitionBy("ticker"))
+    day = F.col("bar_date")
+    before = day < F.col("_newest")
+    within_year = day >= F.date_sub("_newest", YEAR_RANGE_DAYS)
     return (
-        daily.withColumns({
-            "prev_close": F.lag("close").over(by_day),
-            "year_high": F.max("high").over(year),
-            "year_low": F.min("low").over(year),
-            "_rn": F.row_number().over(newest),
-        })
-        .filter("_rn = 1")
+        daily.withColumn("_newest", newest)
+        .groupBy("ticker")
+        .agg(
+            F.max("bar_date").alias("bar_date"),
+            F.max_by("close", day).alias("close"),
+            F.max_by("close", F.when(before, day)).alias("prev_close"),
+            F.max_by("volume", day).alias("volume"),
+            F.max_by("high", day).alias("high"),
+            F.max_by("low", day).alias("low"),
+            F.max(F.when(within_year, F.col("high"))).alias("year_high"),
+            F.min(F.when(within_year, F.col("low"))).alias("year_low"),
+        )
         .withColumns({
             "change": F.col("close") - F.col("prev_close"),
             "change_pct": percent_change(F.col("close"), F.col("prev_close")),

@@ -22,7 +22,7 @@ from tickstream.operators import embed, gold, search, serving, silver
 from tickstream.operators.envelope import news_key, parse_messages, price_key, to_messages
 from tickstream.plans.batch import run_batch
 from tickstream.schemas import NEWS_PAYLOAD, PRICE_PAYLOAD
-from tickstream.session import pin_utc, work_path
+from tickstream.session import prepare, work_path
 from tickstream.sources.kafka import read_envelope_files
 from tickstream.sources.landing import read_articles, read_bars
 from tickstream.sources.tables import Lake, read_gold, read_table, row_counts, sql_path, stored
@@ -38,7 +38,7 @@ def query(fn: Query) -> Query:
     """Register a query. Columns that hold the time of the run are left out."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = fn(pin_utc(spark), sf_dir).drop(*CLOCK_COLUMNS)
+        out = fn(prepare(spark), sf_dir).drop(*CLOCK_COLUMNS)
         return out.select(*[
             F.col(f.name).cast("timestamp_ntz").alias(f.name)
             if isinstance(f.dataType, TimestampType) else F.col(f.name)
@@ -304,13 +304,12 @@ def knn_search(spark, d):
 def knn_citations(spark, d):
     """Hits as text, with the documents of the same id as their articles."""
     vectors = fx.load(spark, d, "embeddings")
-    articles = fx.bronze_news(fx.load(spark, d, "documents")).select(
-        F.col("kafka_offset").alias("vec_id"), "title", "source_name", "published_at",
-        embed.compose_text(F.col("title"), F.col("description"), F.col("content"))
-        .alias("text"),
+    articles = fx.bronze_news(fx.load(spark, d, "documents")).withColumnRenamed(
+        "kafka_offset", "vec_id"
     )
     hits = search.knn_search(_label_centres(vectors), vectors)
-    return search.citations(search.with_metadata(hits, articles))
+    text = embed.compose_text(F.col("title"), F.col("description"), F.col("content"))
+    return search.citations(search.with_metadata(hits, articles).withColumn("text", text))
 
 
 @query

@@ -6,7 +6,10 @@ import functools
 import importlib.util
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 
@@ -40,15 +43,32 @@ def get_session(app_name: str = "tickstream", master: str | None = None,
         )
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
-    return pin_utc(builder.getOrCreate())
+    return prepare(builder.getOrCreate())
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """Timestamps are read and rendered in UTC throughout."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Times are read and rendered in UTC throughout."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of all executors."""
+    _ship(spark.sparkContext)
+
+
+@functools.cache
+def _ship(context: SparkContext) -> None:
+    package = Path(__file__).parent
+    if not package.is_dir():
+        return  # Already running from a shipped archive.
+    archive = Path(tempfile.mkdtemp(prefix="tickstream-")) / "tickstream.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(package.rglob("*.py")):
+            out.write(module, module.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -56,14 +56,17 @@ def start_prices(envelope: DataFrame, lake: Lake, **options) -> StreamingQuery:
                         lake.checkpoint("prices_bronze"), **options)
 
 
-def run_until_one_ends(spark: SparkSession, queries: list[StreamingQuery]) -> None:
+def run_until_one_ends(queries: list[StreamingQuery], poll_seconds: int = 1) -> None:
     """Wait until any query ends, then stop the others; its error is raised here."""
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries):
+            queries[0].awaitTermination(poll_seconds)
+        for query in queries:
+            if query.exception():
+                raise query.exception()
     finally:
         for query in queries:
             query.stop()
-        spark.streams.resetTerminated()
 
 
 def run_to_end(queries: list[StreamingQuery]) -> None:
