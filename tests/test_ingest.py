@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tickstream.constants import NEWS_TOPIC, PRICES_TOPIC
 from tickstream.operators import articles, bars
 from tickstream.operators.envelope import news_key, parse_messages, price_key, to_messages
+from tickstream.plans.ingest import news_messages, price_messages
 from tickstream.schemas import ENVELOPE, NEWS_PAYLOAD, PRICE_PAYLOAD, RAW_ARTICLE, RAW_BAR
 from tickstream.sources import kafka, landing
 
@@ -99,6 +100,21 @@ def test_messages_round_trip(spark):
     )
 
 
+def test_cycle_messages(spark):
+    df = feed_rows(spark, *[article(i, title="Apple earnings") for i in range(25)])
+    out = news_messages(df, now())
+    assert out.columns == ["key", "value", "topic"]
+    assert out.count() == 25
+    # Headlines 0-19, and the first ten of the equally new search hits.
+    keys = {bytes(r.key).decode() for r in news_messages(df, now(), paged=True).collect()}
+    assert keys == {f"u{i}" for i in range(20)}
+    bar = spark.createDataFrame(
+        [("NVDA", ts("2026-04-24T09:30:00"), 1.0, 2.0, 0.5, 1.2, 7)], RAW_BAR
+    )
+    (message,) = price_messages(bar).collect()
+    assert message.topic == PRICES_TOPIC
+
+
 def test_news_key_is_url(spark):
     df = spark.createDataFrame([("i", "s", "a", "t", "d", "http://x/é", "p", "c")], NEWS_PAYLOAD)
     (message,) = to_messages(df, NEWS_PAYLOAD, news_key(), NEWS_TOPIC).collect()

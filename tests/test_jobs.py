@@ -4,23 +4,32 @@ from __future__ import annotations
 
 import pytest
 from conftest import SF_DIR
-from helpers import column, ts
+from helpers import column, price_rows, ts
 from pyspark.sql import functions as F
 
 from tickstream import fixtures as fx
+from tickstream.operators.gold import price_anomaly_flags
 from tickstream.plans.batch import build_vector_table, run_batch
+from tickstream.plans.reports import (
+    NO_ARTICLES,
+    index_report,
+    latest_rows,
+    latest_rows_text,
+    live_prices,
+    search_answers,
+)
 from tickstream.schemas import ENVELOPE, VECTORS
 from tickstream.session import shared_dir, work_path
 from tickstream.sources.kafka import read_envelope_files
-from tickstream.sources.tables import Lake, read_gold, read_table
+from tickstream.sources.tables import Lake, read_gold, read_table, write_table
 from tickstream.streaming.ingest import (
-    Trigger,
     describe,
     run_to_end,
     run_until_one_ends,
     start_news,
     start_prices,
 )
+from tickstream.streaming.triggers import Trigger
 
 ONCE = {"fmt": "parquet", "trigger": Trigger(available=True)}
 
@@ -101,10 +110,11 @@ def test_run_batch(spark, tmp_path):
     dated = read_table(spark, lake.silver("news"), "parquet").filter("published_at_ts IS NOT NULL")
     assert days.agg(F.sum("article_count")).first()[0] == dated.count()
 
-    # Rows are stored in the declared order.
-    stored = [(r.ticker, r.bar_time_ts) for r in flags.select(
-        "ticker", "bar_time_ts", F.input_file_name().alias("f")).collect()]
-    assert len(stored) == first["price_anomaly_flags"]
+    # Within a file, rows are stored by ticker and time.
+    files: dict[str, list] = {}
+    for r in flags.select("ticker", "bar_time_ts", F.input_file_name().alias("f")).collect():
+        files.setdefault(r.f, []).append((r.ticker, r.bar_time_ts))
+    assert all(rows == sorted(rows) for rows in files.values())
 
     n = build_vector_table(spark, lake, "parquet")
     vectors = read_table(spark, lake.vectors, "parquet")
@@ -112,6 +122,39 @@ def test_run_batch(spark, tmp_path):
     assert vectors.count() == n == first["silver_news"]
     assert vectors.select("vec_id").distinct().count() == n
 
+    # What users ask.
+    assert latest_rows(spark, lake, "price_anomaly_flags", "parquet").count() == 20
+    assert "attention_score_proxy" in latest_rows_text(spark, lake, "daily_sentiment", "parquet")
+    prices = live_prices(spark, lake, ["Click "], fmt="parquet").collect()
+    assert [p.ticker for p in prices] == ["CLICK"]
+    report = index_report(spark, lake, "parquet")
+    assert (report["status"], report["articles_indexed"]) == ("healthy", n)
+    assert len(report["sample_titles"]) == 3
+    some = vectors.orderBy("vec_id").first()
+    questions = spark.createDataFrame([(1, some.text)], "query_id bigint, text string")
+    (answer,) = search_answers(questions, vectors).collect()
+    assert answer.answer.startswith("[1] ") and answer.answer.count("Relevance: ") == 5
+    assert "Relevance: 1.000" in answer.answer
+    (nothing,) = search_answers(questions, vectors.limit(0)).collect()
+    assert nothing.answer == NO_ARTICLES
+
+
+def test_reports_before_anything_is_stored(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    assert index_report(spark, lake, "parquet")["status"] == "degraded"
+    flags = price_anomaly_flags(price_rows(spark, []))
+    write_table(flags, lake.gold("gold_price_anomaly_flags"), "parquet")
+    text = latest_rows_text(spark, lake, "price_anomaly_flags", "parquet")
+    assert text == "Table 'price_anomaly_flags' exists but contains no data yet."
+
+
+def test_flags_are_written_without_another_shuffle(spark):
+    flags = price_anomaly_flags(price_rows(spark, [1, 2]))
+    plan = flags.sortWithinPartitions("ticker", "bar_time_ts")._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    assert text.count("Exchange") == 1
+    assert text.count("Sort [") == 1
+
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

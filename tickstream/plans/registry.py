@@ -9,24 +9,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from tickstream import fixtures as fx
-from tickstream.constants import (
-    HEADLINE_CATEGORY,
-    NEWS_TOPIC,
-    PRICES_TOPIC,
-    SAMPLE_TITLES,
-)
+from tickstream.constants import SAMPLE_TITLES
 from tickstream.functions.vectors import l2_normalise
 from tickstream.operators import articles as art
 from tickstream.operators import bars as brs
 from tickstream.operators import embed, gold, search, serving, silver
-from tickstream.operators.envelope import news_key, parse_messages, price_key, to_messages
+from tickstream.operators.envelope import parse_messages
 from tickstream.plans.batch import run_batch
+from tickstream.plans.ingest import news_messages, price_messages
+from tickstream.plans.reports import search_news
 from tickstream.schemas import NEWS_PAYLOAD, PRICE_PAYLOAD
 from tickstream.session import prepare, work_path
 from tickstream.sources.kafka import read_envelope_files
 from tickstream.sources.landing import read_articles, read_bars
 from tickstream.sources.tables import Lake, read_gold, read_table, row_counts, sql_path, stored
-from tickstream.streaming.ingest import Trigger, run_to_end, start_news, start_prices
+from tickstream.streaming.ingest import run_to_end, start_news, start_prices
+from tickstream.streaming.triggers import Trigger
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,7 +64,7 @@ def _bronze_news(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _feeds(articles: DataFrame) -> DataFrame:
-    return art.cycle_feeds(articles, fx.instant(fx.CYCLE_TIME), fx.PHRASES, HEADLINE_CATEGORY)
+    return art.cycle_feeds(articles, fx.instant(fx.CYCLE_TIME), fx.PHRASES)
 
 
 def _label_centres(vectors: DataFrame) -> DataFrame:
@@ -172,10 +170,9 @@ def stage_counts(spark, d):
 
 @query
 def envelope_prices(spark, d):
-    shaped = brs.normalise_bars(
-        _hourly(spark, d), fx.EVENT_TICKERS, fx.instant(fx.CYCLE_TIME)
-    )
-    return to_messages(shaped, PRICE_PAYLOAD, price_key(), PRICES_TOPIC).select(
+    return price_messages(
+        _hourly(spark, d), fx.instant(fx.CYCLE_TIME), fx.EVENT_TICKERS
+    ).select(
         F.col("key").cast("string").alias("key"),
         F.from_json(F.col("value").cast("string"), PRICE_PAYLOAD).alias("p"),
         "topic",
@@ -184,9 +181,9 @@ def envelope_prices(spark, d):
 
 @query
 def envelope_news(spark, d):
-    feeds = _feeds(fx.raw_articles(fx.load(spark, d, "documents")))
-    shaped = art.normalise_articles(feeds, fx.instant(fx.CYCLE_TIME))
-    return to_messages(shaped, NEWS_PAYLOAD, news_key(), NEWS_TOPIC).select(
+    return news_messages(
+        fx.raw_articles(fx.load(spark, d, "documents")), fx.instant(fx.CYCLE_TIME), fx.PHRASES
+    ).select(
         F.col("key").cast("string").alias("key"),
         F.from_json(F.col("value").cast("string"), NEWS_PAYLOAD).alias("p"),
         "topic",
@@ -318,12 +315,8 @@ def news_search(spark, d):
     vectors = stored(
         embed.build_vectors(silver.silver_news(_bronze_news(spark, d))), "vectors"
     )
-    questions = fx.load(spark, d, "benchmark").select(
-        F.col("item_id").alias("query_id"),
-        embed.embed_texts(F.col("text"), embed.hash_embedder).alias("embedding"),
-    )
-    hits = search.knn_search(questions, vectors)
-    return search.citations(search.with_metadata(hits, vectors.drop("embedding")))
+    questions = fx.load(spark, d, "benchmark").withColumnRenamed("item_id", "query_id")
+    return search_news(questions, vectors)
 
 
 @query

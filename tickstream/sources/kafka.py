@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from tickstream.schemas import ENVELOPE
+from tickstream.sources.tables import counted
+from tickstream.streaming.triggers import Trigger
 
 
 def connection_options(servers: str, api_key: str | None = None,
@@ -55,6 +58,18 @@ def read_envelope_files(spark: SparkSession, path: str,
     return reader.parquet(path)
 
 
-def publish(messages: DataFrame, connection: dict[str, str]) -> None:
-    """Send key, value and topic; a task fails when a write is not acknowledged."""
-    messages.write.format("kafka").options(**connection).save()
+def publish(messages: DataFrame, connection: dict[str, str]) -> int:
+    """Send key, value and topic; returns the number of messages.
+
+    A task fails, and is tried again, when a write is not acknowledged.
+    """
+    return counted(messages, lambda out: out.write.format("kafka").options(**connection).save())
+
+
+def publish_stream(messages: DataFrame, connection: dict[str, str], checkpoint: str,
+                   trigger: Trigger = Trigger()) -> StreamingQuery:
+    """The same for a stream of messages."""
+    writer = messages.writeStream.format("kafka").options(**connection).option(
+        "checkpointLocation", checkpoint
+    )
+    return trigger.apply(writer).start()

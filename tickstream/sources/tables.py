@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -72,20 +73,22 @@ def sql_path(path: str, fmt: str | None = None) -> str:
     return f"{fmt or default_format()}.`{path.replace('`', '``')}`"
 
 
-def write_table(df: DataFrame, path: str, fmt: str | None = None) -> int:
-    """Replace the table and its schema; returns the rows written.
-
-    The count is observed while writing, so it costs no extra job.
-    """
+def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Run a write and return the rows it wrote, observed on the way, without a job more."""
     seen = Observation()
-    (
-        df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.format(fmt or default_format())
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"]
+
+
+def write_table(df: DataFrame, path: str, fmt: str | None = None) -> int:
+    """Replace the table and its schema; returns the rows written."""
+    return counted(
+        df,
+        lambda out: out.write.format(fmt or default_format())
         .mode("overwrite")
         .option("overwriteSchema", "true")
-        .save(path)
+        .save(path),
     )
-    return seen.get["rows"]
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -11,19 +9,7 @@ from pyspark.sql.types import StructType
 from tickstream.operators.envelope import parse_messages
 from tickstream.schemas import NEWS_PAYLOAD, PRICE_PAYLOAD
 from tickstream.sources.tables import Lake, default_format
-
-
-@dataclass(frozen=True)
-class Trigger:
-    """``every`` an interval, once through all ``available`` data, or back to back."""
-
-    every: str | None = None
-    available: bool = False
-
-    def apply(self, writer):
-        if self.available:
-            return writer.trigger(availableNow=True)
-        return writer.trigger(processingTime=self.every) if self.every else writer
+from tickstream.streaming.triggers import Trigger
 
 
 def start_bronze(envelope: DataFrame, payload: StructType, path: str, checkpoint: str,
