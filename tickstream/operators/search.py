@@ -128,6 +128,11 @@ def _ids_and_units(table: pa.Table, id_col: str) -> tuple[np.ndarray, np.ndarray
     return ids, np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
 
 
+def _comparable(scores: np.ndarray) -> np.ndarray:
+    """Rounded, with a single zero."""
+    return np.round(scores, SCORE_DIGITS) + 0.0
+
+
 class BestHits:
     """The best ``k`` (score, id) pairs per query, kept up to date batch by batch."""
 
@@ -147,10 +152,40 @@ class BestHits:
         ids, vectors = ids[by_id], vectors[by_id]
         for start in range(0, len(queries), QUERY_SLICE):
             rows = slice(start, start + QUERY_SLICE)
-            scores = np.round(queries[rows] @ vectors.T, SCORE_DIGITS)
-            scores = np.where(np.isnan(scores), -np.inf, scores + 0.0)
-            take = self._first_k(scores)
-            self._merge(rows, np.take_along_axis(scores, take, 1), ids[take])
+            scores = queries[rows] @ vectors.T
+            # Only scores that reach the worst kept one can change anything.
+            reach = scores >= self.scores[rows, -1:] - 10.0 ** -SCORE_DIGITS
+            found = np.count_nonzero(reach)
+            if found > self.k * len(scores):
+                self._merge_dense(rows, scores, ids)
+            elif found:
+                self._merge_few(start, scores, ids, *np.nonzero(reach))
+
+    def _merge_few(self, start: int, scores: np.ndarray, ids: np.ndarray,
+                   at_query: np.ndarray, at_vector: np.ndarray) -> None:
+        changed = np.unique(at_query)
+        owner = np.concatenate([at_query, np.repeat(changed, self.k)])
+        pool = np.concatenate([
+            _comparable(scores[at_query, at_vector]), self.scores[start + changed].ravel()
+        ])
+        pool_ids = np.concatenate([ids[at_vector], self.ids[start + changed].ravel()])
+        order = np.lexsort((pool_ids, -pool, owner))
+        owner = owner[order]
+        place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        # Every changed query brings its k kept pairs, so k are left of each.
+        kept = order[place < self.k].reshape(len(changed), self.k)
+        self.scores[start + changed] = pool[kept]
+        self.ids[start + changed] = pool_ids[kept]
+
+    def _merge_dense(self, rows: slice, scores: np.ndarray, ids: np.ndarray) -> None:
+        scores = _comparable(scores)
+        scores = np.where(np.isnan(scores), -np.inf, scores)
+        take = self._first_k(scores)
+        pool = np.concatenate([self.scores[rows], np.take_along_axis(scores, take, 1)], axis=1)
+        pool_ids = np.concatenate([self.ids[rows], ids[take]], axis=1)
+        order = np.lexsort((pool_ids, -pool), axis=1)[:, :self.k]
+        self.scores[rows] = np.take_along_axis(pool, order, 1)
+        self.ids[rows] = np.take_along_axis(pool_ids, order, 1)
 
     def _first_k(self, scores: np.ndarray) -> np.ndarray:
         """Columns of the ``k`` best scores per row, the leftmost among equals."""
@@ -164,13 +199,6 @@ class BestHits:
         chosen = above | (equal & (np.cumsum(equal, axis=1) <= room))
         return np.nonzero(chosen)[1].reshape(len(scores), self.k)
 
-    def _merge(self, rows: slice, scores: np.ndarray, ids: np.ndarray) -> None:
-        all_scores = np.concatenate([self.scores[rows], scores], axis=1)
-        all_ids = np.concatenate([self.ids[rows], ids], axis=1)
-        order = np.lexsort((all_ids, -all_scores), axis=1)[:, :self.k]
-        self.scores[rows] = np.take_along_axis(all_scores, order, 1)
-        self.ids[rows] = np.take_along_axis(all_ids, order, 1)
-
     def table(self, query_ids: np.ndarray) -> pa.Table:
         found = np.isfinite(self.scores)
         return pa.table(
