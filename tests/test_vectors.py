@@ -136,6 +136,14 @@ def test_embed_calls_the_model_in_batches(spark):
     assert sorted({r.v[0] for r in out}) == [20.0, 50.0]
 
 
+def test_model_is_called_once_per_text(spark):
+    df = spark.range(3).select(
+        "id", embed.embed_texts(F.lit("a"), embed.hash_embedder).alias("v")
+    )
+    used = df.filter(F.col("v").isNotNull()).select("id", F.posexplode("v"))
+    assert used._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_model_must_answer_every_text(spark):
     def make():
         return lambda texts: []

@@ -54,7 +54,8 @@ def embed_texts(text: Column, make_embedder: Callable[[], Embedder],
     """Vectors of a text column, through a model called on ``batch`` texts at a time.
 
     ``make_embedder`` runs once per task, which is where a service client or a
-    model file is opened.
+    model file is opened. The call is marked as not repeatable, or else Spark would
+    run it a second time for any filter on the vectors.
     """
     ship_package(SparkSession.active())
 
@@ -72,7 +73,7 @@ def embed_texts(text: Column, make_embedder: Callable[[], Embedder],
                 vectors.extend(np.asarray(v, dtype=np.float64) for v in found)
             yield pd.Series(vectors, index=chunk.index, dtype=object)
 
-    return call(text)
+    return call.asNondeterministic()(text)
 
 
 def article_texts(news: DataFrame, *keep: str) -> DataFrame:

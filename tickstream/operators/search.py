@@ -86,6 +86,8 @@ def _search_blocks(queries: DataFrame, vectors: DataFrame, k: int, block_queries
     data looks like. The product of the blocks is the work an exact search has to
     do; the copies of rows it ships are small beside the products it computes.
     """
+    # Read three times below, and possibly the output of a model.
+    queries = stored(queries, "queries")
     query_blocks = max(1, -(-queries.count() // block_queries))
     vector_blocks = max(1, -(-vectors.count() // group_vectors))
 
