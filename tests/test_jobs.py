@@ -125,8 +125,10 @@ def test_run_batch(spark, tmp_path):
     # What users ask.
     assert latest_rows(spark, lake, "price_anomaly_flags", "parquet").count() == 20
     assert "attention_score_proxy" in latest_rows_text(spark, lake, "daily_sentiment", "parquet")
-    prices = live_prices(spark, lake, ["Click "], fmt="parquet").collect()
-    assert [p.ticker for p in prices] == ["CLICK"]
+    prices = live_prices(spark, lake, ["Click ", "none"], fmt="parquet").collect()
+    answers = {p.ticker: p.answer for p in prices}
+    assert answers["CLICK"].startswith("Ticker: CLICK\nLatest Close: USD ")
+    assert answers["NONE"] == "No price data available for NONE. Market may be closed."
     report = index_report(spark, lake, "parquet")
     assert (report["status"], report["articles_indexed"]) == ("healthy", n)
     assert len(report["sample_titles"]) == 3

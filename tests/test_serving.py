@@ -74,6 +74,20 @@ def test_price_snapshot(spark):
     assert text["ZERO"].daily_change == "+5.00"
 
 
+def test_price_answers(spark):
+    snap = serving.price_snapshot(
+        daily(spark, ("Nv", "2026-04-23", 1000.0), ("Nv", "2026-04-24", 1500.0))
+    )
+    asked = spark.createDataFrame([(" nv",), ("NV",), ("x",)], "ticker string")
+    got = {r.ticker: r.answer for r in serving.price_answers(asked, snap).collect()}
+    assert got == {
+        "NV": "Ticker: NV\nLatest Close: USD 1500.00\nDaily Change: +500.00 (+50.00%)\n"
+              "Volume: 1,000\nHigh: USD 1501.00 | Low: USD 1499.00\n"
+              "52-Week High: USD 1501.00 | Low: USD 999.00\n",
+        "X": "No price data available for X. Market may be closed.",
+    }
+
+
 def test_snapshot_of_named_tickers_and_day(spark):
     df = daily(spark, ("Nv", "2026-04-23", 1.0), ("Nv", "2026-04-24", 2.0),
                ("X", "2026-04-24", 1.0))

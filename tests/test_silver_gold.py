@@ -11,7 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tickstream.operators import gold, silver
+from tickstream.operators import gold, rolling, silver
 from tickstream.operators.dedup import one_per_key
 from tickstream.schemas import GOLD_ANOMALY_COLUMNS, GOLD_SENTIMENT_COLUMNS
 
@@ -203,6 +203,22 @@ def test_cut_series_with_equal_instants(spark):
     assert cut.orderBy(*keys).collect() == whole.orderBy(*keys).collect()
 
 
+def test_crowded_stretches_fill_more_spans(spark):
+    thin, crowded = spark.range(100), spark.range(5000)
+    df = thin.select(F.timestamp_seconds(F.col("id") * 86400).alias("t")).unionByName(
+        crowded.select(F.timestamp_seconds(8640000 + F.col("id")).alias("t"))
+    ).withColumn("ticker", F.lit("A"))
+    series = rolling._long_series(df, "ticker", "t", 500)
+    slot = F.floor((F.unix_micros("t") - F.col("_start")) / F.col("_width"))
+    slotted = df.join(series, "ticker").withColumn("_slot", slot.cast("long"))
+    spans = rolling._spans(slotted, "ticker", 500)
+    sizes = slotted.join(spans, ["ticker", "_slot"]).groupBy("_span").count()
+    assert sum(column(sizes, "count")) == 5100
+    # One slot at most lies between a span and the size it was cut for.
+    biggest_slot = max(column(slotted.groupBy("_slot").count(), "count"))
+    assert max(column(sizes, "count")) <= 500 + biggest_slot
+
+
 def test_many_long_series_use_a_join(spark, monkeypatch):
     monkeypatch.setattr("tickstream.operators.rolling.MAX_SENT_SERIES", 1)
     df = series(spark, random.Random(2), {"a": 40, "b": 50, "c": 60})

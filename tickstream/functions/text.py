@@ -88,3 +88,23 @@ def signed_change(change: Column, pct: Column) -> Column:
         .when(pct.isNull(), amount)
         .otherwise(F.concat(amount, F.lit(" ("), share, F.lit(")")))
     )
+
+
+def price_text(ticker: Column, close: Column, daily_change: Column, volume: Column,
+               high: Column, low: Column, year_high: Column, year_low: Column) -> Column:
+    """A price snapshot as lines of text."""
+    return F.concat(
+        F.lit("Ticker: "), ticker,
+        F.lit("\nLatest Close: "), money(close),
+        F.lit("\nDaily Change: "), daily_change,
+        F.lit("\nVolume: "), F.format_number(volume, 0),
+        F.lit("\nHigh: "), money(high), F.lit(" | Low: "), money(low),
+        F.lit("\n52-Week High: "), money(year_high), F.lit(" | Low: "), money(year_low),
+        F.lit("\n"),
+    )
+
+
+def no_price_text(ticker: Column) -> Column:
+    return F.concat(
+        F.lit("No price data available for "), ticker, F.lit(". Market may be closed.")
+    )

@@ -7,10 +7,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tickstream.sources.tables import stored
+
 # A series longer than this is cut into spans of about this many rows.
 SPLIT_ROWS = 250_000
 # Up to this many long series are looked up by broadcast.
 MAX_SENT_SERIES = 100_000
+# Rows are counted in slots this much finer than a span of even density.
+SLOTS_PER_SPAN = 16
 
 
 def with_rolling(df: DataFrame, key: str, ts: str, rows: int,
@@ -24,23 +28,25 @@ def with_rolling(df: DataFrame, key: str, ts: str, rows: int,
 
     A window partitioned by ``key`` alone sorts a whole series in one task. Rows
     per series are therefore counted first, and series longer than ``split_rows``
-    are cut into spans of equal time. Every span gets a copy of the ``rows - 1``
-    rows that precede it, so the frames are those of the uncut series. The count
-    reads two columns of ``df``, which should be a stored table.
-    ``split_rows=None`` skips count and cutting.
+    are cut into spans of about that many rows. Every span gets a copy of the
+    ``rows - 1`` rows that precede it, so the frames are those of the uncut
+    series. The counts read two columns of ``df``, which should be a stored
+    table. ``split_rows=None`` skips counting and cutting.
     """
     order = [ts, *ties]
-    spans = None if split_rows is None else _long_series(df, key, ts, split_rows)
-    if spans is None:
+    series = None if split_rows is None else _long_series(df, key, ts, split_rows)
+    if series is None:
         return df.withColumns(_apply(stats, Window.partitionBy(key).orderBy(*order), rows))
 
-    elapsed = F.unix_micros(ts) - F.col("_start")
-    span = F.floor(elapsed / F.col("_width")).cast("long")
-    cut = df.join(spans, key, "left").withColumn("_span", F.coalesce(span, F.lit(0)))
+    slot = F.floor((F.unix_micros(ts) - F.col("_start")) / F.col("_width")).cast("long")
+    slotted = df.join(series, key, "left").withColumn("_slot", slot).drop("_start", "_width")
+    # Stored, so that Spark sees its size when it picks the join.
+    spans = stored(_spans(slotted, key, split_rows), "spans")
+    cut = slotted.join(spans, [key, "_slot"], "left").drop("_slot")
     lead_in = _lead_in(
-        cut.filter(F.col("_width").isNotNull()), key, order, inputs, rows - 1
+        cut.filter(F.col("_span").isNotNull()), key, order, inputs, rows - 1
     )
-    both = cut.drop("_start", "_width").withColumn("_copy", F.lit(False)).unionByName(
+    both = cut.withColumn("_copy", F.lit(False)).unionByName(
         lead_in.withColumn("_copy", F.lit(True)), allowMissingColumns=True
     )
     window = Window.partitionBy(key, "_span").orderBy(*order)
@@ -58,8 +64,10 @@ def _apply(stats: dict[str, Callable[[WindowSpec], Column]], window: WindowSpec,
 
 
 def _long_series(df: DataFrame, key: str, ts: str, split_rows: int) -> DataFrame | None:
-    """Start and span width (microseconds) of the series to be cut, if there are any."""
+    """Start and slot width (microseconds) of the series to be cut, if there are any."""
     micros = F.unix_micros(ts)
+    length = F.col("_end") - F.col("_start") + 1
+    slots = F.col("_n") / F.lit(float(split_rows)) * SLOTS_PER_SPAN
     long = (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
@@ -70,13 +78,8 @@ def _long_series(df: DataFrame, key: str, ts: str, split_rows: int) -> DataFrame
         )
         .filter(F.col("_n") > split_rows)
         .select(
-            key,
-            "_start",
-            F.greatest(
-                F.ceil((F.col("_end") - F.col("_start") + 1) * F.lit(float(split_rows))
-                       / F.col("_n")),
-                F.lit(1),
-            ).cast("long").alias("_width"),
+            key, "_start",
+            F.greatest(F.ceil(length / slots), F.lit(1)).cast("long").alias("_width"),
         )
     )
     found = long.limit(MAX_SENT_SERIES + 1).toArrow()
@@ -87,6 +90,24 @@ def _long_series(df: DataFrame, key: str, ts: str, split_rows: int) -> DataFrame
     return F.broadcast(df.sparkSession.createDataFrame(found, long.schema))
 
 
+def _spans(slotted: DataFrame, key: str, split_rows: int) -> DataFrame:
+    """The span of every slot: a new one begins after about ``split_rows`` rows.
+
+    Crowded stretches of time fill more spans than thin ones. A series has at
+    most ``SLOTS_PER_SPAN`` slots per span, which is what the running sum sorts.
+    """
+    counts = slotted.filter(F.col("_slot").isNotNull()).groupBy(key, "_slot").agg(
+        F.count("*").alias("_n")
+    )
+    so_far = Window.partitionBy(key).orderBy("_slot").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    before = F.sum("_n").over(so_far) - F.col("_n")
+    return counts.select(
+        key, "_slot", F.floor(before / F.lit(float(split_rows))).cast("long").alias("_span")
+    )
+
+
 def _lead_in(cut: DataFrame, key: str, order: Sequence[str], inputs: Sequence[str],
              carry: int) -> DataFrame:
     """Copies of the ``carry`` rows before each span, labelled with that span.

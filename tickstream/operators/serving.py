@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from tickstream.constants import LATEST_ANOMALIES, LATEST_DAYS, YEAR_RANGE_DAYS
 from tickstream.functions.stats import percent_change
-from tickstream.functions.text import money, normal_ticker, signed_change
+from tickstream.functions.text import (
+    money,
+    no_price_text,
+    normal_ticker,
+    price_text,
+    signed_change,
+)
 
 
 def latest_anomalies(flags: DataFrame, n: int = LATEST_ANOMALIES) -> DataFrame:
@@ -79,6 +85,25 @@ def snapshot_text(snapshot: DataFrame) -> DataFrame:
     )
 
 
+def price_answers(requested: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """One text per requested ticker: its snapshot, or a note that there is no data.
+
+    Tickers are compared in upper case without surrounding blanks.
+    """
+    wanted = requested.select(normal_ticker(F.col("ticker")).alias("ticker")).distinct()
+    change = signed_change(F.col("change"), F.col("change_pct"))
+    texts = snapshot.select(
+        normal_ticker(F.col("ticker")).alias("ticker"),
+        price_text(
+            normal_ticker(F.col("ticker")), F.col("close"), change, F.col("volume"),
+            F.col("high"), F.col("low"), F.col("year_high"), F.col("year_low"),
+        ).alias("_text"),
+    )
+    return wanted.join(texts, "ticker", "left").select(
+        "ticker", F.coalesce("_text", no_price_text(F.col("ticker"))).alias("answer")
+    )
+
+
 def render(df: DataFrame, n: int, empty: str) -> str:
     """At most ``n`` rows as a text table, or the ``empty`` message."""
     rows = df.limit(n).toPandas()

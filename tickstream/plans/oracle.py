@@ -130,6 +130,17 @@ PARTS = {
               WINDOW y AS (PARTITION BY ticker ORDER BY bar_date
                            RANGE BETWEEN INTERVAL 364 DAYS PRECEDING AND CURRENT ROW))
         WHERE rn = 1""",
+    "display": """
+        SELECT upper(ticker) AS ticker, 'USD ' || printf('%.2f', close) AS latest_close,
+               CASE WHEN change IS NULL THEN ''
+                    WHEN change_pct IS NULL THEN sign || printf('%.2f', change)
+                    ELSE sign || printf('%.2f', change) || ' (' || sign
+                         || printf('%.2f', change_pct) || '%)' END AS daily_change,
+               format('{:,}', volume) AS volume, 'USD ' || printf('%.2f', high) AS high,
+               'USD ' || printf('%.2f', low) AS low,
+               'USD ' || printf('%.2f', year_high) AS year_high,
+               'USD ' || printf('%.2f', year_low) AS year_low
+        FROM (SELECT *, CASE WHEN change >= 0 THEN '+' ELSE '' END AS sign FROM snapshot)""",
     "rolled": """
         SELECT *, avg(volume) OVER w AS avg_volume, stddev_samp(volume) OVER w AS stddev_volume,
                avg(price_range) OVER w AS avg_range,
@@ -338,6 +349,12 @@ ORACLE = {
         f"{NEWS} texts slots dense news_vectors {KNN}", CITATION,
         news="silver_news", components=NEWS_COMPONENTS, questions=QUESTION_COMPONENTS,
     ),
+    "news_answers": sql(
+        f"{NEWS} texts slots dense news_vectors {KNN}",
+        f"""SELECT query_id, string_agg(citation, chr(10) || chr(10) ORDER BY rank) AS answer
+            FROM ({CITATION}) GROUP BY query_id""",
+        news="silver_news", components=NEWS_COMPONENTS, questions=QUESTION_COMPONENTS,
+    ),
     "index_stats": """
         SELECT count(*) AS articles_indexed, CAST(max(len(embedding)) AS INTEGER) AS embedding_dim,
                (SELECT string_agg(title, ' | ' ORDER BY vec_id)
@@ -359,17 +376,20 @@ ORACLE = {
         bars="part_bars",
     ),
     "price_snapshot_text": sql(
-        "bars daily snapshot",
-        """SELECT upper(ticker) AS ticker, 'USD ' || printf('%.2f', close) AS latest_close,
-                  CASE WHEN change IS NULL THEN ''
-                       WHEN change_pct IS NULL THEN sign || printf('%.2f', change)
-                       ELSE sign || printf('%.2f', change) || ' (' || sign
-                            || printf('%.2f', change_pct) || '%)' END AS daily_change,
-                  format('{:,}', volume) AS volume, 'USD ' || printf('%.2f', high) AS high,
-                  'USD ' || printf('%.2f', low) AS low,
-                  'USD ' || printf('%.2f', year_high) AS year_high,
-                  'USD ' || printf('%.2f', year_low) AS year_low
-           FROM (SELECT *, CASE WHEN change >= 0 THEN '+' ELSE '' END AS sign FROM snapshot)""",
+        "bars daily snapshot display", "SELECT * FROM display", bars="bars"
+    ),
+    "price_answers": sql(
+        "bars daily snapshot display",
+        """SELECT ticker, CASE WHEN latest_close IS NULL
+                       THEN 'No price data available for ' || ticker || '. Market may be closed.'
+                       ELSE concat('Ticker: ', ticker, chr(10), 'Latest Close: ', latest_close,
+                                   chr(10), 'Daily Change: ', daily_change, chr(10), 'Volume: ',
+                                   volume, chr(10), 'High: ', high, ' | Low: ', low, chr(10),
+                                   '52-Week High: ', year_high, ' | Low: ', year_low, chr(10))
+                       END AS answer
+           FROM (SELECT DISTINCT upper(unnest(['user' || user_id, event_type])) AS ticker
+                 FROM events)
+           LEFT JOIN display USING (ticker)""",
         bars="bars",
     ),
     "run_batch_anomalies": sql(

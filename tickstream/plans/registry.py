@@ -17,7 +17,7 @@ from tickstream.operators import embed, gold, search, serving, silver
 from tickstream.operators.envelope import parse_messages
 from tickstream.plans.batch import run_batch
 from tickstream.plans.ingest import news_messages, price_messages
-from tickstream.plans.reports import search_news
+from tickstream.plans.reports import search_answers, search_news
 from tickstream.schemas import NEWS_PAYLOAD, PRICE_PAYLOAD
 from tickstream.session import prepare, work_path
 from tickstream.sources.kafka import read_envelope_files
@@ -67,6 +67,14 @@ def _feeds(articles: DataFrame) -> DataFrame:
     return art.cycle_feeds(articles, fx.instant(fx.CYCLE_TIME), fx.PHRASES)
 
 
+def _news_vectors(spark: SparkSession, d: str) -> DataFrame:
+    return stored(embed.build_vectors(silver.silver_news(_bronze_news(spark, d))), "vectors")
+
+
+def _questions(spark: SparkSession, d: str) -> DataFrame:
+    return fx.load(spark, d, "benchmark").withColumnRenamed("item_id", "query_id")
+
+
 def _label_centres(vectors: DataFrame) -> DataFrame:
     """One query per label: the mean of all its vectors."""
     means = (
@@ -312,11 +320,13 @@ def knn_citations(spark, d):
 @query
 def news_search(spark, d):
     """Benchmark texts as questions to the index of all silver news."""
-    vectors = stored(
-        embed.build_vectors(silver.silver_news(_bronze_news(spark, d))), "vectors"
-    )
-    questions = fx.load(spark, d, "benchmark").withColumnRenamed("item_id", "query_id")
-    return search_news(questions, vectors)
+    return search_news(_questions(spark, d), _news_vectors(spark, d))
+
+
+@query
+def news_answers(spark, d):
+    """All hits of a question in one text."""
+    return search_answers(_questions(spark, d), _news_vectors(spark, d))
 
 
 @query
@@ -358,6 +368,19 @@ def price_snapshot_text(spark, d):
     return serving.snapshot_text(serving.price_snapshot(brs.daily_bars(_hourly(spark, d))))
 
 
+@query
+def price_answers(spark, d):
+    """Price texts for every event type and every event user's name as tickers.
+
+    No bars exist under a user's name, so those get the note instead.
+    """
+    events = fx.load(spark, d, "events")
+    users = events.select(F.concat(F.lit("user"), "user_id").alias("ticker"))
+    types = events.select(F.col("event_type").alias("ticker"))
+    snapshot = serving.price_snapshot(brs.daily_bars(_hourly(spark, d)))
+    return serving.price_answers(users.unionAll(types), snapshot)
+
+
 # Whole batch -------------------------------------------------------------
 
 

@@ -14,9 +14,9 @@ from tickstream.operators.search import citations, knn_search, with_metadata
 from tickstream.operators.serving import (
     latest_anomalies,
     latest_attention,
+    price_answers,
     price_snapshot,
     render,
-    snapshot_text,
 )
 from tickstream.sources.tables import (
     GOLD_TABLES,
@@ -71,11 +71,12 @@ def latest_rows_text(spark: SparkSession, lake: Lake, name: str,
     return render(rows, LATEST_ANOMALIES, f"Table '{name}' exists but contains no data yet.")
 
 
-def live_prices(spark: SparkSession, lake: Lake, tickers: Sequence[str] | None = None,
+def live_prices(spark: SparkSession, lake: Lake, tickers: Sequence[str],
                 as_of: Column | None = None, fmt: str | None = None) -> DataFrame:
-    """Display strings of the latest price of every (or every named) ticker."""
+    """The latest price of every named ticker as (ticker, answer)."""
     daily = daily_bars(read_table(spark, lake.silver("prices"), fmt))
-    return snapshot_text(price_snapshot(daily, tickers, as_of))
+    requested = spark.createDataFrame([(t,) for t in tickers], "ticker string")
+    return price_answers(requested, price_snapshot(daily, tickers, as_of))
 
 
 def index_report(spark: SparkSession, lake: Lake, fmt: str | None = None) -> dict:
