@@ -174,7 +174,9 @@ def test_kafka_options():
     assert options["startingOffsets"] == "latest"
     assert options["failOnDataLoss"] == "false"
     assert "maxOffsetsPerTrigger" not in options
-    backfill = kafka.source_options(plain, "earliest", True, 1000)
+    assert "minPartitions" not in options
+    backfill = kafka.source_options(plain, "earliest", True, 1000, 64)
+    assert backfill["minPartitions"] == "64"
     assert backfill["startingOffsets"] == "earliest"
     assert backfill["failOnDataLoss"] == "true"
     assert backfill["maxOffsetsPerTrigger"] == "1000"

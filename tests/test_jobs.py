@@ -19,9 +19,9 @@ from tickstream.plans.reports import (
     search_answers,
 )
 from tickstream.schemas import ENVELOPE, VECTORS
-from tickstream.session import shared_dir, work_path
+from tickstream.session import shared_dir, shuffle_partitions, work_path
 from tickstream.sources.kafka import read_envelope_files
-from tickstream.sources.tables import Lake, read_gold, read_table, write_table
+from tickstream.sources.tables import Lake, read_gold, read_table, register_views, write_table
 from tickstream.streaming.ingest import (
     describe,
     run_to_end,
@@ -123,6 +123,17 @@ def test_run_batch(spark, tmp_path):
     assert vectors.select("vec_id").distinct().count() == n
 
     # What users ask.
+    views = register_views(spark, lake, "parquet")
+    assert views == [
+        "bronze_news", "bronze_prices", "silver_news", "silver_prices",
+        "gold_price_anomaly_flags", "gold_daily_sentiment", "news_vectors",
+    ]
+    (top,) = spark.sql(
+        "SELECT ticker, count(*) AS n FROM gold_price_anomaly_flags WHERE is_anomaly "
+        "GROUP BY ticker ORDER BY n DESC, ticker LIMIT 1"
+    ).collect()
+    assert top.n == flags.filter("is_anomaly").groupBy("ticker").count().agg(
+        F.max("count")).first()[0]
     assert latest_rows(spark, lake, "price_anomaly_flags", "parquet").count() == 20
     assert "attention_score_proxy" in latest_rows_text(spark, lake, "daily_sentiment", "parquet")
     prices = live_prices(spark, lake, ["Click ", "none"], fmt="parquet").collect()
@@ -144,6 +155,7 @@ def test_run_batch(spark, tmp_path):
 def test_reports_before_anything_is_stored(spark, tmp_path):
     lake = Lake(str(tmp_path))
     assert index_report(spark, lake, "parquet")["status"] == "degraded"
+    assert register_views(spark, lake, "parquet") == []
     flags = price_anomaly_flags(price_rows(spark, []))
     write_table(flags, lake.gold("gold_price_anomaly_flags"), "parquet")
     text = latest_rows_text(spark, lake, "price_anomaly_flags", "parquet")
@@ -158,6 +170,12 @@ def test_flags_are_written_without_another_shuffle(spark):
     assert text.count("Sort [") == 1
 
 
+def test_shuffle_partitions_grow_with_the_input():
+    assert shuffle_partitions(10 << 20) == 200
+    assert shuffle_partitions(1 << 40) == 2048
+    assert shuffle_partitions(100 << 40) == 100_000
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert work_path(spark, "x").startswith(shared_dir(spark) + "/x-")

@@ -17,12 +17,24 @@ def has_delta() -> bool:
     return importlib.util.find_spec("delta") is not None
 
 
+# Shuffle partitions aim at this size. Adaptive execution merges smaller ones but
+# does not split larger ones, so the number has to be high enough at the start.
+PARTITION_BYTES = 512 << 20
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions for jobs over that much input, 200 at least."""
+    return min(max(200, -(-input_bytes // PARTITION_BYTES)), MAX_SHUFFLE_PARTITIONS)
+
+
 def get_session(app_name: str = "tickstream", master: str | None = None,
-                conf: dict[str, str] | None = None) -> SparkSession:
+                conf: dict[str, str] | None = None,
+                input_bytes: int | None = None) -> SparkSession:
     """Build or reuse the session.
 
-    Shuffle partitions are left to adaptive execution: it starts from the
-    cluster's own ``spark.sql.shuffle.partitions`` and merges small ones.
+    ``input_bytes`` is the size of the tables the jobs will read and sets the
+    number of shuffle partitions; ``conf`` overrides any setting made here.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -34,6 +46,10 @@ def get_session(app_name: str = "tickstream", master: str | None = None,
     )
     if master:
         builder = builder.master(master)
+    if input_bytes is not None:
+        builder = builder.config(
+            "spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes))
+        )
     if has_delta():
         builder = builder.config(
             "spark.sql.extensions", "io.delta.sql.DeltaSparkSessionExtension"

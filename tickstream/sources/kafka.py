@@ -28,11 +28,13 @@ def connection_options(servers: str, api_key: str | None = None,
 
 def source_options(connection: dict[str, str], starting: str = "latest",
                    fail_on_data_loss: bool = False,
-                   max_offsets: int | None = None) -> dict[str, str]:
+                   max_offsets: int | None = None,
+                   min_partitions: int | None = None) -> dict[str, str]:
     """Read options; ``starting="earliest"`` replays a topic from its beginning.
 
     ``max_offsets`` bounds a micro-batch, which keeps a large backlog from
-    becoming a single job.
+    becoming a single job. ``min_partitions`` lets several tasks share a topic
+    partition, so that a crowded one is not read by a single task.
     """
     options = connection | {
         "startingOffsets": starting,
@@ -40,6 +42,8 @@ def source_options(connection: dict[str, str], starting: str = "latest",
     }
     if max_offsets is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 

@@ -109,6 +109,22 @@ def read_gold(spark: SparkSession, lake: Lake, name: str, fmt: str | None = None
     return read_table(spark, lake.gold(GOLD_TABLES[name]), fmt)
 
 
+def register_views(spark: SparkSession, lake: Lake, fmt: str | None = None) -> list[str]:
+    """Make the tables that exist queryable in SQL; returns the view names."""
+    paths = {f"bronze_{name}": lake.bronze(name) for name in ("news", "prices")}
+    paths |= {f"silver_{name}": lake.silver(name) for name in ("news", "prices")}
+    paths |= {folder: lake.gold(folder) for folder in GOLD_TABLES.values()}
+    paths["news_vectors"] = lake.vectors
+    found = []
+    for view, path in paths.items():
+        try:
+            read_table(spark, path, fmt).createOrReplaceTempView(view)
+        except TableNotFound:
+            continue
+        found.append(view)
+    return found
+
+
 def row_counts(stages: dict[str, DataFrame]) -> DataFrame:
     """Rows of each stage as (stage, n_rows)."""
     counts = None
