@@ -203,6 +203,12 @@ def test_cut_series_with_equal_instants(spark):
     assert cut.orderBy(*keys).collect() == whole.orderBy(*keys).collect()
 
 
+def test_window_of_one_row(spark):
+    df = series(spark, random.Random(4), {"a": 40})
+    out = gold.rolling_stats(df, n=1, split_rows=10)
+    assert out.filter("avg_volume = volume AND stddev_volume IS NULL").count() == 40
+
+
 def test_crowded_stretches_fill_more_spans(spark):
     thin, crowded = spark.range(100), spark.range(5000)
     df = thin.select(F.timestamp_seconds(F.col("id") * 86400).alias("t")).unionByName(
@@ -211,9 +217,12 @@ def test_crowded_stretches_fill_more_spans(spark):
     series = rolling._long_series(df, "ticker", "t", 500)
     slot = F.floor((F.unix_micros("t") - F.col("_start")) / F.col("_width"))
     slotted = df.join(series, "ticker").withColumn("_slot", slot.cast("long"))
-    spans = rolling._spans(slotted, "ticker", 500)
+    spans = rolling._spans(slotted, "ticker", 500, 19)
     sizes = slotted.join(spans, ["ticker", "_slot"]).groupBy("_span").count()
     assert sum(column(sizes, "count")) == 5100
+    closing = slotted.join(spans.filter("_closing"), ["ticker", "_slot"]).groupBy("_span").count()
+    assert closing.count() == sizes.count()
+    assert min(column(closing, "count")) >= 19
     # One slot at most lies between a span and the size it was cut for.
     biggest_slot = max(column(slotted.groupBy("_slot").count(), "count"))
     assert max(column(sizes, "count")) <= 500 + biggest_slot

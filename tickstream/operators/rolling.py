@@ -38,15 +38,14 @@ def with_rolling(df: DataFrame, key: str, ts: str, rows: int,
     if series is None:
         return df.withColumns(_apply(stats, Window.partitionBy(key).orderBy(*order), rows))
 
+    carry = max(rows - 1, 1)
     slot = F.floor((F.unix_micros(ts) - F.col("_start")) / F.col("_width")).cast("long")
     slotted = df.join(series, key, "left").withColumn("_slot", slot).drop("_start", "_width")
     # Stored, so that Spark sees its size when it picks the join.
-    spans = stored(_spans(slotted, key, split_rows), "spans")
+    spans = stored(_spans(slotted, key, split_rows, carry), "spans")
     cut = slotted.join(spans, [key, "_slot"], "left").drop("_slot")
-    lead_in = _lead_in(
-        cut.filter(F.col("_span").isNotNull()), key, order, inputs, rows - 1
-    )
-    both = cut.withColumn("_copy", F.lit(False)).unionByName(
+    lead_in = _lead_in(cut.filter("_closing"), key, order, inputs, carry)
+    both = cut.drop("_closing").withColumn("_copy", F.lit(False)).unionByName(
         lead_in.withColumn("_copy", F.lit(True)), allowMissingColumns=True
     )
     window = Window.partitionBy(key, "_span").orderBy(*order)
@@ -90,21 +89,24 @@ def _long_series(df: DataFrame, key: str, ts: str, split_rows: int) -> DataFrame
     return F.broadcast(df.sparkSession.createDataFrame(found, long.schema))
 
 
-def _spans(slotted: DataFrame, key: str, split_rows: int) -> DataFrame:
+def _spans(slotted: DataFrame, key: str, split_rows: int, carry: int) -> DataFrame:
     """The span of every slot: a new one begins after about ``split_rows`` rows.
 
     Crowded stretches of time fill more spans than thin ones. A series has at
-    most ``SLOTS_PER_SPAN`` slots per span, which is what the running sum sorts.
+    most ``SLOTS_PER_SPAN`` slots per span, which is what the running sums sort.
+    ``_closing`` marks the slots that may hold some of a span's last ``carry`` rows.
     """
     counts = slotted.filter(F.col("_slot").isNotNull()).groupBy(key, "_slot").agg(
         F.count("*").alias("_n")
     )
-    so_far = Window.partitionBy(key).orderBy("_slot").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    before = F.sum("_n").over(so_far) - F.col("_n")
-    return counts.select(
-        key, "_slot", F.floor(before / F.lit(float(split_rows))).cast("long").alias("_span")
+    upward = Window.partitionBy(key).orderBy("_slot")
+    downward = Window.partitionBy(key, "_span").orderBy(F.desc("_slot"))
+    before = F.sum("_n").over(upward) - F.col("_n")
+    after = F.sum("_n").over(downward) - F.col("_n")
+    return (
+        counts.withColumn("_span", F.floor(before / F.lit(float(split_rows))).cast("long"))
+        .withColumn("_closing", after < carry)
+        .select(key, "_slot", "_span", "_closing")
     )
 
 
@@ -112,9 +114,10 @@ def _lead_in(cut: DataFrame, key: str, order: Sequence[str], inputs: Sequence[st
              carry: int) -> DataFrame:
     """Copies of the ``carry`` rows before each span, labelled with that span.
 
-    Only the last ``carry`` rows of a span can be needed later, and they come out
-    of a rank filter that runs before the shuffle. The preceding ``carry``
-    non-empty spans hold at least ``carry`` rows, or else all there are.
+    ``cut`` holds the closing rows of all spans. Only the last ``carry`` of each
+    can be needed later, and they come out of a rank filter that runs before the
+    shuffle. The preceding ``carry`` spans hold at least ``carry`` rows, or else
+    all there are.
     """
     fields = [*order, *[c for c in inputs if c not in order]]
     newest = Window.partitionBy(key, "_span").orderBy(*[F.col(c).desc() for c in order])
