@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tickstream.operators import gold, rolling, silver
-from tickstream.operators.dedup import one_per_key
+from tickstream.operators.dedup import one_per_key, top_of_few_groups, top_per_group
 from tickstream.schemas import GOLD_ANOMALY_COLUMNS, GOLD_SENTIMENT_COLUMNS
 
 
@@ -73,6 +73,15 @@ def test_keep_rejects_other_words(spark):
         one_per_key(spark.range(1), ["id"], ["id"], "any")
 
 
+def test_top_of_few_groups(spark):
+    df = spark.range(5000).select("id", (F.col("id") * 7919 % 1000).alias("v"),
+                                  F.when(F.col("id") % 3 == 0, "hot").otherwise("b").alias("g"))
+    order = [F.desc("v"), F.asc("id")]
+    whole = top_per_group(df, ["g"], order, 12).orderBy("g", "rank").collect()
+    salted = top_of_few_groups(df, ["g"], order, 12, ["id"], salts=8)
+    assert salted.orderBy("g", "rank").collect() == whole
+
+
 def test_rank_filter_runs_before_the_shuffle(spark):
     plan = silver.silver_news(bronze_news(spark, {}))._jdf.queryExecution().toString()
     assert plan.count("WindowGroupLimit") >= 2

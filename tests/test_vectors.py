@@ -64,6 +64,15 @@ def test_blocks_match_brute_force(spark, matrices, k):
     same(got, brute_force(queries, vectors, k))
 
 
+def test_wide_queries_are_sent_in_blocks(spark, matrices):
+    queries, vectors = matrices
+    got = run(frame(spark, queries, "query_id"), frame(spark, vectors), k=3, max_bytes=300)
+    same(got, brute_force(queries, vectors, 3))
+    plan = search.knn_search(frame(spark, queries, "query_id"), frame(spark, vectors),
+                             max_bytes=300)._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan
+
+
 def test_small_batches(spark, matrices):
     queries, vectors = matrices
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -33,16 +33,19 @@ def instant(text: str) -> Column:
 def hourly_bars(events: DataFrame) -> DataFrame:
     """Event types as tickers, hourly bars of the event values."""
     ts = F.col("ts").cast("timestamp")
+    hour = F.date_trunc("hour", ts)
+    # Microsecond of the hour, then event id, in one number: events of the same
+    # microsecond keep a fixed order, and the aggregate a fixed-width buffer.
+    turn = F.shiftleft(F.unix_micros(ts) - F.unix_micros(hour), 31).bitwiseOR(
+        F.col("event_id").bitwiseAND(F.lit(0x7FFFFFFF))
+    )
     return (
-        events.groupBy(
-            F.col("event_type").alias("ticker"),
-            F.date_trunc("hour", ts).alias("bar_time_ts"),
-        )
+        events.groupBy(F.col("event_type").alias("ticker"), hour.alias("bar_time_ts"))
         .agg(
-            F.min_by("value", ts).alias("open"),
+            F.min_by("value", turn).alias("open"),
             F.max("value").alias("high"),
             F.min("value").alias("low"),
-            F.max_by("value", ts).alias("close"),
+            F.max_by("value", turn).alias("close"),
             F.count("*").alias("volume"),
         )
         .withColumn("price_range", F.col("high") - F.col("low"))

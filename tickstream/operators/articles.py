@@ -19,7 +19,7 @@ from tickstream.constants import (
 )
 from tickstream.functions.text import has_all_words, words
 from tickstream.functions.times import iso_instant, iso_string, lookback_start, stamp
-from tickstream.operators.dedup import one_per_key, top_per_group
+from tickstream.operators.dedup import one_per_key, top_of_few_groups
 from tickstream.schemas import NEWS_PAYLOAD
 
 
@@ -64,7 +64,8 @@ def page(feeds: DataFrame, headlines_page: int = HEADLINES_PAGE,
         F.col("position").asc(),
     ]
     size = F.when(F.col("feed") == 0, headlines_page).otherwise(search_page)
-    ranked = top_per_group(feeds, ["feed"], first, max(headlines_page, search_page), "_rn")
+    most = max(headlines_page, search_page)
+    ranked = top_of_few_groups(feeds, ["feed"], first, most, ["position"], "_rn")
     return ranked.filter(F.col("_rn") <= size).drop("_rn")
 
 

@@ -30,7 +30,9 @@ def daily_bars(prices: DataFrame) -> DataFrame:
     """One bar per ticker and day from finer bars (columns as in silver prices).
 
     All aggregates have fixed-width buffers, so they hash-aggregate before the
-    shuffle and a crowded ticker costs one row per task and day.
+    shuffle and a crowded ticker costs one row per task and day. Bar times should
+    be distinct per ticker (``silver_prices(by_instant=True)`` makes them so), or
+    else open and close may come from either bar of an instant.
     """
     ts = F.col("bar_time_ts")
     return (

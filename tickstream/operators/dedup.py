@@ -30,3 +30,17 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     """The best ``n`` rows of every group, numbered from 1."""
     ranked = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(ranked)).filter(F.col(rank) <= n)
+
+
+def top_of_few_groups(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
+                      spread: Sequence[str], rank: str = "rank",
+                      salts: int = 64) -> DataFrame:
+    """``top_per_group`` for a handful of large groups of wide rows.
+
+    With few groups, the best rows of all tasks would meet in as few tasks. They
+    are first narrowed down in ``salts`` parts per group, told apart by a hash of
+    the ``spread`` columns, so that the last step sees at most ``salts * n`` rows.
+    """
+    part = F.pmod(F.xxhash64(*spread), F.lit(salts))
+    narrowed = top_per_group(df.withColumn("_part", part), [*keys, "_part"], order, n, rank)
+    return top_per_group(narrowed.drop("_part", rank), keys, order, n, rank)

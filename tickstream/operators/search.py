@@ -15,8 +15,10 @@ from tickstream.operators.dedup import top_per_group
 from tickstream.session import ship_package
 from tickstream.sources.tables import stored
 
-# Query vectors sent to every task; more than this go the shuffled way.
+# Query vectors sent to every task, in number and in size; more than this go the
+# shuffled way.
 MAX_SENT_QUERIES = 8192
+MAX_SENT_BYTES = 32 << 20
 # Stored vectors per task group on the shuffled way.
 GROUP_VECTORS = 16384
 # Queries scored against a batch in one matrix product.
@@ -31,17 +33,17 @@ _HITS_ARROW = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()),
 
 
 def knn_search(queries: DataFrame, vectors: DataFrame, k: int = TOP_K,
-               max_sent: int = MAX_SENT_QUERIES,
+               max_sent: int = MAX_SENT_QUERIES, max_bytes: int = MAX_SENT_BYTES,
                group_vectors: int = GROUP_VECTORS) -> DataFrame:
     """The ``k`` stored vectors with the highest cosine for every query.
 
     ``queries`` holds (query_id BIGINT, embedding), ``vectors`` (vec_id BIGINT,
     embedding). Returns (query_id, rank, vec_id, score), rank from 1.
 
-    Up to ``max_sent`` queries are sent to the tasks, and the stored vectors are
-    scored where they are read: nothing but ``k`` hits per query and task is
-    shuffled. More queries than that are cut into blocks, as are the vectors, and
-    each pair of blocks is scored in a task of its own. Either way all vectors
+    Up to ``max_sent`` queries of at most ``max_bytes`` are sent to the tasks, and
+    the stored vectors are scored where they are read: nothing but ``k`` hits per
+    query and task is shuffled. More than that is cut into blocks, as are the
+    vectors, and each pair of blocks is scored in a task of its own. Either way all vectors
     are compared and no pair of rows is ever emitted that is not among the best
     ``k`` of its block.
     """
@@ -53,10 +55,12 @@ def knn_search(queries: DataFrame, vectors: DataFrame, k: int = TOP_K,
         F.col("embedding").isNotNull()
     )
     sample = queries.limit(max_sent + 1).toArrow()
-    if sample.num_rows <= max_sent:
+    if sample.num_rows <= max_sent and sample.nbytes <= max_bytes:
         hits = _search_sent(sample, vectors, k)
     else:
-        hits = _search_blocks(queries, vectors, k, max_sent, group_vectors)
+        by_size = max_bytes * sample.num_rows // sample.nbytes
+        block = max(1, min(max_sent, by_size))
+        hits = _search_blocks(queries, vectors, k, block, group_vectors)
     best = top_per_group(
         hits, ["query_id"], [F.col("score").desc(), F.col("vec_id").asc()], k
     )
