@@ -8,17 +8,20 @@ from helpers import column, price_rows, ts
 from pyspark.sql import functions as F
 
 from tickstream import fixtures as fx
-from tickstream.operators.gold import price_anomaly_flags
+from tickstream.constants import NO_ARTICLES
+from tickstream.operators.embed import build_vectors
+from tickstream.operators.envelope import parse_messages
+from tickstream.operators.gold import daily_sentiment, price_anomaly_flags
+from tickstream.operators.silver import silver_news, silver_prices
 from tickstream.plans.batch import build_vector_table, run_batch
 from tickstream.plans.reports import (
-    NO_ARTICLES,
     index_report,
     latest_rows,
     latest_rows_text,
     live_prices,
     search_answers,
 )
-from tickstream.schemas import ENVELOPE, VECTORS
+from tickstream.schemas import ENVELOPE, NEWS_PAYLOAD, PRICE_PAYLOAD, VECTORS
 from tickstream.session import shared_dir, shuffle_partitions, work_path
 from tickstream.sources.kafka import read_envelope_files
 from tickstream.sources.tables import Lake, read_gold, read_table, register_views, write_table
@@ -176,6 +179,59 @@ def test_shuffle_partitions_grow_with_the_input():
     assert shuffle_partitions(100 << 40) == 100_000
 
 
+CONTRACT = {
+    "bronze_prices": (
+        "ingested_at string, ticker string, bar_time string, open double, high double, "
+        "low double, close double, volume bigint, kafka_timestamp timestamp, "
+        "kafka_partition int, kafka_offset bigint, spark_written_at timestamp"
+    ),
+    "bronze_news": (
+        "ingested_at string, source_name string, author string, title string, "
+        "description string, url string, published_at string, content string, "
+        "kafka_timestamp timestamp, kafka_partition int, kafka_offset bigint, "
+        "spark_written_at timestamp"
+    ),
+}
+CONTRACT["silver_prices"] = CONTRACT["bronze_prices"] + (
+    ", bar_time_ts timestamp, ingested_at_ts timestamp, price_range double, "
+    "silver_processed_at timestamp"
+)
+CONTRACT["silver_news"] = CONTRACT["bronze_news"] + (
+    ", published_at_ts timestamp, ingested_at_ts timestamp, silver_processed_at timestamp"
+)
+CONTRACT["gold_price_anomaly_flags"] = (
+    "ticker string, bar_time_ts timestamp, bar_date date, open double, high double, "
+    "low double, close double, volume bigint, price_range double, volume_zscore double, "
+    "range_zscore double, is_anomaly boolean, gold_processed_at timestamp"
+)
+CONTRACT["gold_daily_sentiment"] = (
+    "published_date date, article_count bigint, source_diversity bigint, "
+    "attention_score_proxy decimal(24,2), last_updated timestamp"
+)
+CONTRACT["news_vectors"] = (
+    "vec_id bigint, embedding array<float>, title string, url string, source_name string, "
+    "published_at string, text string"
+)
+
+
+def test_table_contracts(spark):
+    events, documents = (fx.load(spark, SF_DIR, t) for t in ("events", "documents"))
+    tables = {
+        "bronze_prices": parse_messages(fx.price_envelope(fx.hourly_bars(events)), PRICE_PAYLOAD),
+        "bronze_news": parse_messages(fx.news_envelope(documents), NEWS_PAYLOAD),
+    }
+    tables["silver_prices"] = silver_prices(tables["bronze_prices"])
+    tables["silver_news"] = silver_news(tables["bronze_news"])
+    tables["gold_price_anomaly_flags"] = price_anomaly_flags(
+        tables["silver_prices"], split_rows=None
+    )
+    tables["gold_daily_sentiment"] = daily_sentiment(tables["silver_news"])
+    tables["news_vectors"] = build_vectors(tables["silver_news"])
+    for name, ddl in CONTRACT.items():
+        got = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tables[name].schema)
+        assert got == ddl, name
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert work_path(spark, "x").startswith(shared_dir(spark) + "/x-")

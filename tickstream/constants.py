@@ -34,6 +34,30 @@ YEAR_RANGE_DAYS = 364
 # Texts handed to the embedding model per call.
 EMBED_BATCH = 50
 
+# Fixed text formats, with %s, %d and %f places.
+PART_LABELS = ("Title: ", "Description: ", "Content: ")
+PART_SEPARATOR = " | "
+CITATION_FORMAT = (
+    "[%d] %s\n"
+    "    Source: %s | Published: %s | Relevance: %.3f\n"
+    "    %s"
+)
+CITATION_SEPARATOR = "\n\n"
+EXCERPT_END = "..."
+UNKNOWN = "Unknown"
+NO_ARTICLES = "No relevant articles found."
+MONEY_FORMAT = "USD %.2f"
+PRICE_FORMAT = (
+    "Ticker: %s\n"
+    "Latest Close: %s\n"
+    "Daily Change: %s\n"
+    "Volume: %s\n"
+    "High: %s | Low: %s\n"
+    "52-Week High: %s | Low: %s\n"
+)
+NO_PRICE_FORMAT = "No price data available for %s. Market may be closed."
+EMPTY_TABLE_FORMAT = "Table '%s' exists but contains no data yet."
+
 # Every character that Python's str.strip() removes.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tickstream.constants import BODY_TAIL, EXCERPT_CHARS, WHITESPACE
+from tickstream import constants as c
 
 # Anything between two words.
 NON_WORD = r"[^\p{L}\p{N}]+"
@@ -13,30 +13,22 @@ NON_WORD = r"[^\p{L}\p{N}]+"
 
 def strip_all(text: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.btrim(text, F.lit(WHITESPACE))
-
-
-def non_empty(text: Column) -> Column:
-    return F.when(text != "", text)
+    return F.btrim(text, F.lit(c.WHITESPACE))
 
 
 def body_without_tail(content: Column) -> Column:
     """Article body up to the shortening marker, trimmed."""
-    return strip_all(F.substring_index(content, BODY_TAIL, 1))
+    return strip_all(F.substring_index(content, c.BODY_TAIL, 1))
 
 
 def compose_text(title: Column, description: Column, content: Column) -> Column:
     """Labelled parts in one string; NULL and empty parts are left out."""
-
-    def part(label: str, value: Column) -> Column:
-        return F.concat(F.lit(f"{label}: "), non_empty(value))
-
-    return F.concat_ws(
-        " | ",
-        part("Title", title),
-        part("Description", description),
-        part("Content", body_without_tail(content)),
-    )
+    parts = (title, description, body_without_tail(content))
+    labelled = [
+        F.when(part != "", F.concat(F.lit(label), part))
+        for label, part in zip(c.PART_LABELS, parts, strict=True)
+    ]
+    return F.concat_ws(c.PART_SEPARATOR, *labelled)
 
 
 def words(text: Column) -> Column:
@@ -50,23 +42,21 @@ def has_all_words(tokens: Column, phrase: str) -> Column:
     return F.size(F.array_except(wanted, tokens)) == 0
 
 
-def excerpt(text: Column, chars: int = EXCERPT_CHARS) -> Column:
+def excerpt(text: Column, chars: int = c.EXCERPT_CHARS) -> Column:
     """The opening characters, followed by dots."""
-    return F.concat(F.substring(text, 1, chars), F.lit("..."))
+    return F.concat(F.substring(text, 1, chars), F.lit(c.EXCERPT_END))
 
 
 def or_unknown(text: Column) -> Column:
-    return F.coalesce(text, F.lit("Unknown"))
+    return F.coalesce(text, F.lit(c.UNKNOWN))
 
 
 def citation(rank: Column, title: Column, source: Column, published: Column,
              score: Column, text: Column) -> Column:
     """One search hit as three lines of text."""
-    return F.concat(
-        F.format_string("[%d] %s\n", rank, or_unknown(title)),
-        F.format_string("    Source: %s | Published: %s | Relevance: %.3f\n",
-                        or_unknown(source), or_unknown(published), score),
-        F.lit("    "), excerpt(F.coalesce(text, F.lit(""))),
+    return F.format_string(
+        c.CITATION_FORMAT, rank, or_unknown(title), or_unknown(source),
+        or_unknown(published), score, excerpt(F.coalesce(text, F.lit(""))),
     )
 
 
@@ -75,7 +65,7 @@ def normal_ticker(ticker: Column) -> Column:
 
 
 def money(amount: Column) -> Column:
-    return F.format_string("USD %.2f", amount.cast("double"))
+    return F.format_string(c.MONEY_FORMAT, amount.cast("double"))
 
 
 def signed_change(change: Column, pct: Column) -> Column:
@@ -93,18 +83,11 @@ def signed_change(change: Column, pct: Column) -> Column:
 def price_text(ticker: Column, close: Column, daily_change: Column, volume: Column,
                high: Column, low: Column, year_high: Column, year_low: Column) -> Column:
     """A price snapshot as lines of text."""
-    return F.concat(
-        F.lit("Ticker: "), ticker,
-        F.lit("\nLatest Close: "), money(close),
-        F.lit("\nDaily Change: "), daily_change,
-        F.lit("\nVolume: "), F.format_number(volume, 0),
-        F.lit("\nHigh: "), money(high), F.lit(" | Low: "), money(low),
-        F.lit("\n52-Week High: "), money(year_high), F.lit(" | Low: "), money(year_low),
-        F.lit("\n"),
+    return F.format_string(
+        c.PRICE_FORMAT, ticker, money(close), daily_change, F.format_number(volume, 0),
+        money(high), money(low), money(year_high), money(year_low),
     )
 
 
 def no_price_text(ticker: Column) -> Column:
-    return F.concat(
-        F.lit("No price data available for "), ticker, F.lit(". Market may be closed.")
-    )
+    return F.format_string(c.NO_PRICE_FORMAT, ticker)

@@ -7,7 +7,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickstream.constants import LATEST_ANOMALIES, SAMPLE_TITLES, TOP_K
+from tickstream.constants import (
+    CITATION_SEPARATOR,
+    EMPTY_TABLE_FORMAT,
+    LATEST_ANOMALIES,
+    NO_ARTICLES,
+    SAMPLE_TITLES,
+    TOP_K,
+)
 from tickstream.operators.bars import daily_bars
 from tickstream.operators.embed import Embedder, embed_texts, hash_embedder, index_stats
 from tickstream.operators.search import citations, knn_search, with_metadata
@@ -29,9 +36,6 @@ from tickstream.sources.tables import (
 LATEST = {"price_anomaly_flags": latest_anomalies, "daily_sentiment": latest_attention}
 assert LATEST.keys() == GOLD_TABLES.keys()
 
-NO_ARTICLES = "No relevant articles found."
-
-
 def search_news(questions: DataFrame, vectors: DataFrame, k: int = TOP_K,
                 make_embedder: Callable[[], Embedder] = hash_embedder) -> DataFrame:
     """The nearest articles to every question as (query_id, rank, vec_id, citation).
@@ -52,7 +56,7 @@ def search_answers(questions: DataFrame, vectors: DataFrame, k: int = TOP_K,
         # At most k rows a question.
         F.sort_array(F.collect_list(F.struct("rank", "citation"))).alias("_hits")
     )
-    text = F.array_join(F.col("_hits.citation"), "\n\n")
+    text = F.array_join(F.col("_hits.citation"), CITATION_SEPARATOR)
     return questions.join(found, "query_id", "left").select(
         "query_id", F.coalesce(text, F.lit(NO_ARTICLES)).alias("answer")
     )
@@ -68,7 +72,7 @@ def latest_rows(spark: SparkSession, lake: Lake, name: str,
 def latest_rows_text(spark: SparkSession, lake: Lake, name: str,
                      fmt: str | None = None) -> str:
     rows = latest_rows(spark, lake, name, fmt)
-    return render(rows, LATEST_ANOMALIES, f"Table '{name}' exists but contains no data yet.")
+    return render(rows, LATEST_ANOMALIES, EMPTY_TABLE_FORMAT % name)
 
 
 def live_prices(spark: SparkSession, lake: Lake, tickers: Sequence[str],
