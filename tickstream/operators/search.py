@@ -48,25 +48,28 @@ def knn_search(queries: DataFrame, vectors: DataFrame, k: int = TOP_K,
     ``k`` of its block.
     """
     ship_package(vectors.sparkSession)
-    queries = queries.select(F.col("query_id").cast("bigint"), "embedding").filter(
-        F.col("embedding").isNotNull()
-    )
-    vectors = vectors.select(F.col("vec_id").cast("bigint"), "embedding").filter(
-        F.col("embedding").isNotNull()
-    )
-    sample = queries.limit(max_sent + 1).toArrow()
-    if sample.num_rows <= max_sent and sample.nbytes <= max_bytes:
-        hits = _search_sent(sample, vectors, k)
+    # Stored, because they are counted before they are used and may come from a model.
+    queries = stored(_with_vectors(queries, "query_id"), "queries")
+    vectors = _with_vectors(vectors, "vec_id")
+    n_queries = queries.count()
+    sent = queries.toArrow() if n_queries <= max_sent else None
+    if sent is not None and sent.nbytes <= max_bytes:
+        hits = _search_sent(sent, vectors, k)
     else:
-        by_size = max_bytes * sample.num_rows // sample.nbytes
-        block = max(1, min(max_sent, by_size))
-        hits = _search_blocks(queries, vectors, k, block, group_vectors)
+        block = max_sent if sent is None else max_bytes * n_queries // sent.nbytes
+        hits = _search_blocks(queries, n_queries, vectors, k, max(1, block), group_vectors)
     best = top_per_group(
         hits, ["query_id"], [F.col("score").desc(), F.col("vec_id").asc()], k
     )
     return best.select("query_id", "rank", "vec_id", "score")
 
 
+def _with_vectors(df: DataFrame, id_col: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("bigint"), "embedding").filter(
+        F.col("embedding").isNotNull()
+    )
+
+
 def _search_sent(queries: pa.Table, vectors: DataFrame, k: int) -> DataFrame:
     spark = vectors.sparkSession
     sent = spark.sparkContext.broadcast(_ids_and_units(queries, "query_id"))
@@ -82,17 +85,15 @@ def _search_sent(queries: pa.Table, vectors: DataFrame, k: int) -> DataFrame:
     return vectors.mapInArrow(score, HITS)
 
 
-def _search_blocks(queries: DataFrame, vectors: DataFrame, k: int, block_queries: int,
-                   group_vectors: int) -> DataFrame:
+def _search_blocks(queries: DataFrame, n_queries: int, vectors: DataFrame, k: int,
+                   block_queries: int, group_vectors: int) -> DataFrame:
     """Every block of queries against every block of vectors.
 
     Blocks come from a hash of unique ids, so they are of even size whatever the
     data looks like. The product of the blocks is the work an exact search has to
     do; the copies of rows it ships are small beside the products it computes.
     """
-    # Read three times below, and possibly the output of a model.
-    queries = stored(queries, "queries")
-    query_blocks = max(1, -(-queries.count() // block_queries))
+    query_blocks = max(1, -(-n_queries // block_queries))
     vector_blocks = max(1, -(-vectors.count() // group_vectors))
 
     def blocked(df: DataFrame, id_col: str, own: str, own_n: int, other: str,
