@@ -83,6 +83,7 @@ def test_compose_text(spark, title, description, content, expected):
     ("Microsoft's new AI chip", "Microsoft AI", True),
     ("Microsoft said so", "Microsoft AI", False),
     ("the stock-market today", "stock market", True),
+    ("U.S. stocks fall", "U.S. stocks", True),
 ])
 def test_has_all_words(spark, body, phrase, expected):
     assert scalar(spark, text.has_all_words(text.words(F.lit(body)), phrase)) is expected

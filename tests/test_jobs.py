@@ -14,6 +14,7 @@ from tickstream.operators.envelope import parse_messages
 from tickstream.operators.gold import daily_sentiment, price_anomaly_flags
 from tickstream.operators.silver import silver_news, silver_prices
 from tickstream.plans.batch import build_vector_table, run_batch
+from tickstream.plans.ingest import price_messages
 from tickstream.plans.reports import (
     index_report,
     latest_rows,
@@ -24,7 +25,9 @@ from tickstream.plans.reports import (
 from tickstream.schemas import ENVELOPE, NEWS_PAYLOAD, PRICE_PAYLOAD, VECTORS
 from tickstream.session import shared_dir, shuffle_partitions, work_path
 from tickstream.sources.kafka import read_envelope_files
+from tickstream.sources.landing import stream_bars
 from tickstream.sources.tables import Lake, read_gold, read_table, register_views, write_table
+from tickstream.streaming.cycles import start_cycles
 from tickstream.streaming.ingest import (
     describe,
     run_to_end,
@@ -95,6 +98,27 @@ def test_all_stop_when_one_fails(spark, tmp_path):
     assert not any(q.isActive for q in queries)
 
 
+def test_cycles_send_every_landed_file_once(spark, tmp_path):
+    landing, sent = tmp_path / "landing", str(tmp_path / "sent")
+    landing.mkdir()
+    line = ('{"ticker":"%s","bar_time_ts":"2026-04-24T03:00:00.000Z","open":1.0,"high":2.0,'
+            '"low":0.5,"close":1.5,"volume":2}\n')
+
+    def cycle():
+        run_to_end([start_cycles(
+            stream_bars(spark, str(landing)), price_messages,
+            lambda messages: messages.write.mode("append").parquet(sent),
+            str(tmp_path / "checkpoint"), Trigger(available=True), "cycles",
+        )])
+        keys = spark.read.parquet(sent).select(F.col("key").cast("string").alias("k"))
+        return sorted(column(keys, "k"))
+
+    (landing / "1.json").write_text(line % "NVDA" + line % "other")
+    assert cycle() == ["NVDA|2026-04-24T03:00:00+00:00"]
+    (landing / "2.json").write_text(line % "AMD")
+    assert cycle() == ["AMD|2026-04-24T03:00:00+00:00", "NVDA|2026-04-24T03:00:00+00:00"]
+
+
 def test_run_batch(spark, tmp_path):
     lake = Lake(str(tmp_path))
     fx.bronze_news(fx.load(spark, SF_DIR, "documents")).write.parquet(lake.bronze("news"))

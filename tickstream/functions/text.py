@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ def words(text: Column) -> Column:
 
 def has_all_words(tokens: Column, phrase: str) -> Column:
     """True when every word of the phrase is among the tokens; NULL without tokens."""
-    wanted = F.array(*[F.lit(w) for w in phrase.lower().split()])
+    wanted = F.array(*[F.lit(w) for w in re.findall(r"[^\W_]+", phrase.lower())])
     return F.size(F.array_except(wanted, tokens)) == 0
 
 

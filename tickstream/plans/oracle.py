@@ -307,6 +307,9 @@ ORACLE = {
     "envelope_news": sql(
         f"{FEEDS} payload", "SELECT url AS key, 'news-raw' AS topic, * FROM payload"
     ),
+    "stream_news_cycle": sql(
+        f"{FEEDS} payload", "SELECT url AS key, 'news-raw' AS topic, * FROM payload"
+    ),
     "normalise_articles": sql(f"{FEEDS} payload", "SELECT * FROM payload"),
     "landed_articles": sql(f"{FEEDS} payload", "SELECT * FROM payload"),
     "landed_bars": sql("bars bar_payload", "SELECT * FROM bar_payload"),

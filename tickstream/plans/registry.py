@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import StructType, TimestampType
 
 from tickstream import fixtures as fx
 from tickstream.constants import SAMPLE_TITLES
@@ -21,8 +21,9 @@ from tickstream.plans.reports import search_answers, search_news
 from tickstream.schemas import NEWS_PAYLOAD, PRICE_PAYLOAD
 from tickstream.session import prepare, work_path
 from tickstream.sources.kafka import read_envelope_files
-from tickstream.sources.landing import read_articles, read_bars
+from tickstream.sources.landing import read_articles, read_bars, stream_articles
 from tickstream.sources.tables import Lake, read_gold, read_table, row_counts, sql_path, stored
+from tickstream.streaming.cycles import start_cycles
 from tickstream.streaming.ingest import run_to_end, start_news, start_prices
 from tickstream.streaming.triggers import Trigger
 
@@ -176,26 +177,29 @@ def stage_counts(spark, d):
 # Ingest ------------------------------------------------------------------
 
 
-@query
-def envelope_prices(spark, d):
-    return price_messages(
-        _hourly(spark, d), fx.instant(fx.CYCLE_TIME), fx.EVENT_TICKERS
-    ).select(
+def _opened(messages: DataFrame, payload: StructType) -> DataFrame:
+    """Messages as columns, since a value's exact JSON spelling is not fixed."""
+    return messages.select(
         F.col("key").cast("string").alias("key"),
-        F.from_json(F.col("value").cast("string"), PRICE_PAYLOAD).alias("p"),
+        F.from_json(F.col("value").cast("string"), payload).alias("p"),
         "topic",
     ).select("key", "topic", "p.*")
 
 
+@query
+def envelope_prices(spark, d):
+    messages = price_messages(
+        _hourly(spark, d), fx.instant(fx.CYCLE_TIME), fx.EVENT_TICKERS
+    )
+    return _opened(messages, PRICE_PAYLOAD)
+
+
 @query
 def envelope_news(spark, d):
-    return news_messages(
+    messages = news_messages(
         fx.raw_articles(fx.load(spark, d, "documents")), fx.instant(fx.CYCLE_TIME), fx.PHRASES
-    ).select(
-        F.col("key").cast("string").alias("key"),
-        F.from_json(F.col("value").cast("string"), NEWS_PAYLOAD).alias("p"),
-        "topic",
-    ).select("key", "topic", "p.*")
+    )
+    return _opened(messages, NEWS_PAYLOAD)
 
 
 @query
@@ -257,6 +261,22 @@ def stream_bronze_prices(spark, d):
     return read_table(spark, lake.bronze("prices"), "parquet")
 
 
+@query
+def stream_news_cycle(spark, d):
+    """Landed article files streamed into messages, all files in one cycle."""
+    landing, sent = work_path(spark, "landing-articles"), work_path(spark, "messages")
+    fx.raw_articles(fx.load(spark, d, "documents")).write.json(landing)
+    run_to_end([
+        start_cycles(
+            stream_articles(spark, landing),
+            lambda batch: news_messages(batch, fx.instant(fx.CYCLE_TIME), fx.PHRASES),
+            lambda messages: messages.write.mode("append").parquet(sent),
+            work_path(spark, "checkpoint"), Trigger(available=True),
+        )
+    ])
+    return _opened(spark.read.parquet(sent), NEWS_PAYLOAD)
+
+
 @query
 def stream_bronze_news(spark, d):
     """The document table itself as a stream of messages, appended to bronze."""
