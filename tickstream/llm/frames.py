@@ -157,3 +157,23 @@ def _observed(edges: DataFrame) -> tuple[DataFrame, tuple]:
         seen, F.count(F.lit(1)).alias("n"),
         F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("x")), "links")
     return out, (seen.get["n"], seen.get["x"])
+
+
+def consecutive(source: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Table]:
+    """Tables of consecutive rows that agree in the first ``width`` columns (longs)."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in source:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(k).to_numpy() for k in range(width)], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for s, e in zip(cuts[:-1], cuts[1:]):
+            key = tuple(keys[s])
+            if held and key != last:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(s, e - s))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()

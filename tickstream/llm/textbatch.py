@@ -17,7 +17,7 @@ import pyarrow as pa
 U64 = np.uint64
 # Work is cut into pieces of about this many bytes, so memory does not follow the
 # length of texts or batches.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
