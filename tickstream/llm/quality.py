@@ -172,7 +172,7 @@ class Forest:
                 at = node[pick]
                 node[pick] = 2 * at + 1 + (x[pick, feature[at]] >= value[at])
             total += length[node]
-        return 2.0 ** -(total / len(self.feature) / _expected(self.rows))
+        return 2.0 ** -(total / len(self.feature) / (_expected(self.rows) or 1.0))
 
 
 def _expected(n: int) -> float:
@@ -244,12 +244,11 @@ def thresholds(scored: DataFrame, labels: DataFrame, max_loss: float = MAX_LOSS,
     all bands together. Without labels nothing is rejected.
     """
     marked = labels.where(F.col(quality).isNotNull()).select(
-        F.col(doc_id).alias("__id"), (F.col(quality) > 0).alias("good"))
+        F.col(doc_id).alias("__id"), (F.col(quality) > 0).alias("__good"))
     rows = (
         scored.where(~base_failed()).join(marked, F.col(doc_id) == F.col("__id"))
         .groupBy("band", F.floor(F.col("anomaly") * SCORE_BINS).cast("int").alias("bin"))
-        .agg(F.sum(F.col("good").cast("int")).alias("good"),
-             F.sum((~F.col("good")).cast("int")).alias("bad")).collect()
+        .agg(F.sum(F.col("__good").cast("int")).alias("good")).collect()
     )
     good = np.zeros((22, SCORE_BINS + 1))
     for r in rows:

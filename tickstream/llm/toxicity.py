@@ -212,8 +212,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
         picked = part if picked is None else picked.unionAll(part)
     # The bounds above cap the rows that are sent.
     sample = keep(
-        docs.join(F.broadcast(picked), F.col(doc_id) == F.col("__id"))
-        .select("toxic", as_bytes(text).alias("text")), "toxic-sample")
+        docs.select(F.col(doc_id).alias("__doc"), as_bytes(text).alias("text"))
+        .join(F.broadcast(picked), F.col("__doc") == F.col("__id")).select("toxic", "text"), "toxic-sample")
 
     lexicon = _lexicon(sample, {k: min(v, bounds[k]) for k, v in counts.items()})
     cells, label, sentence = _sentences(sample, lexicon)
