@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tests.llm import brute
+from tickstream.llm import ngram_join
+from tickstream.llm.signature_tree import SignatureTree, Threshold, bitmaps, similar_pairs, spanning_links
+
+SETS = st.lists(st.sets(st.integers(0, 40), min_size=1, max_size=30), min_size=1, max_size=40)
+
+
+def _hashed(sets):
+    rng = np.random.default_rng(1)
+    names = rng.integers(0, 1 << 63, 41, dtype=np.uint64) * np.uint64(2)
+    arrays = [np.sort(names[list(s)]) for s in sets]
+    return np.concatenate(arrays), np.cumsum([0] + [len(a) for a in arrays])
+
+
+@settings(max_examples=60)
+@given(SETS, st.sampled_from([(90, 100), (80, 100), (50, 100), (1, 1)]))
+def test_tree_finds_every_similar_pair(sets, ratio):
+    limit = Threshold(*ratio)
+    hashes, bounds = _hashed(sets)
+    tree = SignatureTree(np.diff(bounds), bitmaps(hashes, bounds))
+    found = {(min(a, b), max(a, b)) for i, j in similar_pairs(tree, tree, limit) for a, b in zip(i.tolist(), j.tolist())}
+    want = {(a, b) for b in range(len(sets)) for a in range(b)
+            if limit.den * len(sets[a] & sets[b]) >= limit.num * len(sets[a] | sets[b])}
+    assert want <= found
+    half = len(sets) // 2
+    if half:
+        one = SignatureTree(np.diff(bounds)[:half], bitmaps(hashes, bounds)[:half])
+        two = SignatureTree(np.diff(bounds)[half:], bitmaps(hashes, bounds)[half:])
+        across = {(a, b + half) for i, j in similar_pairs(one, two, limit) for a, b in zip(i.tolist(), j.tolist())}
+        assert {(a, b) for a, b in want if a < half <= b} <= across
+    groups = list(range(len(sets)))
+    for a, b in spanning_links(hashes, bounds, bitmaps(hashes, bounds), limit):
+        assert (min(a, b), max(a, b)) in want
+        x, y = groups[a], groups[b]
+        groups = [x if g == y else g for g in groups]
+    assert all(groups[a] == groups[b] for a, b in want)
+
+
+@given(st.integers(1, 2000), st.integers(1, 2000), st.integers(0, 2000))
+def test_needed_overlap_is_exact(a, b, common):
+    limit = Threshold(90, 100)
+    common = min(common, a, b)
+    assert (common >= limit.needed(a + b)) == (100 * common >= 90 * (a + b - common))
+
+
+def _texts(seed: int):
+    rng = random.Random(seed)
+    vocabulary = ["w%d" % k for k in range(300)]
+    line = " ".join(rng.choice(vocabulary) for _ in range(40))
+    texts = [(1000, None), (1001, ""), (1002, " \n "), (1003, "one"), (1004, "ONE"), (1005, "one two"), (7, "one")]
+    number = 0
+    for _ in range(14):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice([5, 30, 120, 400]))]
+        for _ in range(rng.randint(1, 7)):
+            words = base[:]
+            for _ in range(rng.randint(0, max(1, len(words) // 25))):
+                words[rng.randrange(len(words))] = rng.choice(vocabulary)
+            text = " ".join(words)
+            if rng.random() < 0.4:
+                text = line + "\n" + text
+            number += 10
+            texts.append((number, text))
+            if rng.random() < 0.3:
+                texts.append((number + 1, text.upper()))
+    return texts
+
+
+@pytest.mark.parametrize("seed,width,num", [(1, 3, 90), (2, 5, 80), (3, 2, 60)])
+def test_components_against_brute_force(spark, make_docs, monkeypatch, seed, width, num):
+    if seed == 3:  # many small groups, blocks and spread keys
+        monkeypatch.setattr(ngram_join, "GROUP_CLASSES", 3)
+        monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 2)
+    texts = _texts(seed)
+    out = ngram_join.jaccard_groups(make_docs(texts), width, num, 100).collect()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out}
+    assert got == brute.jaccard_components(texts, width, num, 100)
+    assert len(out) == len(texts)
+
+
+def test_stage_keeps_one_of_each_group(spark, make_docs):
+    body = " ".join("w%d" % (k * k % 97) for k in range(80))
+    texts = [(5, body), (3, body.upper()), (3, body.upper()), (8, body + " more"), (9, "another text here"), (2, None), (2, "")]
+    out = ngram_join.keep_one_of_group(make_docs(texts)).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in out) == [
+        (2, ""), (2, ""), (3, body.upper()), (9, "another text here")]
+
+
+def test_empty_table_and_null_ids(spark, make_docs):
+    assert ngram_join.jaccard_groups(make_docs([]), 3).count() == 0
+    docs = make_docs([(None, "a b c d"), (4, "a b c d"), (None, "x")])
+    got = sorted(((r["doc_id"], r["component_id"]) for r in ngram_join.jaccard_groups(docs, 3).collect()), key=str)
+    assert got == [(4, 4), (None, 4), (None, None)]

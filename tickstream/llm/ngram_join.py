@@ -1,13 +1,15 @@
 """N-gram Jaccard join of whole texts with signature trees.
 
 1. Every text becomes its set of hashed word shingles; texts with equal sets form one
-   class. In the same pass shingles are counted in a table of fixed size, which later
-   only orders them: rare ones first.
+   class, known by its size and two short bitmaps. In the same pass shingles are counted
+   in a table of fixed size, which later only orders them: rare ones first.
 2. A class is dealt to one bucket per token of its prefix. By the order's prefix
-   property two similar sets meet in a bucket. Only buckets with two classes live on.
-3. Each class goes, with its text, to the group of the class it shares most buckets with.
-   Big groups are cut into parts that all hold the group's head. In a part a signature tree is
-   built and walked against itself, and pairs that survive are checked exactly.
+   property two similar sets meet in a bucket. A bucket falls apart where sizes differ too
+   much, and what is left of one class alone is dropped.
+3. Each class is paired with the least class of its buckets. Pairs that the bitmaps do not
+   rule out form groups: a class goes, with its text, to the group it shares most buckets
+   with. Big groups are cut into parts that all hold the group's head. In a part a
+   signature tree is built and walked against itself; surviving pairs are checked exactly.
 4. Buckets in which classes are still unconnected are walked with signature trees once
    more, across parts, and the surviving pairs are checked exactly. So every link between
    different sets is found, or its ends are connected already.
@@ -31,9 +33,11 @@ from tickstream.llm.frames import (
     as_bytes, components, consecutive, extended, filter_by_bitmap, keep, key_bitmap, session_of,
 )
 from tickstream.llm.signature_tree import (
-    SignatureTree, Threshold, bitmaps, common_count, similar_pairs, spanning_links,
+    SHORT_BITS, SignatureTree, Threshold, bitmaps, common_count, parities, similar_pairs, spanning_links,
+)
+from tickstream.llm.textbatch import (
+    distinct_in_rows, mix, pieces, row_bounds, shingles, sort_in_rows, text_bytes,
 )
-from tickstream.llm.textbatch import distinct_in_rows, mix, pieces, row_bounds, shingles, text_bytes
 
 ORDER_BITS = 20
 _CHUNKS = 64
@@ -64,15 +68,19 @@ def _sets(column: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray,
         yield a, b, *distinct_in_rows(*shingles(part, offsets[a:b + 1] - offsets[a], width))
 
 
+SET_COLUMNS = {"n_shingles": "long", "set_key": "long", "bits": "binary", "parity": "binary"}
+COUNT_COLUMNS = {"chunk": "int", "counts": "binary"}
+
+
 def document_sets(docs: DataFrame, width: int, text: str = "text") -> DataFrame:
-    """The rows without their text, with ``n_shingles`` and the set's hash ``set_key``.
+    """The rows without their text, with SET_COLUMNS: the set's size, hash and bitmaps.
 
     Besides these rows (``chunk`` null) each task adds its counts of shingles by
     hash cell, in chunks of a table of 2**ORDER_BITS cells.
     """
-    kept = docs.drop(text)
-    schema = extended(kept, {"n_shingles": "long", "set_key": "long", "chunk": "int", "counts": "binary"})
-    arrow = [f for f in kept.columns]
+    kept = docs.drop(text, *SET_COLUMNS, *COUNT_COLUMNS)
+    schema = extended(kept, SET_COLUMNS | COUNT_COLUMNS)
+    names = schema.names
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << ORDER_BITS, np.uint32)
@@ -81,29 +89,41 @@ def document_sets(docs: DataFrame, width: int, text: str = "text") -> DataFrame:
             rows = batch.num_rows
             types = [c.type for c in batch.columns[:-1]]
             sizes, keys = np.zeros(rows, np.int64), np.zeros(rows, np.uint64)
+            bits, odd = (np.zeros((rows, SHORT_BITS // 64), np.uint64) for _ in range(2))
             for a, b, hashes, owner in _sets(batch.column(batch.num_columns - 1), width):
                 sizes[a:b], keys[a:b] = set_hash(hashes, owner, b - a)
+                bounds = row_bounds(owner, b - a)
+                bits[a:b] = bitmaps(hashes, bounds, SHORT_BITS)
+                odd[a:b] = parities(hashes, bounds)
                 counts += np.bincount(
                     (hashes >> np.uint64(64 - ORDER_BITS)).astype(np.int64),
                     minlength=1 << ORDER_BITS).astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(sizes), pa.array(keys.view(np.int64)),
-                 pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
-                [*arrow, "n_shingles", "set_key", "chunk", "counts"])
+                 _blobs(bits), _blobs(odd), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
         if types is None:
             return
         parts = counts.reshape(_CHUNKS, -1)
         some = np.flatnonzero(parts.any(axis=1))
+        empty = [*types, pa.int64(), pa.int64(), pa.binary(), pa.binary()]
         yield pa.RecordBatch.from_arrays(
-            [*[pa.nulls(len(some), t) for t in types], pa.nulls(len(some), pa.int64()),
-             pa.nulls(len(some), pa.int64()), pa.array(some, pa.int32()),
-             pa.array([parts[k].tobytes() for k in some], pa.binary())],
-            [*arrow, "n_shingles", "set_key", "chunk", "counts"])
+            [*[pa.nulls(len(some), t) for t in empty], pa.array(some, pa.int32()),
+             pa.array([parts[k].tobytes() for k in some], pa.binary())], names)
 
-    rest = [c for c in docs.columns if c != text]
+    rest = [c for c in docs.columns if c in kept.columns]
     return docs.select(*rest, as_bytes(text).alias("__bytes")).mapInArrow(run, schema)
 
 
+def _blobs(rows: np.ndarray) -> pa.Array:
+    return pa.array([row.tobytes() for row in rows], pa.binary())
+
+
+def _rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """The rows of a column written by ``_blobs``."""
+    blobs = column.to_pylist()
+    return np.frombuffer(b"".join(blobs), np.uint64).reshape(len(blobs), -1)
+
+
 def frequency_levels(counts: DataFrame) -> np.ndarray:
     """Logarithmic frequency of each cell over all documents; 2**ORDER_BITS bytes."""
     cells = (1 << ORDER_BITS) // _CHUNKS
@@ -128,68 +148,75 @@ def frequency_levels(counts: DataFrame) -> np.ndarray:
     return np.minimum(4 * np.log2(1 + out.ravel()), 255).astype(np.uint8)
 
 
-def _hot_parts(level: np.ndarray) -> np.ndarray:
-    """Over how many parts rows of keys of that level are spread."""
+def _hot_parts(key: np.ndarray) -> np.ndarray:
+    """Over how many parts the rows of a key are spread, by the frequency in its high bits."""
+    level = (key >> np.uint64(56)).astype(np.float64)
     return np.maximum(1, np.exp2(level / 4.0) // HOT_KEY_ROWS).astype(np.uint64)
 
 
 def prefix_buckets(docs: DataFrame, width: int, limit: Threshold, levels: np.ndarray, parts: int,
                    text: str = "text") -> DataFrame:
-    """Prefix tokens of all classes, packed into one binary per part: keys, then classes."""
+    """Prefix tokens of all classes, packed into one binary per part: keys, classes, sizes.
+
+    A key is the token's frequency level, then its hash: keys sort rare tokens first.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         size = 0
         for batch in source:
             for a, b, hashes, owner in _sets(batch.column(0), width):
-                sizes, keys = set_hash(hashes, owner, b - a)
+                sizes, classes = set_hash(hashes, owner, b - a)
                 level = sent.value[(hashes >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
-                order = np.lexsort((hashes, level, owner))
-                hashes, owner = hashes[order], owner[order]
-                rank = np.arange(len(hashes)) - row_bounds(owner, b - a)[owner]
+                key = sort_in_rows(level.astype(np.uint64) << np.uint64(56) | hashes >> np.uint64(8), owner)
+                rank = np.arange(len(key)) - row_bounds(owner, b - a)[owner]
                 first = np.zeros(b - a, bool)
-                first[np.unique(keys, return_index=True)[1]] = True
+                first[np.unique(classes, return_index=True)[1]] = True
                 use = (rank < limit.prefix(sizes)[owner]) & first[owner]
-                held.append((hashes[use], keys[owner[use]]))
+                held.append((key[use], classes[owner[use]], sizes[owner[use]].astype(np.uint32)))
                 size += int(use.sum())
             if size > PART_ROWS:
-                yield _packed(held, sent.value, parts)
+                yield _packed(held, parts)
                 held, size = [], 0
         if size:
-            yield _packed(held, sent.value, parts)
+            yield _packed(held, parts)
 
     return docs.select(as_bytes(text).alias("b")).mapInArrow(run, "part int, rows binary")
 
 
-def _packed(held: list[tuple[np.ndarray, np.ndarray]], levels: np.ndarray, parts: int) -> pa.RecordBatch:
-    key, cls = (np.concatenate(x) for x in zip(*held))
-    spread = _hot_parts(levels[(key >> np.uint64(64 - ORDER_BITS)).astype(np.int64)])
-    part = (mix(key + mix(cls) % spread) % np.uint64(parts)).astype(np.int64)
+def _packed(held: list[tuple[np.ndarray, ...]], parts: int) -> pa.RecordBatch:
+    key, cls, size = (np.concatenate(x) for x in zip(*held))
+    part = (mix(key + mix(cls) % _hot_parts(key)) % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
-    key, cls, part = key[order], cls[order], part[order]
+    key, cls, size, part = key[order], cls[order], size[order], part[order]
     names, starts = np.unique(part, return_index=True)
     ends = np.append(starts[1:], len(part))
-    blobs = [key[a:b].tobytes() + cls[a:b].tobytes() for a, b in zip(starts, ends)]
+    blobs = [key[a:b].tobytes() + cls[a:b].tobytes() + size[a:b].tobytes() for a, b in zip(starts, ends)]
     return pa.RecordBatch.from_arrays(
         [pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["part", "rows"])
 
 
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    count = len(blob) // 20
+    return (np.frombuffer(blob, np.uint64, count), np.frombuffer(blob, np.int64, count, 8 * count),
+            np.frombuffer(blob, np.uint32, count, 16 * count).astype(np.int64))
+
+
 _STAR, _ROW, _HEAD = 0, 1, 2
 
 
-def shared_buckets(packed: DataFrame, levels: np.ndarray) -> DataFrame:
+def shared_buckets(packed: DataFrame, limit: Threshold) -> DataFrame:
     """What the buckets with two classes or more say, as (kind, x, y, n).
 
-    _STAR: class x shares n buckets with their least class y. _ROW: bucket x holds class y.
-    _HEAD: y is the least class in one part of the frequent key x.
+    _STAR: class x shares n buckets with their least class y. _ROW: bucket x of three classes
+    or more holds class y; buckets of equal classes have one name. _HEAD: y is the least
+    class in one part of the frequent key x, all of whose rows are given.
     """
-    sent = packed.sparkSession.sparkContext.broadcast(levels)
-
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, blobs in _by_key(source, 1):
-            pairs = [np.frombuffer(blob.as_py(), np.uint64).reshape(2, -1) for blob in blobs]
-            yield from _bucket_rows(np.concatenate(pairs, axis=1), sent.value)
+            rows = [_unpacked(blob.as_py()) for blob in blobs]
+            yield from _bucket_rows(*(np.concatenate(x) for x in zip(*rows)), limit)
 
     dealt = packed.repartition("part").sortWithinPartitions("part")
     return dealt.mapInArrow(run, "kind int, x long, y long, n long")
@@ -209,28 +236,42 @@ def _by_key(source: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[int
         yield now, held
 
 
-def _bucket_rows(pairs: np.ndarray, levels: np.ndarray) -> Iterator[pa.RecordBatch]:
-    key, cls = pairs[0], pairs[1].view(np.int64)
-    order = np.lexsort((cls, key))
-    key, cls = key[order], cls[order]
+def _bucket_rows(key: np.ndarray, cls: np.ndarray, size: np.ndarray,
+                 limit: Threshold) -> Iterator[pa.RecordBatch]:
+    order = np.lexsort((cls, size, key))
+    key, cls, size = key[order], cls[order], size[order]
+    if not len(key):
+        return
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
-    key, cls = key[new], cls[new]
-    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    key, cls, size = key[new], cls[new], size[new]
+    spread = _hot_parts(key) > 1
+    # In a run of ascending sizes no pair reaches over a step that is too large. Keys that
+    # are spread are not cut, since no part sees all their sizes.
+    cut = np.ones(len(key), bool)
+    cut[1:] = (key[1:] != key[:-1]) | (~spread[1:] & (size[:-1] * limit.den < size[1:] * limit.num))
+    starts = np.flatnonzero(cut)
     counts = np.diff(np.append(starts, len(key)))
-    lead = np.repeat(cls[starts], counts)
-    spread = _hot_parts(levels[(key >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]) > 1
-    live = (np.repeat(counts, counts) > 1) | spread
-    star = live & (cls != lead)
+    least = np.minimum.reduceat(cls, starts)
+    lead = np.repeat(least, counts)
+    lead_size = np.repeat(np.maximum.reduceat(np.where(cls == lead, size, 0), starts), counts)
+    near = (size * limit.den >= lead_size * limit.num) & (lead_size * limit.den >= size * limit.num)
+    star = near & (cls != lead)
     member, head = cls[star], lead[star]
     order = np.lexsort((head, member))
     member, head = member[order], head[order]
-    at = np.flatnonzero(np.concatenate([[True], (member[1:] != member[:-1]) | (head[1:] != head[:-1])])) \
-        if len(member) else np.zeros(0, np.int64)
+    at = np.zeros(0, np.int64)
+    if len(member):
+        at = np.flatnonzero(np.concatenate([[True], (member[1:] != member[:-1]) | (head[1:] != head[:-1])]))
     yield _kind(_STAR, member[at], head[at], np.diff(np.append(at, len(member))))
-    yield _kind(_ROW, key[live].view(np.int64), cls[live], None)
-    top = starts[spread[starts]]
-    yield _kind(_HEAD, key[top].view(np.int64), cls[top], None)
+    # A bucket is named by its classes, so that equal ones fall together.
+    name = np.add.reduceat(mix(cls.view(np.uint64)), starts) + mix(counts.astype(np.uint64))
+    name = np.where(spread[starts], key[starts], name)
+    name, live = np.repeat(name, counts), np.repeat((counts > 2) | spread[starts], counts)
+    pairs = np.unique(np.stack([name[live].view(np.int64), cls[live]]), axis=1)
+    yield _kind(_ROW, pairs[0], pairs[1], None)
+    top = spread[starts]
+    yield _kind(_HEAD, key[starts[top]].view(np.int64), least[top], None)
 
 
 def _kind(kind: int, x: np.ndarray, y: np.ndarray, n: np.ndarray | None) -> pa.RecordBatch:
@@ -240,30 +281,44 @@ def _kind(kind: int, x: np.ndarray, y: np.ndarray, n: np.ndarray | None) -> pa.R
          pa.array(np.ones(count, np.int64) if n is None else n.astype(np.int64))], ["kind", "x", "y", "n"])
 
 
-def home_groups(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """Where classes are compared: (member, home, part, head, sign), with the head in each part.
-
-    ``sign`` marks one row of every class.
-    """
+def home_groups(shared: DataFrame, classes: DataFrame, limit: Threshold) -> DataFrame:
+    """Where classes are compared: (member, home, part, head), with the head in each part."""
     stars = shared.where(F.col("kind") == _STAR).select(F.col("x").alias("member"), F.col("y").alias("home"), "n")
     heads = shared.where(F.col("kind") == _HEAD).select(F.col("x").alias("key"), F.col("y").alias("member"))
     least = heads.groupBy("key").agg(F.min("member").alias("home"))
     across = heads.join(least, "key").where("member != home").select("member", "home", F.lit(1).alias("n"))
     shares = stars.unionAll(across).groupBy("member", "home").agg(F.sum("n").alias("n"))
-    homes = shares.groupBy("member").agg(F.max_by("home", F.struct("n", -F.col("home"))).alias("home"))
-    homes = homes.join(classes.select(F.col("set_key").alias("member"), "n_shingles"), "member")
+    homes = possible_pairs(shares, "member", "home", classes, limit).groupBy("member").agg(
+        F.max_by("home", F.struct("n", -F.col("home"))).alias("home"),
+        F.first("size").alias("n_shingles"))
     sizes = homes.groupBy("home").agg(
         F.greatest(F.ceil(F.count("*") / GROUP_CLASSES),
                    F.ceil(F.sum("n_shingles") / GROUP_SHINGLES)).cast("long").alias("parts"))
     members = homes.join(sizes, "home").select(
-        "member", "home", F.pmod(F.xxhash64("member"), "parts").alias("part"),
-        F.lit(False).alias("head"), F.lit(True).alias("sign"))
-    tops = sizes.join(homes.select(F.col("member").alias("own")), F.col("home") == F.col("own"), "left")
-    tops = tops.select(
-        F.col("home").alias("member"), "home",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-        F.lit(True).alias("head"), F.col("own").isNull().alias("sign"))
-    return members.unionAll(tops.withColumn("sign", F.col("sign") & (F.col("part") == 0)))
+        "member", "home", F.pmod(F.xxhash64("member"), "parts").alias("part"), F.lit(False).alias("head"))
+    tops = sizes.select(F.col("home").alias("member"), "home",
+                        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+                        F.lit(True).alias("head"))
+    return members.unionAll(tops)
+
+
+def possible_pairs(pairs: DataFrame, one: str, two: str, classes: DataFrame, limit: Threshold) -> DataFrame:
+    """The pairs of classes that sizes and bitmaps do not rule out, with the first one's size."""
+    def side(name: str, k: int) -> DataFrame:
+        return classes.select(F.col("set_key").alias(name), F.col("n_shingles").alias(f"n{k}"),
+                              F.col("bits").alias(f"b{k}"), F.col("parity").alias(f"p{k}"))
+
+    def pick(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            sides = [(batch.column(f"n{k}").to_numpy(), _rows(batch.column(f"b{k}")),
+                      _rows(batch.column(f"p{k}"))) for k in (1, 2)]
+            kept = pa.RecordBatch.from_arrays(
+                [*batch.columns[:-6], batch.column("n1")], [*batch.schema.names[:-6], "size"])
+            yield kept.filter(pa.array(limit.may_link(*sides)))
+
+    both = pairs.join(side(one, 1), one).join(side(two, 2), two).select(
+        *pairs.columns, "n1", "b1", "p1", "n2", "b2", "p2")
+    return both.mapInArrow(pick, extended(pairs, {"size": "long"}))
 
 
 def class_texts(docs: DataFrame, wanted: DataFrame, width: int, text: str = "text") -> DataFrame:
@@ -286,41 +341,35 @@ def class_texts(docs: DataFrame, wanted: DataFrame, width: int, text: str = "tex
 
 
 def group_links(groups: DataFrame, texts: DataFrame, width: int, limit: Threshold) -> DataFrame:
-    """Exact links inside each part of a group, found with its signature tree.
-
-    Returns (a, b) links, and with b null each class's size and bitmap for later use.
-    """
+    """Exact links (a, b) inside each part of a group, found with its signature tree."""
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, sign, hashes, bounds in _loaded_groups(source, width):
-            links = spanning_links(hashes, bounds, limit)
+        for keys, hashes, bounds, bits in _loaded_groups(source, width):
+            links = spanning_links(hashes, bounds, bits, limit)
             a = np.array([keys[i] for i, _ in links], np.int64)
             b = np.array([keys[j] for _, j in links], np.int64)
-            none = pa.nulls(len(a), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64()), none], ["a", "b", "n", "bits"])
-            own = np.flatnonzero(sign)
-            packed = bitmaps(hashes, bounds)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[own]), pa.nulls(len(own), pa.int64()), pa.array(np.diff(bounds)[own]),
-                 pa.array([packed[k].tobytes() for k in own], pa.binary())], ["a", "b", "n", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return _dealt(groups, texts).mapInArrow(run, "a long, b long")
+
 
+def _dealt(groups: DataFrame, texts: DataFrame) -> DataFrame:
+    """Texts beside the parts of groups they belong to, each part together, its head first."""
     sent = groups.join(texts, F.col("member") == F.col("set_key"))
-    dealt = sent.select("home", "part", "member", "head", "sign", "body").repartition("home", "part")
-    dealt = dealt.sortWithinPartitions("home", "part", F.desc("head"), "member")
-    return dealt.mapInArrow(run, "a long, b long, n long, bits binary")
+    dealt = sent.select("home", "part", "member", "head", "body").repartition("home", "part")
+    return dealt.sortWithinPartitions("home", "part", F.desc("head"), "member")
 
 
 def _loaded_groups(source: Iterator[pa.RecordBatch], width: int):
-    """Class keys, signature flags and shingle sets of each group, from rows ordered by group."""
+    """Class keys, shingle sets and bitmaps of each group, from rows ordered by group."""
     held: list[pa.RecordBatch] = []
 
     def load(rows: list[pa.RecordBatch]):
         table = pa.Table.from_batches(rows)
         home, part = (table.column(k).to_numpy() for k in (0, 1))
-        keys, sign = table.column(2).to_numpy(), table.column(4).to_numpy()
+        keys = table.column(2).to_numpy()
         new = np.ones(len(keys), bool)
         new[1:] = (home[1:] != home[:-1]) | (part[1:] != part[:-1])
-        data, offsets = text_bytes(table.column(5))
+        data, offsets = text_bytes(table.column(4))
         found, owners = [], []
         for a, b in pieces(offsets):
             hashes, owner = distinct_in_rows(
@@ -329,10 +378,11 @@ def _loaded_groups(source: Iterator[pa.RecordBatch], width: int):
             owners.append(owner + a)
         hashes = np.concatenate(found)
         bounds = row_bounds(np.concatenate(owners), len(keys))
+        bits = bitmaps(hashes, bounds)
         starts = np.append(np.flatnonzero(new), len(keys))
         for s, e in zip(starts[:-1], starts[1:]):
             lo, hi = bounds[s], bounds[e]
-            yield keys[s:e], sign[s:e].astype(bool), hashes[lo:hi], bounds[s:e + 1] - lo
+            yield keys[s:e], hashes[lo:hi], bounds[s:e + 1] - lo, bits[s:e]
 
     last = None
     for batch in source:
@@ -355,7 +405,7 @@ def _loaded_groups(source: Iterator[pa.RecordBatch], width: int):
         yield from load(held)
 
 
-def open_pairs(rows: DataFrame, roots: DataFrame, signatures: DataFrame, limit: Threshold) -> DataFrame:
+def open_pairs(rows: DataFrame, roots: DataFrame, classes: DataFrame, limit: Threshold) -> DataFrame:
     """Pairs of classes (a, b) of one bucket that may be similar and are not connected.
 
     Only buckets with unconnected classes are looked at. Each is walked with signature
@@ -373,41 +423,48 @@ def open_pairs(rows: DataFrame, roots: DataFrame, signatures: DataFrame, limit:
         .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                 "block", "cls", "root")
     )
-    sent = spread.join(signatures, spread["cls"] == signatures["a"]).select(
-        "key", "i", "j", "block", "cls", "root", "n", "bits")
+    sent = spread.join(classes, spread["cls"] == classes["set_key"]).select(
+        "key", "i", "j", "block", "cls", "root", "n_shingles", "bits", "parity")
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows_ in consecutive(source, 3):
-            cls, root = rows_.column(4).to_numpy(), rows_.column(5).to_numpy()
-            size = rows_.column(6).to_numpy()
-            bits = np.frombuffer(b"".join(rows_.column(7).to_pylist()), np.uint64).reshape(len(cls), -1)
-            left = rows_.column(3).to_numpy() == rows_.column(1).to_numpy()
-            own = rows_.column(1)[0].as_py() == rows_.column(2)[0].as_py()
-            at, to = (np.arange(len(cls)),) * 2 if own else (np.flatnonzero(left), np.flatnonzero(~left))
-            one = SignatureTree(size[at], bits[at])
-            two = one if own else SignatureTree(size[to], bits[to])
-            for i, j in similar_pairs(one, two, limit, lambda i, j: root[at[i]] == root[to[j]]):
-                a, b = cls[at[i]], cls[to[j]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            yield from _walked_bucket(rows_, limit)
 
     dealt = sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _walked_bucket(rows: pa.Table, limit: Threshold) -> Iterator[pa.RecordBatch]:
+    cls, root = rows.column(4).to_numpy(), rows.column(5).to_numpy()
+    size, bits, odd = rows.column(6).to_numpy(), _rows(rows.column(7)), _rows(rows.column(8))
+    own = rows.column(1)[0].as_py() == rows.column(2)[0].as_py()
+    at = to = np.arange(len(cls))
+    if not own:
+        left = rows.column(3).to_numpy() == rows.column(1)[0].as_py()
+        at, to = np.flatnonzero(left), np.flatnonzero(~left)
+    one = SignatureTree(size[at], bits[at])
+    two = one if own else SignatureTree(size[to], bits[to])
+    for i, j in similar_pairs(one, two, limit, lambda i, j: root[at[i]] == root[to[j]]):
+        i, j = at[i], to[j]
+        near = limit.may_link((size[i], bits[i], odd[i]), (size[j], bits[j], odd[j]))
+        a, b = cls[i[near]], cls[j[near]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
 def pair_links(pairs: DataFrame, texts: DataFrame, width: int, limit: Threshold) -> DataFrame:
     """The pairs that are similar, checked on their texts; many partners are dealt out in parts."""
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_CLASSES).cast("long").alias("parts"))
     members = pairs.join(counts, "a").select(
         F.col("b").alias("member"), F.col("a").alias("home"),
-        F.pmod(F.xxhash64("b"), "parts").alias("part"), F.lit(False).alias("head"), F.lit(False).alias("sign"))
+        F.pmod(F.xxhash64("b"), "parts").alias("part"), F.lit(False).alias("head"))
     heads = counts.select(
         F.col("a").alias("member"), F.col("a").alias("home"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-        F.lit(True).alias("head"), F.lit(False).alias("sign"))
+        F.lit(True).alias("head"))
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, _, hashes, bounds in _loaded_groups(source, width):
+        for keys, hashes, bounds, _ in _loaded_groups(source, width):
             one = hashes[bounds[0]:bounds[1]]
             found = [k for k in range(1, len(keys))
                      if common_count(one, hashes[bounds[k]:bounds[k + 1]])
@@ -415,10 +472,7 @@ def pair_links(pairs: DataFrame, texts: DataFrame, width: int, limit: Threshold)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(found), keys[0])), pa.array(keys[found])], ["a", "b"])
 
-    sent = members.unionAll(heads).join(texts, F.col("member") == F.col("set_key"))
-    dealt = sent.select("home", "part", "member", "head", "sign", "body").repartition("home", "part")
-    dealt = dealt.sortWithinPartitions("home", "part", F.desc("head"), "member")
-    return dealt.mapInArrow(run, "a long, b long")
+    return _dealt(members.unionAll(heads), texts).mapInArrow(run, "a long, b long")
 
 
 def jaccard_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
@@ -435,24 +489,24 @@ def jaccard_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     limit = Threshold(num, den)
     body = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     first = keep(document_sets(body, width), "sets")
-    sets = first.where(F.col("chunk").isNull()).select("doc_id", "n_shingles", "set_key")
+    sets = first.where(F.col("chunk").isNull()).select("doc_id", *SET_COLUMNS)
     levels = frequency_levels(first.where(F.col("chunk").isNotNull()).select("chunk", "counts"))
     classes = sets.where("n_shingles > 0").groupBy("set_key").agg(
-        F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"))
+        F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"),
+        F.first("bits").alias("bits"), F.first("parity").alias("parity"))
+    classes = keep(classes, "set-classes")
     total = sets.agg(F.sum(F.col("n_shingles") * (den - num) / den + 1)).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total // PART_ROWS) + 1)
 
     packed = prefix_buckets(body, width, limit, levels, parts)
-    shared = keep(shared_buckets(packed, levels), "buckets")
-    groups = keep(home_groups(shared, classes), "groups")
+    shared = keep(shared_buckets(packed, limit), "buckets")
+    groups = keep(home_groups(shared, classes, limit), "groups")
     texts = class_texts(body, groups.select("member"), width)
-    found = keep(group_links(groups, texts, width, limit), "links")
-    links = found.where(F.col("b").isNotNull()).select("a", "b")
+    links = keep(group_links(groups, texts, width, limit), "links")
     roots = components(links)
 
-    rows = shared.where(F.col("kind") == _ROW).select("x", "y")
-    signatures = found.where(F.col("b").isNull()).select("a", "n", "bits")
-    pairs = keep(open_pairs(rows, roots, signatures, limit), "pairs")
+    rows = shared.where(F.col("kind") == _ROW).select("x", "y").distinct()
+    pairs = keep(open_pairs(rows, roots, classes, limit), "pairs")
     if not pairs.isEmpty():
         both = pairs.select(F.col("a").alias("m")).unionAll(pairs.select("b"))
         more = keep(pair_links(pairs, class_texts(body, both, width), width, limit), "more-links")

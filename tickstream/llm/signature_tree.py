@@ -16,22 +16,40 @@ from dataclasses import dataclass
 import numpy as np
 
 BITS = 4096
+SHORT_BITS = 512
 FANOUT = 8
 # Node pairs looked at in one step, which bounds memory.
 STEP_PAIRS = 4096
 
 
-def bitmaps(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def bitmaps(hashes: np.ndarray, bounds: np.ndarray, bits: int = BITS) -> np.ndarray:
     """One bitmap per set; set k holds hashes[bounds[k]:bounds[k + 1]]."""
+    return _cells(hashes >> np.uint64(64 - bits.bit_length() + 1), bounds, bits, False)
+
+
+def parities(hashes: np.ndarray, bounds: np.ndarray, bits: int = SHORT_BITS) -> np.ndarray:
+    """Per set and cell, whether the number of its tokens is odd.
+
+    Each cell in which two sets differ holds a token that only one of them has.
+    """
+    return _cells(hashes & np.uint64(bits - 1), bounds, bits, True)
+
+
+def _cells(cell: np.ndarray, bounds: np.ndarray, bits: int, parity: bool) -> np.ndarray:
     count = len(bounds) - 1
-    out = np.zeros((count, BITS // 64), np.uint64)
-    cell = (hashes >> np.uint64(52)).astype(np.int64)
-    for a in range(0, count, 1024):
-        b = min(count, a + 1024)
-        flags = np.zeros((b - a, BITS), bool)
+    out = np.zeros((count, bits // 64), np.uint64)
+    cell = cell.astype(np.int64)
+    step = max(1, (1 << 22) // bits)
+    for a in range(0, count, step):
+        b = min(count, a + step)
         owner = np.repeat(np.arange(b - a), np.diff(bounds[a:b + 1]))
-        flags[owner, cell[bounds[a]:bounds[b]]] = True
-        out[a:b] = np.packbits(flags, axis=1).view(np.uint64)
+        place = owner * bits + cell[bounds[a]:bounds[b]]
+        if parity:
+            flags = np.bincount(place, minlength=(b - a) * bits) & 1 == 1
+        else:
+            flags = np.zeros((b - a) * bits, bool)
+            flags[place] = True
+        out[a:b] = np.packbits(flags.reshape(b - a, bits), axis=1).view(np.uint64)
     return out
 
 
@@ -46,6 +64,18 @@ class Threshold:
         """Least common tokens of two sets with that many tokens together."""
         return -(-self.num * total // (self.num + self.den))
 
+    def may_link(self, one: tuple, two: tuple) -> np.ndarray:
+        """For pairs of sets given as (size, bitmap, parity) arrays: not ruled out by these."""
+        (n, a, p), (m, b, q) = one, two
+        near = (n * self.den >= m * self.num) & (m * self.den >= n * self.num)
+        # What either set has for itself is at least the bits that the other lacks.
+        only_a = np.bitwise_count(a & ~b).sum(axis=1).astype(np.int64)
+        only_b = np.bitwise_count(b & ~a).sum(axis=1).astype(np.int64)
+        odd = np.bitwise_count(p ^ q).sum(axis=1).astype(np.int64)
+        needed = self.needed(n + m)
+        near &= np.minimum(n - only_a, m - only_b) >= needed
+        return near & (n + m - odd >= 2 * needed)
+
     def prefix(self, size: np.ndarray) -> np.ndarray:
         """Rarest tokens that are enough to meet any similar set in one of them."""
         return np.where(size > 0, size - -(-self.num * size // self.den) + 1, 0)
@@ -162,15 +192,15 @@ class Groups:
         return True
 
 
-def spanning_links(hashes: np.ndarray, bounds: np.ndarray, limit: Threshold) -> list[tuple[int, int]]:
+def spanning_links(hashes: np.ndarray, bounds: np.ndarray, bits: np.ndarray,
+                   limit: Threshold) -> list[tuple[int, int]]:
     """Links between sets that connect all sets connected by similarity, and no others.
 
     Each set is ascending and distinct. Pairs that earlier links connect are not checked.
     """
     sizes = np.diff(bounds)
-    tree = SignatureTree(sizes, bitmaps(hashes, bounds))
     groups = Groups(len(sizes))
-    links = []
+    links: list[tuple[int, int]] = []
 
     def check(a: int, b: int) -> None:
         if groups.find(a) == groups.find(b):
@@ -181,13 +211,14 @@ def spanning_links(hashes: np.ndarray, bounds: np.ndarray, limit: Threshold) ->
             links.append((a, b))
 
     # Neighbours of the first set are joined first: in a group of copies this leaves
-    # few pairs of different groups for the walk.
+    # few pairs of different groups, or none, for the walk.
     for b in range(1, len(sizes)):
-        if sizes[b] * limit.den >= sizes[0] * limit.num and sizes[0] * limit.den >= sizes[b] * limit.num:
-            check(0, b)
-    for i, j in similar_pairs(tree, tree, limit, lambda i, j: groups.roots(i) == groups.roots(j)):
-        for a, b in zip(i.tolist(), j.tolist()):
-            check(a, b)
+        check(0, b)
+    if len(links) < len(sizes) - 1 and len(sizes) > 2:
+        tree = SignatureTree(sizes, bits)
+        for i, j in similar_pairs(tree, tree, limit, lambda i, j: groups.roots(i) == groups.roots(j)):
+            for a, b in zip(i.tolist(), j.tolist()):
+                check(a, b)
     return links
 
 
