@@ -47,6 +47,7 @@ def main() -> None:
         "metric": "total_query_seconds",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
+        "first_run_value": round(sum(first.values()), 3),
         "queries": seconds,
         "first_run": first,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),

@@ -78,7 +78,7 @@ def test_page_sizes(spark):
 def test_normalise_bars(spark):
     at = ts("2026-04-24T09:30:00")
     df = spark.createDataFrame(
-        [("NVDA", at, 1.00005, 2.0, 0.5, 1.23456, 7), ("XXX", at, 1.0, 2.0, 0.5, 1.0, 7)],
+        [("NVDA", at, 1.00005, 2.0, 0.5, 1.23456, 7.0), ("XXX", at, 1.0, 2.0, 0.5, 1.0, 7.0)],
         RAW_BAR,
     )
     out = bars.normalise_bars(df, as_of=now())
@@ -109,7 +109,7 @@ def test_cycle_messages(spark):
     keys = {bytes(r.key).decode() for r in news_messages(df, now(), paged=True).collect()}
     assert keys == {f"u{i}" for i in range(20)}
     bar = spark.createDataFrame(
-        [("NVDA", ts("2026-04-24T09:30:00"), 1.0, 2.0, 0.5, 1.2, 7)], RAW_BAR
+        [("NVDA", ts("2026-04-24T09:30:00"), 1.0, 2.0, 0.5, 1.2, 7.0)], RAW_BAR
     )
     (message,) = price_messages(bar).collect()
     assert message.topic == PRICES_TOPIC

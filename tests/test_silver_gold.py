@@ -218,31 +218,28 @@ def test_window_of_one_row(spark):
     assert out.filter("avg_volume = volume AND stddev_volume IS NULL").count() == 40
 
 
-def test_crowded_stretches_fill_more_spans(spark):
+def test_bursts_are_cut_evenly(spark):
+    """A burst in a long thin series, and rows without a key, fill spans of the wanted size."""
     thin, crowded = spark.range(100), spark.range(5000)
     df = thin.select(F.timestamp_seconds(F.col("id") * 86400).alias("t")).unionByName(
         crowded.select(F.timestamp_seconds(8640000 + F.col("id")).alias("t"))
     ).withColumn("ticker", F.lit("A"))
-    series = rolling._long_series(df, "ticker", "t", 500)
-    slot = F.floor((F.unix_micros("t") - F.col("_start")) / F.col("_width"))
-    slotted = df.join(series, "ticker").withColumn("_slot", slot.cast("long"))
-    spans = rolling._spans(slotted, "ticker", 500, 19)
-    sizes = slotted.join(spans, ["ticker", "_slot"]).groupBy("_span").count()
-    assert sum(column(sizes, "count")) == 5100
-    closing = slotted.join(spans.filter("_closing"), ["ticker", "_slot"]).groupBy("_span").count()
-    assert closing.count() == sizes.count()
-    assert min(column(closing, "count")) >= 19
-    # One slot at most lies between a span and the size it was cut for.
-    biggest_slot = max(column(slotted.groupBy("_slot").count(), "count"))
-    assert max(column(sizes, "count")) <= 500 + biggest_slot
-
-
-def test_many_long_series_use_a_join(spark, monkeypatch):
-    monkeypatch.setattr("tickstream.operators.rolling.MAX_SENT_SERIES", 1)
-    df = series(spark, random.Random(2), {"a": 40, "b": 50, "c": 60})
+    df = df.unionByName(df.withColumn("ticker", F.lit(None).cast("string")))
+    spans = rolling._ranged(df, ["ticker", "t"], 500)
+    sizes = column(spans.groupBy("_span").count(), "count")
+    assert sum(sizes) == 10_200
+    assert max(sizes) <= 2 * 500
+
+
+def test_series_without_a_key_and_of_many_lengths(spark):
+    rng = random.Random(2)
+    df = series(spark, rng, {"a": 40, "b": 1, "c": 60, "d": 2, "e": 3})
+    lost = series(spark, rng, {"x": 70}).withColumn("ticker", F.lit(None).cast("string"))
+    df = df.unionByName(lost)
     whole = gold.rolling_stats(df, split_rows=None).orderBy("ticker", "bar_time_ts").collect()
-    cut = gold.rolling_stats(df, split_rows=10).orderBy("ticker", "bar_time_ts").collect()
-    assert cut == whole
+    for rows in (3, 10, 1000):
+        cut = gold.rolling_stats(df, split_rows=rows).orderBy("ticker", "bar_time_ts").collect()
+        assert cut == whole
 
 
 # Gold: attention ----------------------------------------------------------

@@ -60,7 +60,7 @@ def test_blocks_match_brute_force(spark, matrices, k):
     queries, vectors = matrices
     queries = np.vstack([queries, vectors[0]])
     got = run(frame(spark, queries, "query_id"), frame(spark, vectors), k=k,
-              max_sent=7, group_vectors=60)
+              max_bytes=7 * (16 + 8 * 8))
     same(got, brute_force(queries, vectors, k))
 
 
@@ -70,7 +70,8 @@ def test_wide_queries_are_sent_in_blocks(spark, matrices):
     same(got, brute_force(queries, vectors, 3))
     plan = search.knn_search(frame(spark, queries, "query_id"), frame(spark, vectors),
                              max_bytes=300)._jdf.queryExecution().toString()
-    assert "MapInArrow" not in plan
+    # Only hits are left to pick from: vectors are neither copied nor joined.
+    assert "embedding" not in plan and "Join" not in plan
 
 
 def test_small_batches(spark, matrices):
@@ -132,6 +133,25 @@ def test_hash_embedder():
     assert nothing == [0.0] * 16
 
 
+def test_hashing_in_the_jvm_gives_the_same_vectors(spark):
+    texts = ["Ärger über Öl", "öl ärger ÜBER", "", "...", "a a a b 42", None, "ǅ x" * 50]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [list(r.v) for r in df.select(embed.hashed_vectors(F.col("t"), 16).alias("v")).collect()]
+    assert got == embed.hash_embedder(16)([t or "" for t in texts])
+    assert embed.hashed_vectors(F.col("t")) is not None
+
+
+def test_message_ids_out_of_range_are_an_error(spark):
+    def number(partition, offset):
+        df = spark.createDataFrame([(partition, offset)], "kafka_partition int, kafka_offset bigint")
+        return df.select(embed.message_id().alias("x")).first().x
+
+    assert number(2, 5) == (2 << 44) + 5 and number(None, 5) is None
+    for partition, offset in ((1 << 19, 0), (0, 1 << 44), (-1, 0)):
+        with pytest.raises(Exception, match="no message id"):
+            number(partition, offset)
+
+
 def test_embed_calls_the_model_in_batches(spark):
     def make():
         def model(texts):
@@ -147,7 +167,7 @@ def test_embed_calls_the_model_in_batches(spark):
 
 def test_model_is_called_once_per_text(spark):
     df = spark.range(3).select(
-        "id", embed.embed_texts(F.lit("a"), embed.hash_embedder).alias("v")
+        "id", embed.embed_texts(F.lit("a"), lambda: embed.hash_embedder()).alias("v")
     )
     used = df.filter(F.col("v").isNotNull()).select("id", F.posexplode("v"))
     assert used._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1

@@ -36,9 +36,8 @@ def hourly_bars(events: DataFrame) -> DataFrame:
     hour = F.date_trunc("hour", ts)
     # Microsecond of the hour, then event id, in one number: events of the same
     # microsecond keep a fixed order, and the aggregate a fixed-width buffer.
-    turn = F.shiftleft(F.unix_micros(ts) - F.unix_micros(hour), 31).bitwiseOR(
-        F.col("event_id").bitwiseAND(F.lit(0x7FFFFFFF))
-    )
+    micros = (F.unix_micros(ts) - F.unix_micros(hour)).cast("decimal(38,0)")
+    turn = (micros * F.lit("100000000000000000000").cast("decimal(21,0)") + F.col("event_id")).cast("decimal(38,0)")
     return (
         events.groupBy(F.col("event_type").alias("ticker"), hour.alias("bar_time_ts"))
         .agg(

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickstream.constants import RECENT_DAILY_BARS, TICKERS
+from tickstream.functions.text import normal_ticker
 from tickstream.functions.times import iso_string, stamp
-from tickstream.operators.dedup import top_per_group
+from tickstream.operators.dedup import ARRIVAL, one_per_key, top_per_group
 from tickstream.schemas import PRICE_PAYLOAD
 
 
@@ -26,14 +27,28 @@ def normalise_bars(bars: DataFrame, tickers: Sequence[str] | None = TICKERS,
     ).select(*PRICE_PAYLOAD.fieldNames())
 
 
+def settled_bars(prices: DataFrame) -> DataFrame:
+    """One row per ticker and instant: what the latest poll saw.
+
+    Silver keys bars by the text of their time, so a bar whose time was spelled in two
+    ways is there twice. Tickers are compared, and returned, in upper case without
+    surrounding blanks. Bars without a readable time are left out.
+    """
+    named = prices.filter(F.col("bar_time_ts").isNotNull()).withColumn(
+        "ticker", normal_ticker(F.col("ticker")))
+    return one_per_key(named, ["ticker", "bar_time_ts"], ARRIVAL, keep="last")
+
+
 def daily_bars(prices: DataFrame) -> DataFrame:
     """One bar per ticker and day from finer bars (columns as in silver prices).
 
+    Bars that carry their arrival, as silver prices do, are settled first, so polls of
+    one bar count once. Without arrival columns bar times should be distinct per ticker.
     All aggregates have fixed-width buffers, so they hash-aggregate before the
-    shuffle and a crowded ticker costs one row per task and day. Bar times should
-    be distinct per ticker (``silver_prices(by_instant=True)`` makes them so), or
-    else open and close may come from either bar of an instant.
+    shuffle and a crowded ticker costs one row per task and day.
     """
+    if set(ARRIVAL) <= set(prices.columns):
+        prices = settled_bars(prices)
     ts = F.col("bar_time_ts")
     return (
         prices.filter(ts.isNotNull())

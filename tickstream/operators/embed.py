@@ -49,14 +49,40 @@ def hash_embedder(dim: int = 64) -> Embedder:
     return embed
 
 
+def hashed_vectors(text: Column, dim: int = 64) -> Column:
+    """What ``hash_embedder`` gives, with words found and hashed in the JVM.
+
+    Python only adds up the signs of all texts of an Arrow batch in one operation.
+    """
+    ship_package(SparkSession.active())
+    tokens = F.regexp_extract_all(F.lower(text), F.lit(f"({TOKEN.pattern})"))
+    digests = F.transform(tokens, lambda t: F.conv(F.substring(F.md5(t.cast("binary")), 1, 9), 16, 10).cast("long"))
+    # The last of nine digits is the sign, those before it the place.
+    codes = F.transform(digests, lambda d: (
+        F.pmod(F.shiftright(d, 4), F.lit(dim)) * 2 + (d.bitwiseAND(F.lit(15)) >= 8).cast("long")).cast("int"))
+
+    @F.pandas_udf("array<double>")
+    def add(column: pd.Series) -> pd.Series:
+        sizes = np.fromiter((0 if c is None else len(c) for c in column), np.int64, len(column))
+        flat = np.concatenate([np.zeros(0, np.int64), *[c for c in column if c is not None]]).astype(np.int64)
+        place = np.repeat(np.arange(len(sizes)), sizes) * dim + flat // 2
+        sums = np.bincount(place, 1.0 - 2.0 * (flat % 2), len(sizes) * dim)
+        return pd.Series(list(sums.reshape(len(sizes), dim)), index=column.index, dtype=object)
+
+    return add.asNondeterministic()(codes)
+
+
 def embed_texts(text: Column, make_embedder: Callable[[], Embedder],
                 batch: int = EMBED_BATCH) -> Column:
     """Vectors of a text column, through a model called on ``batch`` texts at a time.
 
-    ``make_embedder`` runs once per task, which is where a service client or a
+    The built-in ``hash_embedder`` needs no calls and goes through ``hashed_vectors``.
+    ``make_embedder runs once per task, which is where a service client or a
     model file is opened. The call is marked as not repeatable, or else Spark would
     run it a second time for any filter on the vectors.
     """
+    if make_embedder is hash_embedder:
+        return hashed_vectors(text)
     ship_package(SparkSession.active())
 
     @F.pandas_udf("array<double>")
@@ -94,10 +120,17 @@ def article_texts(news: DataFrame, *keep: str) -> DataFrame:
 
 
 def message_id() -> Column:
-    """A row number that is unique per message: topic partition, then offset."""
-    return F.shiftleft(F.col("kafka_partition").cast("long"), 44).bitwiseOR(
-        F.col("kafka_offset")
-    )
+    """A row number that is unique per message: topic partition, then offset.
+
+    Partitions from 2**19 on and offsets from 2**44 on do not fit and are an error.
+    """
+    partition, offset = F.col("kafka_partition").cast("long"), F.col("kafka_offset")
+    fits = partition.between(0, (1 << 19) - 1) & offset.between(0, (1 << 44) - 1)
+    number = F.shiftleft(partition, 44).bitwiseOR(offset)
+    missing = partition.isNull() | offset.isNull()
+    return F.when(fits | missing, number).otherwise(
+        F.raise_error(F.format_string("no message id for partition %s, offset %s",
+                                      partition, offset)).cast("long"))
 
 
 def build_vectors(news: DataFrame, make_embedder: Callable[[], Embedder] = hash_embedder,

@@ -9,12 +9,8 @@ from pyspark.sql import functions as F
 
 from tickstream.sources.tables import stored
 
-# A series longer than this is cut into spans of about this many rows.
+# Rows are cut into spans of about this many.
 SPLIT_ROWS = 250_000
-# Up to this many long series are looked up by broadcast.
-MAX_SENT_SERIES = 100_000
-# Rows are counted in slots this much finer than a span of even density.
-SLOTS_PER_SPAN = 16
 
 
 def with_rolling(df: DataFrame, key: str, ts: str, rows: int,
@@ -26,26 +22,20 @@ def with_rolling(df: DataFrame, key: str, ts: str, rows: int,
     ``stats`` maps an output column to a function of the window; ``inputs`` names
     the columns those functions read. ``ts`` must not be NULL.
 
-    A window partitioned by ``key`` alone sorts a whole series in one task. Rows
-    per series are therefore counted first, and series longer than ``split_rows``
-    are cut into spans of about that many rows. Every span gets a copy of the
-    ``rows - 1`` rows that precede it, so the frames are those of the uncut
-    series. The counts read two columns of ``df``, which should be a stored
-    table. ``split_rows=None`` skips counting and cutting.
+    A window partitioned by ``key`` alone sorts a whole series in one task. The
+    rows are therefore dealt by ranges of (key, time, ties) into spans of about
+    ``split_rows`` rows, whatever a series' length, bursts or NULL key. A span that
+    goes on with a series gets a copy of the ``rows - 1`` rows before it, so the
+    frames are those of the uncut series. The dealt rows are stored once, since all
+    that follows has to see the same ranges; ``df`` is read for that by a count,
+    a sample and the writing job. ``split_rows=None`` uses the plain window instead.
     """
     order = [ts, *ties]
-    series = None if split_rows is None else _long_series(df, key, ts, split_rows)
-    if series is None:
+    if split_rows is None:
         return df.withColumns(_apply(stats, Window.partitionBy(key).orderBy(*order), rows))
-
-    carry = max(rows - 1, 1)
-    slot = F.floor((F.unix_micros(ts) - F.col("_start")) / F.col("_width")).cast("long")
-    slotted = df.join(series, key, "left").withColumn("_slot", slot).drop("_start", "_width")
-    # Stored, so that Spark sees its size when it picks the join.
-    spans = stored(_spans(slotted, key, split_rows, carry), "spans")
-    cut = slotted.join(spans, [key, "_slot"], "left").drop("_slot")
-    lead_in = _lead_in(cut.filter("_closing"), key, order, inputs, carry)
-    both = cut.drop("_closing").withColumn("_copy", F.lit(False)).unionByName(
+    spans = stored(_ranged(df, [key, *order], split_rows), "spans")
+    lead_in = _lead_in(spans, key, order, inputs, max(rows - 1, 1))
+    both = spans.withColumn("_copy", F.lit(False)).unionByName(
         lead_in.withColumn("_copy", F.lit(True)), allowMissingColumns=True
     )
     window = Window.partitionBy(key, "_span").orderBy(*order)
@@ -62,83 +52,51 @@ def _apply(stats: dict[str, Callable[[WindowSpec], Column]], window: WindowSpec,
     return {name: stat(frame) for name, stat in stats.items()}
 
 
-def _long_series(df: DataFrame, key: str, ts: str, split_rows: int) -> DataFrame | None:
-    """Start and slot width (microseconds) of the series to be cut, if there are any."""
-    micros = F.unix_micros(ts)
-    length = F.col("_end") - F.col("_start") + 1
-    slots = F.col("_n") / F.lit(float(split_rows)) * SLOTS_PER_SPAN
-    long = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(
-            F.count("*").alias("_n"),
-            F.min(micros).alias("_start"),
-            F.max(micros).alias("_end"),
-        )
-        .filter(F.col("_n") > split_rows)
-        .select(
-            key, "_start",
-            F.greatest(F.ceil(length / slots), F.lit(1)).cast("long").alias("_width"),
-        )
-    )
-    found = long.limit(MAX_SENT_SERIES + 1).toArrow()
-    if found.num_rows == 0:
-        return None
-    if found.num_rows > MAX_SENT_SERIES:
-        return long
-    return F.broadcast(df.sparkSession.createDataFrame(found, long.schema))
-
+def _ranged(df: DataFrame, order: Sequence[str], split_rows: int) -> DataFrame:
+    """The rows in ranges of about equal row count, numbered in order by ``_span``."""
+    count = max(1, -(-df.count() // split_rows))
+    return df.repartitionByRange(count, *order).withColumn("_span", F.spark_partition_id())
 
-def _spans(slotted: DataFrame, key: str, split_rows: int, carry: int) -> DataFrame:
-    """The span of every slot: a new one begins after about ``split_rows`` rows.
 
-    Crowded stretches of time fill more spans than thin ones. A series has at
-    most ``SLOTS_PER_SPAN`` slots per span, which is what the running sums sort.
-    ``_closing`` marks the slots that may hold some of a span's last ``carry`` rows.
-    """
-    counts = slotted.filter(F.col("_slot").isNotNull()).groupBy(key, "_slot").agg(
-        F.count("*").alias("_n")
-    )
-    upward = Window.partitionBy(key).orderBy("_slot")
-    downward = Window.partitionBy(key, "_span").orderBy(F.desc("_slot"))
-    before = F.sum("_n").over(upward) - F.col("_n")
-    after = F.sum("_n").over(downward) - F.col("_n")
-    return (
-        counts.withColumn("_span", F.floor(before / F.lit(float(split_rows))).cast("long"))
-        .withColumn("_closing", after < carry)
-        .select(key, "_slot", "_span", "_closing")
-    )
-
-
-def _lead_in(cut: DataFrame, key: str, order: Sequence[str], inputs: Sequence[str],
+def _lead_in(spans: DataFrame, key: str, order: Sequence[str], inputs: Sequence[str],
              carry: int) -> DataFrame:
     """Copies of the ``carry`` rows before each span, labelled with that span.
 
-    ``cut`` holds the closing rows of all spans. Only the last ``carry`` of each
-    can be needed later, and they come out of a rank filter that runs before the
-    shuffle. The preceding ``carry`` spans hold at least ``carry`` rows, or else
-    all there are.
+    Only the last series of a span can go on in the next, so a span gives up
+    ``carry`` rows at most, taken by a rank filter before the shuffle. A series may
+    have fewer of them than that in a span; the ``carry`` spans before hold enough.
     """
-    fields = [*order, *[c for c in inputs if c not in order]]
-    newest = Window.partitionBy(key, "_span").orderBy(*[F.col(c).desc() for c in order])
-    tails = (
-        cut.select(key, "_span", F.struct(*fields).alias("_row"), *order)
-        .withColumn("_rn", F.row_number().over(newest))
+    fields = [key, *order, *[c for c in inputs if c not in order]]
+    backwards = Window.partitionBy("_span").orderBy(*[F.col(c).desc() for c in (key, *order)])
+    closing = (
+        spans.select("_span", F.struct(*fields).alias("_row"), key, *order)
+        .withColumn("_rn", F.row_number().over(backwards))
         .filter(F.col("_rn") <= carry)
-        .groupBy(key, "_span")
-        .agg(F.sort_array(F.collect_list("_row")).alias("_tail"))
+        .groupBy("_span")
+        .agg(F.sort_array(F.collect_list("_row")).alias("_rows"))
+    )
+    last = F.element_at("_rows", -1)[key]
+    tails = closing.select(
+        last.alias(key), "_span",
+        F.filter("_rows", lambda r: r[key].eqNullSafe(last)).alias("_tail"),
+    )
+    # Structs, so that NULL counts as the lowest key instead of being left out.
+    heads = spans.groupBy("_span").agg(F.min(F.struct(key)).alias("_first")).select(
+        F.col(f"_first.{key}").alias(key), "_span", F.lit(None).alias("_tail")
+    )
+    ends = tails.unionByName(heads).groupBy(key, "_span").agg(
+        F.first("_tail", ignorenulls=True).alias("_tail")
     )
     earlier = Window.partitionBy(key).orderBy("_span").rowsBetween(-carry, -1)
     gathered = F.flatten(F.collect_list("_tail").over(earlier))
     return (
-        tails.select(key, "_span", gathered.alias("_rows"))
+        ends.select("_span", gathered.alias("_rows"))
         .select(
-            key,
             "_span",
             F.explode(
                 F.when(F.size("_rows") > carry, F.slice("_rows", -carry, carry))
                 .otherwise(F.col("_rows"))
             ).alias("_row"),
         )
-        .select(key, "_span", *[F.col(f"_row.{c}").alias(c) for c in fields])
+        .select("_span", *[F.col(f"_row.{c}").alias(c) for c in fields])
     )

@@ -12,15 +12,11 @@ from pyspark.sql import functions as F
 from tickstream.constants import TOP_K
 from tickstream.functions.text import citation
 from tickstream.operators.dedup import top_per_group
-from tickstream.session import ship_package
+from tickstream.session import ship_package, work_path
 from tickstream.sources.tables import stored
 
-# Query vectors sent to every task, in number and in size; more than this go the
-# shuffled way.
-MAX_SENT_QUERIES = 8192
+# Query vectors are sent to the tasks in blocks of at most this size.
 MAX_SENT_BYTES = 32 << 20
-# Stored vectors per task group on the shuffled way.
-GROUP_VECTORS = 16384
 # Queries scored against a batch in one matrix product.
 QUERY_SLICE = 512
 # Scores are compared to this many digits, well below float32 resolution, so
@@ -33,31 +29,31 @@ _HITS_ARROW = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()),
 
 
 def knn_search(queries: DataFrame, vectors: DataFrame, k: int = TOP_K,
-               max_sent: int = MAX_SENT_QUERIES, max_bytes: int = MAX_SENT_BYTES,
-               group_vectors: int = GROUP_VECTORS) -> DataFrame:
+               max_bytes: int = MAX_SENT_BYTES) -> DataFrame:
     """The ``k`` stored vectors with the highest cosine for every query.
 
     ``queries`` holds (query_id BIGINT, embedding), ``vectors`` (vec_id BIGINT,
     embedding). Returns (query_id, rank, vec_id, score), rank from 1.
 
-    Up to ``max_sent`` queries of at most ``max_bytes`` are sent to the tasks, and
-    the stored vectors are scored where they are read: nothing but ``k`` hits per
-    query and task is shuffled. More than that is cut into blocks, as are the
-    vectors, and each pair of blocks is scored in a task of its own. Either way all vectors
-    are compared and no pair of rows is ever emitted that is not among the best
-    ``k`` of its block.
+    The stored vectors are always scored where they are read. The queries come to them in
+    blocks whose size is known before anything is collected, each in one pass over the
+    vectors, and a task writes nothing but ``k`` hits per query. All vectors are
+    compared. The hits of all blocks are stored before the best are picked, so each
+    block's copies on the executors are released when its pass is done.
     """
-    ship_package(vectors.sparkSession)
-    # Stored, because they are counted before they are used and may come from a model.
+    spark = vectors.sparkSession
+    ship_package(spark)
+    # Stored, because they are measured before they are used and may come from a model.
     queries = stored(_with_vectors(queries, "query_id"), "queries")
     vectors = _with_vectors(vectors, "vec_id")
-    n_queries = queries.count()
-    sent = queries.toArrow() if n_queries <= max_sent else None
-    if sent is not None and sent.nbytes <= max_bytes:
-        hits = _search_sent(sent, vectors, k)
-    else:
-        block = max_sent if sent is None else max_bytes * n_queries // sent.nbytes
-        hits = _search_blocks(queries, n_queries, vectors, k, max(1, block), group_vectors)
+    size = queries.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")).first()
+    row_bytes = 16 + 8 * max(size.dim or 0, 1)
+    blocks = max(1, -(-size.n * row_bytes // max_bytes))
+    path = work_path(spark, "hits")
+    for number in range(blocks):
+        block = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number)
+        _score_block(block.toArrow(), vectors, k, path)
+    hits = spark.read.schema(HITS).parquet(path)
     best = top_per_group(
         hits, ["query_id"], [F.col("score").desc(), F.col("vec_id").asc()], k
     )
@@ -70,9 +66,9 @@ def _with_vectors(df: DataFrame, id_col: str) -> DataFrame:
     )
 
 
-def _search_sent(queries: pa.Table, vectors: DataFrame, k: int) -> DataFrame:
-    spark = vectors.sparkSession
-    sent = spark.sparkContext.broadcast(_ids_and_units(queries, "query_id"))
+def _score_block(queries: pa.Table, vectors: DataFrame, k: int, path: str) -> None:
+    """Add the best ``k`` hits of every task for these queries to the table at ``path``."""
+    sent = vectors.sparkSession.sparkContext.broadcast(_ids_and_units(queries, "query_id"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, query_units = sent.value
@@ -82,43 +78,8 @@ def _search_sent(queries: pa.Table, vectors: DataFrame, k: int) -> DataFrame:
             best.offer(query_units, ids, units)
         yield from best.table(query_ids).to_batches()
 
-    return vectors.mapInArrow(score, HITS)
-
-
-def _search_blocks(queries: DataFrame, n_queries: int, vectors: DataFrame, k: int,
-                   block_queries: int, group_vectors: int) -> DataFrame:
-    """Every block of queries against every block of vectors.
-
-    Blocks come from a hash of unique ids, so they are of even size whatever the
-    data looks like. The product of the blocks is the work an exact search has to
-    do; the copies of rows it ships are small beside the products it computes.
-    """
-    query_blocks = max(1, -(-n_queries // block_queries))
-    vector_blocks = max(1, -(-vectors.count() // group_vectors))
-
-    def blocked(df: DataFrame, id_col: str, own: str, own_n: int, other: str,
-                other_n: int) -> DataFrame:
-        return df.withColumns({
-            own: F.pmod(F.xxhash64(id_col), F.lit(own_n)).cast("int"),
-            other: F.explode(F.sequence(F.lit(0), F.lit(other_n - 1))),
-        })
-
-    left = blocked(queries, "query_id", "_qb", query_blocks, "_vb", vector_blocks)
-    right = blocked(vectors, "vec_id", "_vb", vector_blocks, "_qb", query_blocks)
-
-    def score(query_rows: pa.Table, vector_rows: pa.Table) -> pa.Table:
-        if query_rows.num_rows == 0 or vector_rows.num_rows == 0:
-            return _HITS_ARROW.empty_table()
-        query_ids, query_units = _ids_and_units(query_rows, "query_id")
-        best = BestHits(len(query_ids), k)
-        ids, units = _ids_and_units(vector_rows, "vec_id")
-        for start in range(0, len(ids), 4096):
-            best.offer(query_units, ids[start:start + 4096], units[start:start + 4096])
-        return best.table(query_ids)
-
-    return left.groupBy("_qb", "_vb").cogroup(right.groupBy("_qb", "_vb")).applyInArrow(
-        score, HITS
-    )
+    vectors.mapInArrow(score, HITS).write.mode("append").parquet(path)
+    sent.destroy()
 
 
 def _ids_and_units(table: pa.Table, id_col: str) -> tuple[np.ndarray, np.ndarray]:

@@ -19,10 +19,9 @@ from tickstream.functions.text import (
 
 
 def latest_anomalies(flags: DataFrame, n: int = LATEST_ANOMALIES) -> DataFrame:
-    """Flagged bars first, then the newest; tickers break ties."""
-    return flags.orderBy(
-        F.desc("is_anomaly"), F.desc("bar_time_ts"), F.asc("ticker")
-    ).limit(n)
+    """Flagged bars first, then the newest; tickers, then the bar's values break ties."""
+    ties = [c for c in ("ticker", "open", "high", "low", "close", "volume") if c in flags.columns]
+    return flags.orderBy(F.desc("is_anomaly"), F.desc("bar_time_ts"), *map(F.asc, ties)).limit(n)
 
 
 def latest_attention(sentiment: DataFrame, n: int = LATEST_DAYS) -> DataFrame:
@@ -88,7 +87,8 @@ def snapshot_text(snapshot: DataFrame) -> DataFrame:
 def price_answers(requested: DataFrame, snapshot: DataFrame) -> DataFrame:
     """One text per requested ticker: its snapshot, or a note that there is no data.
 
-    Tickers are compared in upper case without surrounding blanks.
+    Tickers are compared in upper case without surrounding blanks. Of several snapshots
+    of one ticker the newest answers.
     """
     wanted = requested.select(normal_ticker(F.col("ticker")).alias("ticker")).distinct()
     change = signed_change(F.col("change"), F.col("change_pct"))
@@ -98,7 +98,8 @@ def price_answers(requested: DataFrame, snapshot: DataFrame) -> DataFrame:
             normal_ticker(F.col("ticker")), F.col("close"), change, F.col("volume"),
             F.col("high"), F.col("low"), F.col("year_high"), F.col("year_low"),
         ).alias("_text"),
-    )
+        F.struct(F.col("bar_date"), F.col("ticker")).alias("_order"),
+    ).groupBy("ticker").agg(F.max_by("_text", "_order").alias("_text"))
     return wanted.join(texts, "ticker", "left").select(
         "ticker", F.coalesce("_text", no_price_text(F.col("ticker"))).alias("answer")
     )

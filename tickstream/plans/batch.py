@@ -7,41 +7,58 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
+from tickstream.functions.text import normal_ticker
 from tickstream.operators.embed import Embedder, build_vectors, hash_embedder
 from tickstream.operators.gold import daily_sentiment, price_anomaly_flags
 from tickstream.operators.silver import silver_news, silver_prices
-from tickstream.sources.tables import GOLD_TABLES, Lake, read_table, write_table
+from tickstream.sources.tables import GOLD_TABLES, Lake, observed, read_table, write_table
 
 
 def build_silver(spark: SparkSession, lake: Lake, fmt: str | None = None,
-                 as_of: Column | None = None) -> dict[str, int]:
-    news = silver_news(read_table(spark, lake.bronze("news"), fmt), as_of)
-    prices = silver_prices(read_table(spark, lake.bronze("prices"), fmt), as_of=as_of)
-    return _write_all(spark, fmt, {
-        "silver_news": (news, lake.silver("news")),
-        "silver_prices": (prices, lake.silver("prices")),
+                 as_of: Column | None = None, keep: str = "first",
+                 by_instant: bool = False) -> dict[str, int]:
+    """Both silver tables; returns the rows read and written, counted in the same pass.
+
+    ``keep`` and ``by_instant`` are those of ``silver_prices``. Prices are laid out by day and
+    carry the normalised ticker, so that readers of few days and tickers skip the rest.
+    """
+    bronze_news, news_read = observed(read_table(spark, lake.bronze("news"), fmt))
+    bronze_prices, prices_read = observed(read_table(spark, lake.bronze("prices"), fmt))
+    news = silver_news(bronze_news, as_of)
+    prices = silver_prices(bronze_prices, keep, by_instant, as_of).withColumns({
+        "symbol": normal_ticker(F.col("ticker")), "bar_date": F.to_date("bar_time_ts"),
+    })
+    written = _write_all(spark, fmt, {
+        "silver_news": (news, lake.silver("news"), ()),
+        "silver_prices": (
+            prices.hint("rebalance", F.col("bar_date")).sortWithinPartitions("bar_date", "symbol"),
+            lake.silver("prices"), ("bar_date",),
+        ),
     })
+    return {"bronze_news": news_read.get["rows"], "bronze_prices": prices_read.get["rows"]} | written
 
 
 def build_gold(spark: SparkSession, lake: Lake, fmt: str | None = None,
                as_of: Column | None = None) -> dict[str, int]:
     """Both gold tables from the written silver tables.
 
-    Days are few and stored newest first. Flags come out of the rolling window
-    sorted by ticker and time within each file, which is kept as it is: a total
-    order would shuffle them once more and compute the window twice.
+    Days are few and stored newest first. Flags are laid out by day, so that readers of
+    few days skip the rest, and sorted by ticker and time within each file. Large days
+    are split over several files.
     """
     flags = price_anomaly_flags(read_table(spark, lake.silver("prices"), fmt), as_of=as_of)
     days = daily_sentiment(read_table(spark, lake.silver("news"), fmt))
     return _write_all(spark, fmt, {
         "price_anomaly_flags": (
-            flags.sortWithinPartitions("ticker", "bar_time_ts"),
-            lake.gold(GOLD_TABLES["price_anomaly_flags"]),
+            flags.hint("rebalance", F.col("bar_date")).sortWithinPartitions(
+                "bar_date", "ticker", "bar_time_ts"),
+            lake.gold(GOLD_TABLES["price_anomaly_flags"]), ("bar_date",),
         ),
         "daily_sentiment": (
             days.orderBy(days.published_date.desc()),
-            lake.gold(GOLD_TABLES["daily_sentiment"]),
+            lake.gold(GOLD_TABLES["daily_sentiment"]), (),
         ),
     })
 
@@ -53,9 +70,10 @@ def build_vector_table(spark: SparkSession, lake: Lake, fmt: str | None = None,
 
 
 def run_batch(spark: SparkSession, lake: Lake, fmt: str | None = None,
-              as_of: Column | None = None) -> dict[str, int]:
-    """All stages in order; returns the rows written to every table."""
-    counts = build_silver(spark, lake, fmt, as_of)
+              as_of: Column | None = None, keep: str = "first",
+              by_instant: bool = False) -> dict[str, int]:
+    """All stages in order; returns the rows read from bronze and written to every table."""
+    counts = build_silver(spark, lake, fmt, as_of, keep, by_instant)
     return counts | build_gold(spark, lake, fmt, as_of)
 
 
@@ -63,6 +81,6 @@ def _write_all(spark: SparkSession, fmt: str | None, writes: dict) -> dict[str,
     """Write independent tables side by side, so neither waits for the other's tail."""
     with ThreadPoolExecutor(len(writes)) as pool:
         target = inheritable_thread_target(spark)(write_table)
-        jobs = {name: pool.submit(target, df, path, fmt)
-                for name, (df, path) in writes.items()}
+        jobs = {name: pool.submit(target, df, path, fmt, partition_by)
+                for name, (df, path, partition_by) in writes.items()}
         return {name: job.result() for name, job in jobs.items()}

@@ -6,8 +6,8 @@ from __future__ import annotations
 PARTS = {
     "bars": """
         SELECT event_type AS ticker, date_trunc('hour', ts) AS bar_time_ts,
-               arg_min(value, ts) AS open, max(value) AS high, min(value) AS low,
-               arg_max(value, ts) AS close, count(*) AS volume,
+               arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,
+               arg_max(value, (ts, event_id)) AS close, count(*) AS volume,
                max(value) - min(value) AS price_range
         FROM events GROUP BY ALL""",
     "part_bars": """
@@ -267,6 +267,32 @@ PARSED_PRICES = """
                                         volume)) AS value
           FROM bronze_prices)"""
 
+PRICE_ANSWERS = sql(
+    "bars daily snapshot display",
+    """SELECT ticker, CASE WHEN latest_close IS NULL
+                   THEN 'No price data available for ' || ticker || '. Market may be closed.'
+                   ELSE concat('Ticker: ', ticker, chr(10), 'Latest Close: ', latest_close,
+                               chr(10), 'Daily Change: ', daily_change, chr(10), 'Volume: ',
+                               volume, chr(10), 'High: ', high, ' | Low: ', low, chr(10),
+                               '52-Week High: ', year_high, ' | Low: ', year_low, chr(10))
+                   END AS answer
+       FROM (SELECT DISTINCT upper(unnest(['user' || user_id, event_type])) AS ticker
+             FROM events)
+       LEFT JOIN display USING (ticker)""",
+    bars="bars",
+)
+
+KNN_SEARCH = sql(
+    KNN, "SELECT query_id, rank, vec_id, round(score, 6) AS score FROM hits",
+    components=STORED_COMPONENTS, questions=LABEL_CENTRES,
+)
+NEWS_ANSWERS = sql(
+    f"{NEWS} texts slots dense news_vectors {KNN}",
+    f"""SELECT query_id, string_agg(citation, chr(10) || chr(10) ORDER BY rank) AS answer
+        FROM ({CITATION}) GROUP BY query_id""",
+    news="silver_news", components=NEWS_COMPONENTS, questions=QUESTION_COMPONENTS,
+)
+
 ORACLE = {
     "price_anomaly_flags": sql("bars rolled flags", FLAGS, bars="bars"),
     "part_anomaly_flags": sql("part_bars rolled flags", FLAGS, bars="part_bars"),
@@ -340,10 +366,7 @@ ORACLE = {
            FROM news_vectors""",
         news="silver_news",
     ),
-    "knn_search": sql(
-        KNN, "SELECT query_id, rank, vec_id, round(score, 6) AS score FROM hits",
-        components=STORED_COMPONENTS, questions=LABEL_CENTRES,
-    ),
+    "knn_search": KNN_SEARCH,
     "knn_citations": sql(
         f"articles bronze_news texts {KNN}", CITATION,
         news="bronze_news", components=STORED_COMPONENTS, questions=LABEL_CENTRES,
@@ -352,12 +375,7 @@ ORACLE = {
         f"{NEWS} texts slots dense news_vectors {KNN}", CITATION,
         news="silver_news", components=NEWS_COMPONENTS, questions=QUESTION_COMPONENTS,
     ),
-    "news_answers": sql(
-        f"{NEWS} texts slots dense news_vectors {KNN}",
-        f"""SELECT query_id, string_agg(citation, chr(10) || chr(10) ORDER BY rank) AS answer
-            FROM ({CITATION}) GROUP BY query_id""",
-        news="silver_news", components=NEWS_COMPONENTS, questions=QUESTION_COMPONENTS,
-    ),
+    "news_answers": NEWS_ANSWERS,
     "index_stats": """
         SELECT count(*) AS articles_indexed, CAST(max(len(embedding)) AS INTEGER) AS embedding_dim,
                (SELECT string_agg(title, ' | ' ORDER BY vec_id)
@@ -381,26 +399,21 @@ ORACLE = {
     "price_snapshot_text": sql(
         "bars daily snapshot display", "SELECT * FROM display", bars="bars"
     ),
-    "price_answers": sql(
-        "bars daily snapshot display",
-        """SELECT ticker, CASE WHEN latest_close IS NULL
-                       THEN 'No price data available for ' || ticker || '. Market may be closed.'
-                       ELSE concat('Ticker: ', ticker, chr(10), 'Latest Close: ', latest_close,
-                                   chr(10), 'Daily Change: ', daily_change, chr(10), 'Volume: ',
-                                   volume, chr(10), 'High: ', high, ' | Low: ', low, chr(10),
-                                   '52-Week High: ', year_high, ' | Low: ', year_low, chr(10))
-                       END AS answer
-           FROM (SELECT DISTINCT upper(unnest(['user' || user_id, event_type])) AS ticker
-                 FROM events)
-           LEFT JOIN display USING (ticker)""",
-        bars="bars",
-    ),
+    "price_answers": PRICE_ANSWERS,
     "run_batch_anomalies": sql(
         f"{PRICES} rolled flags", FLAGS,
         bars="(SELECT ticker, bar_time_ts, open, high, low, close, volume, price_range "
              "FROM silver_prices)",
     ),
     "run_batch_sentiment": sql(f"{NEWS} sentiment", "SELECT * FROM sentiment"),
+    # The lake's tables hold what the bars really were, however often they were polled.
+    "batch_daily_bars": sql(
+        "bars daily", "SELECT * REPLACE (upper(ticker) AS ticker) FROM daily", bars="bars"
+    ),
+    "batch_price_answers": PRICE_ANSWERS,
+    "batch_latest_anomalies": sql("bars rolled flags", TOP_FLAGS, bars="bars"),
+    "lake_search": NEWS_ANSWERS,
+    "blocked_search": KNN_SEARCH,
     "sql_over_path": sql(
         NEWS,
         """SELECT source_name, count(*) AS n_articles, max(published_at_ts) AS newest

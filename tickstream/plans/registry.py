@@ -15,14 +15,23 @@ from tickstream.operators import articles as art
 from tickstream.operators import bars as brs
 from tickstream.operators import embed, gold, search, serving, silver
 from tickstream.operators.envelope import parse_messages
-from tickstream.plans.batch import run_batch
+from tickstream.plans.batch import build_vector_table, run_batch
 from tickstream.plans.ingest import news_messages, price_messages
-from tickstream.plans.reports import search_answers, search_news
+from tickstream.plans.reports import search_answers, search_lake, search_news
 from tickstream.schemas import NEWS_PAYLOAD, PRICE_PAYLOAD
 from tickstream.session import prepare, work_path
 from tickstream.sources.kafka import read_envelope_files
 from tickstream.sources.landing import read_articles, read_bars, stream_articles
-from tickstream.sources.tables import Lake, read_gold, read_table, row_counts, sql_path, stored
+from tickstream.sources.tables import (
+    Lake,
+    counted,
+    observed,
+    read_gold,
+    read_table,
+    sql_path,
+    stored,
+    table_exists,
+)
 from tickstream.streaming.cycles import start_cycles
 from tickstream.streaming.ingest import run_to_end, start_news, start_prices
 from tickstream.streaming.triggers import Trigger
@@ -165,13 +174,16 @@ def silver_prices_latest(spark, d):
 
 @query
 def stage_counts(spark, d):
-    news, prices = _bronze_news(spark, d), _bronze_prices(spark, d)
-    return row_counts({
-        "bronze_news": news,
-        "silver_news": silver.silver_news(news),
-        "bronze_prices": prices,
-        "silver_prices": silver.silver_prices(prices),
-    })
+    """Rows before and after each stage, counted while it runs: every table is read once."""
+    rows = []
+    for name, bronze, refine in (
+        ("news", _bronze_news(spark, d), silver.silver_news),
+        ("prices", _bronze_prices(spark, d), silver.silver_prices),
+    ):
+        bronze, read = observed(bronze)
+        written = counted(refine(bronze), lambda df: df.write.format("noop").mode("overwrite").save())
+        rows += [(f"bronze_{name}", read.get["rows"]), (f"silver_{name}", written)]
+    return spark.createDataFrame(rows, "stage string, n_rows bigint")
 
 
 # Ingest ------------------------------------------------------------------
@@ -228,8 +240,10 @@ def landed_articles(spark, d):
 
 @query
 def landed_bars(spark, d):
+    """Bars landed with volumes spelled as decimals, as feeds deliver them."""
     path = work_path(spark, "landing-bars")
-    _hourly(spark, d).drop("price_range").write.json(path)
+    _hourly(spark, d).drop("price_range").withColumn(
+        "volume", F.col("volume").cast("double")).write.json(path)
     return brs.normalise_bars(
         read_bars(spark, path), fx.EVENT_TICKERS, fx.instant(fx.CYCLE_TIME)
     )
@@ -394,21 +408,32 @@ def price_answers(spark, d):
 
     No bars exist under a user's name, so those get the note instead.
     """
+    snapshot = serving.price_snapshot(brs.daily_bars(_hourly(spark, d)))
+    return serving.price_answers(_tickers(spark, d), snapshot)
+
+
+def _tickers(spark: SparkSession, d: str) -> DataFrame:
     events = fx.load(spark, d, "events")
     users = events.select(F.concat(F.lit("user"), "user_id").alias("ticker"))
-    types = events.select(F.col("event_type").alias("ticker"))
-    snapshot = serving.price_snapshot(brs.daily_bars(_hourly(spark, d)))
-    return serving.price_answers(users.unionAll(types), snapshot)
+    return users.unionAll(events.select(F.col("event_type").alias("ticker")))
 
 
 # Whole batch -------------------------------------------------------------
 
 
-def _lake_after_batch(spark: SparkSession, d: str) -> Lake:
-    lake = Lake(work_path(spark, "lake"))
-    _bronze_news(spark, d).write.parquet(lake.bronze("news"))
-    _bronze_prices(spark, d).write.parquet(lake.bronze("prices"))
-    run_batch(spark, lake, "parquet")
+_LAKES: dict[tuple, Lake] = {}
+
+
+def _lake_after_batch(spark: SparkSession, d: str, **options) -> Lake:
+    """A lake after one batch run, shared by the queries of a session on the same tables."""
+    key = (spark.sparkContext.applicationId, d, *sorted(options.items()))
+    lake = _LAKES.get(key)
+    if lake is None or not table_exists(spark, lake.gold("gold_daily_sentiment"), "parquet"):
+        lake = Lake(work_path(spark, "lake"))
+        _bronze_news(spark, d).write.parquet(lake.bronze("news"))
+        _bronze_prices(spark, d).write.parquet(lake.bronze("prices"))
+        run_batch(spark, lake, "parquet", **options)
+        _LAKES[key] = lake
     return lake
 
 
@@ -424,6 +449,47 @@ def run_batch_sentiment(spark, d):
     return _with_double_proxy(read_gold(spark, lake, "daily_sentiment", "parquet"))
 
 
+@query
+def batch_daily_bars(spark, d):
+    """Daily bars from the written silver table, in which some bars are there twice."""
+    lake = _lake_after_batch(spark, d, keep="last")
+    return brs.daily_bars(read_table(spark, lake.silver("prices"), "parquet"))
+
+
+@query
+def batch_price_answers(spark, d):
+    """Price texts from the written silver table for all event types and users as tickers."""
+    lake = _lake_after_batch(spark, d, keep="last")
+    daily = brs.daily_bars(read_table(spark, lake.silver("prices"), "parquet"))
+    return serving.price_answers(_tickers(spark, d), serving.price_snapshot(daily))
+
+
+@query
+def batch_latest_anomalies(spark, d):
+    """Latest rows of the written gold table, with one row per instant, the last poll's."""
+    lake = _lake_after_batch(spark, d, keep="last", by_instant=True)
+    return serving.latest_anomalies(read_gold(spark, lake, "price_anomaly_flags", "parquet"))
+
+
+@query
+def lake_search(spark, d):
+    """Benchmark texts as questions to the lake's own vector table."""
+    lake = _lake_after_batch(spark, d)
+    if not table_exists(spark, lake.vectors, "parquet"):
+        build_vector_table(spark, lake, "parquet")
+    return search_lake(spark, lake, _questions(spark, d), fmt="parquet")
+
+
+@query
+def blocked_search(spark, d):
+    """The same hits when the questions come in several blocks."""
+    vectors = fx.load(spark, d, "embeddings")
+    centres = _label_centres(vectors)
+    return search.knn_search(centres, vectors, max_bytes=2_000).withColumn(
+        "score", F.round("score", 6)
+    )
+
+
 @query
 def sql_over_path(spark, d):
     """A table addressed by its path in SQL."""

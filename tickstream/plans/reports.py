@@ -28,6 +28,7 @@ from tickstream.operators.serving import (
 from tickstream.sources.tables import (
     GOLD_TABLES,
     Lake,
+    TableNotFound,
     read_gold,
     read_table,
     table_exists,
@@ -62,6 +63,22 @@ def search_answers(questions: DataFrame, vectors: DataFrame, k: int = TOP_K,
     )
 
 
+def lake_vectors(spark: SparkSession, lake: Lake, fmt: str | None = None) -> DataFrame:
+    """The vector table of a lake; says how to build it where there is none."""
+    try:
+        return read_table(spark, lake.vectors, fmt)
+    except TableNotFound as error:
+        raise TableNotFound(
+            f"no vector table at {lake.vectors}; run build_vector_table first") from error
+
+
+def search_lake(spark: SparkSession, lake: Lake, questions: DataFrame, k: int = TOP_K,
+                make_embedder: Callable[[], Embedder] = hash_embedder,
+                fmt: str | None = None) -> DataFrame:
+    """``search_answers`` over the lake's own vector table."""
+    return search_answers(questions, lake_vectors(spark, lake, fmt), k, make_embedder)
+
+
 def latest_rows(spark: SparkSession, lake: Lake, name: str,
                 fmt: str | None = None) -> DataFrame:
     """The latest rows of a gold table; unknown names raise with the known ones."""
@@ -77,8 +94,15 @@ def latest_rows_text(spark: SparkSession, lake: Lake, name: str,
 
 def live_prices(spark: SparkSession, lake: Lake, tickers: Sequence[str],
                 as_of: Column | None = None, fmt: str | None = None) -> DataFrame:
-    """The latest price of every named ticker as (ticker, answer)."""
-    daily = daily_bars(read_table(spark, lake.silver("prices"), fmt))
+    """The latest price of every named ticker as (ticker, answer).
+
+    Silver's days after ``as_of`` and other tickers' rows are not read.
+    """
+    names = [t.strip().upper() for t in tickers]
+    prices = read_table(spark, lake.silver("prices"), fmt).filter(F.col("symbol").isin(names))
+    if as_of is not None:
+        prices = prices.filter(F.col("bar_date") <= F.to_date(as_of))
+    daily = daily_bars(prices)
     requested = spark.createDataFrame([(t,) for t in tickers], "ticker string")
     return price_answers(requested, price_snapshot(daily, tickers, as_of))
 

@@ -49,7 +49,8 @@ RAW_ARTICLE = _schema(
 
 RAW_BAR = _schema(
     ticker=TEXT, bar_time_ts=TimestampType(),
-    open=REAL, high=REAL, low=REAL, close=REAL, volume=WHOLE,
+    # Feeds spell volumes with or without a fraction.
+    open=REAL, high=REAL, low=REAL, close=REAL, volume=REAL,
 )
 
 VECTORS = _schema(

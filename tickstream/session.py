@@ -20,12 +20,13 @@ def has_delta() -> bool:
 # Shuffle partitions aim at this size. Adaptive execution merges smaller ones but
 # does not split larger ones, so the number has to be high enough at the start.
 PARTITION_BYTES = 512 << 20
-MAX_SHUFFLE_PARTITIONS = 100_000
+# Arrow batches end at this size, so that rows with long texts do not fill a worker.
+ARROW_BYTES = 8 << 20
 
 
-def shuffle_partitions(input_bytes: int) -> int:
+def shuffle_partitions(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> int:
     """Shuffle partitions for jobs over that much input, 200 at least."""
-    return min(max(200, -(-input_bytes // PARTITION_BYTES)), MAX_SHUFFLE_PARTITIONS)
+    return max(200, -(-input_bytes // partition_bytes))
 
 
 def get_session(app_name: str = "tickstream", master: str | None = None,
@@ -41,8 +42,6 @@ def get_session(app_name: str = "tickstream", master: str | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Article rows carry whole texts, so Arrow batches stay short.
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     )
     if master:
         builder = builder.master(master)
@@ -63,8 +62,9 @@ def get_session(app_name: str = "tickstream", master: str | None = None,
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Times are read and rendered in UTC throughout."""
+    """What every session needs, whoever built it: UTC times and Arrow batches bounded in bytes."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 
@@ -88,8 +88,8 @@ def _ship(context: SparkContext) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session, where every task runs on this machine, may fall back
-    to a temporary folder.
+    Where the setting is missing a session on a cluster raises. A local one, whose
+    tasks all run on this machine, gets a folder of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -80,15 +81,57 @@ def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     return seen.get["rows"]
 
 
-def write_table(df: DataFrame, path: str, fmt: str | None = None) -> int:
-    """Replace the table and its schema; returns the rows written."""
-    return counted(
-        df,
-        lambda out: out.write.format(fmt or default_format())
-        .mode("overwrite")
-        .option("overwriteSchema", "true")
-        .save(path),
-    )
+def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The frame, and its number of rows (``.get["rows"]``) once it was read by a job."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def write_table(df: DataFrame, path: str, fmt: str | None = None,
+                partition_by: tuple[str, ...] = ()) -> int:
+    """Replace the table and its schema; returns the rows written.
+
+    Delta replaces tables by itself. Other formats are written to a new folder, which takes
+    the table's place when it is complete, so a job that fails leaves the table as it was.
+    """
+    def save(out: DataFrame, target: str) -> None:
+        out.write.format(kind).mode("overwrite").option("overwriteSchema", "true").partitionBy(
+            *partition_by).save(target)
+
+    kind = fmt or default_format()
+    if kind == "delta":
+        return counted(df, lambda out: save(out, path))
+    fresh = f"{path}.new-{uuid.uuid4().hex}"
+    try:
+        rows = counted(df, lambda out: save(out, fresh))
+    except Exception:
+        _folder(df.sparkSession, fresh).delete()
+        raise
+    _folder(df.sparkSession, fresh).replace(path)
+    return rows
+
+
+class _folder:
+    """A folder in the file system its path belongs to."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self.here = self._path(path)
+        self.fs = self.here.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def delete(self) -> None:
+        self.fs.delete(self.here, True)
+
+    def replace(self, path: str) -> None:
+        """Take the place of another folder, which is deleted when that is done."""
+        there, before = self._path(path), self._path(f"{path}.old-{uuid.uuid4().hex}")
+        had = self.fs.exists(there) and self.fs.rename(there, before)
+        if not self.fs.rename(self.here, there):
+            if had:
+                self.fs.rename(before, there)
+            raise OSError(f"could not replace {path}")
+        if had:
+            self.fs.delete(before, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -12,16 +12,22 @@ from tickstream.streaming.triggers import Trigger
 
 def start_cycles(feed: DataFrame, to_messages: Callable[[DataFrame], DataFrame],
                  send: Callable[[DataFrame], object], checkpoint: str,
-                 trigger: Trigger = Trigger(), name: str | None = None) -> StreamingQuery:
+                 trigger: Trigger = Trigger(), name: str | None = None,
+                 report: Callable[[int, object], None] | None = None) -> StreamingQuery:
     """Turn every micro-batch of landed rows into messages and send them.
 
+    ``report`` is called after each cycle with its number and what ``send`` returned,
+    which is the number of messages for ``publish``.
+
     Urls are made unique within a batch, as within a polling cycle. A batch that
     fails is sent again as a whole after a restart, so messages can repeat, which
     the silver tables undo.
     """
 
-    def cycle(batch: DataFrame, _batch_id: int) -> None:
-        send(to_messages(batch))
+    def cycle(batch: DataFrame, number: int) -> None:
+        sent = send(to_messages(batch))
+        if report is not None:
+            report(number, sent)
 
     writer = feed.writeStream.foreachBatch(cycle).option("checkpointLocation", checkpoint)
     if name:
