@@ -15,59 +15,75 @@ _FIRST = 4  # letters in the first sort key, nine bits each: 0 is the end
 
 
 def suffix_array(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Positions of all suffixes in ascending order; of equal ones the earlier segment first.
+    """Positions of all suffixes in ascending order; of equal ones the earlier segment first."""
+    return refine(data, ends)[0]
+
+
+def refine(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffix array, and for each place a number of letters shared with the place before.
 
     ``ends`` holds the end of each segment. Suffixes are sorted by their first letters,
     then, as Larsson and Sadakane do, only those still tied are sorted again, by the rank
-    of the suffix that follows at the sorted depth, which doubles each time.
+    of the suffix that follows at the sorted depth, which doubles each time. Neighbours
+    share at least as many letters as the depth at which they were still tied, and less
+    than twice as many.
     """
     size = len(data)
     if size >= MAX_BYTES:
         raise ValueError("a shard must be below 2 MB")
     if not size:
-        return np.zeros(0, np.int64)
-    at = np.arange(size, dtype=np.uint64)
-    segment = np.searchsorted(ends, np.arange(size), "right")
-    left = ends[segment] - np.arange(size)  # letters up to the segment's end
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.arange(size)
+    lengths = np.diff(ends, prepend=0)
+    segment = np.repeat(np.arange(len(ends), dtype=np.int32), lengths)
+    left = (np.repeat(ends, lengths) - at).astype(np.int32)  # letters up to the segment's end
     key = np.zeros(size, np.uint64)
+    letter = data.astype(np.uint64) + np.uint64(1)
     for k in range(_FIRST):
-        letter = np.zeros(size, np.uint64)
-        letter[:max(0, size - k)] = data[k:]
-        letter += np.uint64(1)
-        letter[left <= k] = 0
-        key = key << np.uint64(9) | letter
-    packed = np.sort(key << np.uint64(POSITION_BITS) | at)
-    order = (packed & np.uint64(MAX_BYTES - 1)).astype(np.int64)
+        key <<= np.uint64(9)
+        key[:max(0, size - k)] |= np.where(left[:max(0, size - k)] > k, letter[k:], np.uint64(0))
+    key <<= np.uint64(POSITION_BITS)
+    key |= at.view(np.uint64)
+    key.sort()
+    order = (key & np.uint64(MAX_BYTES - 1)).view(np.int64)
+    key >>= np.uint64(POSITION_BITS)
     head = np.ones(size, bool)
-    head[1:] = packed[1:] >> np.uint64(POSITION_BITS) != packed[:-1] >> np.uint64(POSITION_BITS)
-    rank = np.empty(size, np.int64)
+    head[1:] = key[1:] != key[:-1]
+    rank = np.empty(size, np.int32)
     starts = np.flatnonzero(head)
-    rank[order] = np.repeat(starts, np.diff(np.append(starts, size)))
-    tied = _tied(head)
-    places = np.flatnonzero(tied)
-    open_ = order[places]
+    first = np.repeat(starts, np.diff(np.append(starts, size)))
+    rank[order] = first
+    shared = np.zeros(size, np.int32)
+    places = np.flatnonzero(_tied(head))
+    open_, first = order[places], first[places]
     depth, segments = _FIRST, len(ends)
     while len(open_):
-        follows = open_ + depth
-        ended = left[open_] <= depth
-        second = np.where(ended, segment[open_], 0)
-        second[~ended] = segments + rank[follows[~ended]]
-        key = rank[open_].astype(np.uint64) << np.uint64(2 * POSITION_BITS + 1)
-        key |= second.astype(np.uint64) << np.uint64(POSITION_BITS)
-        key |= open_.astype(np.uint64)
+        # Suffixes that have ended are told apart by their segment.
+        second = rank[np.minimum(open_ + depth, size - 1)] + np.int64(segments)
+        ended = np.flatnonzero(left[open_] <= depth)
+        second[ended] = segment[open_[ended]]
+        first <<= 2 * POSITION_BITS + 1
+        second <<= POSITION_BITS
+        key = (first | second | open_).view(np.uint64)
         key.sort()
-        open_ = (key & np.uint64(MAX_BYTES - 1)).astype(np.int64)
+        open_ = (key & np.uint64(MAX_BYTES - 1)).view(np.int64)
         order[places] = open_
-        group = key >> np.uint64(POSITION_BITS)
+        key >>= np.uint64(POSITION_BITS)
         head = np.ones(len(key), bool)
-        head[1:] = group[1:] != group[:-1]
-        # Suffixes that ended are told apart by their segment; a group's rank is its place.
+        head[1:] = key[1:] != key[:-1]
+        # A group's rank is its first place. What was one group shares the depth sorted so far.
         starts = np.flatnonzero(head)
-        rank[open_] = np.repeat(places[starts], np.diff(np.append(starts, len(key))))
+        first = np.repeat(places[starts], np.diff(np.append(starts, len(key))))
+        rank[open_] = first
+        old = key >> np.uint64(POSITION_BITS + 1)
+        parted = places[1:][head[1:] & (old[1:] == old[:-1])]
+        shared[parted] = depth
         tied = _tied(head)
-        open_, places = open_[tied], places[tied]
+        open_, places, first = open_[tied], places[tied], first[tied]
         depth *= 2
-    return order
+    # Suffixes that ended at once share what is left of them.
+    shared[1:] = np.minimum(shared[1:], np.minimum(left[order[1:]], left[order[:-1]]))
+    return order, shared
 
 
 def _tied(head: np.ndarray) -> np.ndarray:
@@ -77,12 +93,14 @@ def _tied(head: np.ndarray) -> np.ndarray:
     return tied
 
 
-def common_prefixes(data: np.ndarray, ends: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
+def common_prefixes(data: np.ndarray, ends: np.ndarray, order: np.ndarray, limit: int,
+                    known: np.ndarray | None = None) -> np.ndarray:
     """For each place in the order, the letters (up to ``limit``) shared with the place before.
 
     Kasai's rule: the suffix one letter further shares at least one letter less with its
     own predecessor. Stretches of the text are walked side by side, one array step for
-    all of them, and letters are compared eight at a time.
+    all of them, and letters are compared eight at a time. ``known`` are the letters that
+    the refinement knows of; where twice as many stay below the limit they are enough.
     """
     size = len(data)
     out = np.zeros(size, np.int64)
@@ -92,7 +110,12 @@ def common_prefixes(data: np.ndarray, ends: np.ndarray, order: np.ndarray, limit
     before[order[1:]] = order[:-1]
     place = np.empty(size, np.int64)
     place[order] = np.arange(size)
-    left = ends[np.searchsorted(ends, np.arange(size), "right")] - np.arange(size)
+    left = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(size)
+    most = np.minimum(np.minimum(left, left[before]), limit)
+    most[before < 0] = 0
+    least = np.zeros(size, np.int64) if known is None else np.minimum(known[place], most)
+    reach = None if known is None else np.maximum(2 * known[place], _FIRST)
+    exact = np.ones(size, bool) if known is None else (reach > limit) & (least < most)
     wide = _eight(data)
     steps = max(64, int(np.sqrt(size) / 4))
     lanes = np.arange(0, size, steps)
@@ -103,18 +126,19 @@ def common_prefixes(data: np.ndarray, ends: np.ndarray, order: np.ndarray, limit
             lanes, shared, at = lanes[:-1], shared[:-1], at[:-1]
             if not len(at):
                 break
-        other = before[at]
-        most = np.minimum(np.minimum(left[at], left[other]), limit)
-        most[other < 0] = 0
-        length = np.minimum(np.maximum(shared - 1, 0), most)
-        going = np.flatnonzero(length < most)
+        length = np.minimum(np.maximum(shared - 1, least[at]), most[at])
+        going = np.flatnonzero(exact[at] & (length < most[at]))
         while len(going):
+            here = at[going]
             n = length[going]
-            gap = wide[at[going] + n] ^ wide[other[going] + n]
-            same = np.where(gap == 0, 8, _leading_bytes(gap))
-            n = np.minimum(n + same, most[going])
+            gap = wide[here + n] ^ wide[before[here] + n]
+            same = gap == 0
+            n = np.minimum(n + 8, most[here])
+            if not same.all():
+                stop = ~same
+                n[stop] = np.minimum(length[going[stop]] + _leading_bytes(gap[stop]), n[stop])
             length[going] = n
-            going = going[(same == 8) & (n < most[going])]
+            going = going[same & (n < most[here])]
         shared = length
         out[place[at]] = length
     return out
@@ -142,8 +166,8 @@ def repeated_starts(data: np.ndarray, ends: np.ndarray, starts: np.ndarray, leng
 
     Starts in one group have equal strings. All strings must lie in their segments.
     """
-    order = suffix_array(data, ends)
-    shared = common_prefixes(data, ends, order, length)
+    order, known = refine(data, ends)
+    shared = common_prefixes(data, ends, order, length, known)
     asked = np.zeros(len(data), bool)
     asked[starts] = True
     where = np.flatnonzero(asked[order])

@@ -30,8 +30,9 @@ from tickstream.llm.suffix_array import repeated_starts
 from tickstream.llm.textbatch import PIECE_BYTES, Rolling, mix, pieces, text_bytes
 
 LENGTH = 400
-# Bytes hashed at each place to choose anchors.
-GRAM = 24
+# Bytes hashed at each place to choose anchors: so many that few repeat by chance, and few
+# enough that a window has many places to choose from.
+GRAM = 128
 # A shard holds at most about this much text; an anchor with more is cut over several shards.
 SHARD_BYTES = 1 << 20
 _PLACE = np.uint64((1 << 23) - 1)
@@ -45,13 +46,14 @@ def anchored(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none.view(np.uint64), none, none, none, none, none
-    grams = len(data) - GRAM + 1
+    size = max(1, min(GRAM, length // 3))
+    grams = len(data) - size + 1
     hasher = Rolling(data, 1)
     at = np.arange(grams)
-    gram = hasher(at, at + GRAM)
+    gram = hasher(at, at + size)
     # The place in the low bits makes the leftmost of equal hashes the smallest.
     packed = gram & ~_PLACE | at.astype(np.uint64)
-    span = length - GRAM + 1
+    span = length - size + 1
     anchor = (_sliding_min(packed, span) & _PLACE).astype(np.int64)
     windows = np.arange(len(anchor))
     row = np.searchsorted(offsets, windows, "right") - 1
@@ -290,23 +292,25 @@ def _merged(runs: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text",
-                   kept: str = "kept", removed: str = "removed") -> DataFrame:
+                   kept: str = "kept", removed: str = "removed", keep_text: bool = True) -> DataFrame:
     """The frame with the bytes that stay and the removed runs (replaced where they exist).
 
     Every byte covered by a string of ``length`` bytes that also starts anywhere else in
     the table, the same text included, is removed; overlaps count, and strings are judged
     on the input. ``kept`` is binary, since cuts may fall inside characters;
     ``removed`` lists maximal runs as start and end in bytes. Null counts as empty; shorter
-    texts are left alone; repeated rows are occurrences like any other.
+    texts are left alone; repeated rows are occurrences like any other. ``keep_text=False``
+    leaves the text itself out.
     """
     session_of(docs)
     marks = repeated_windows(docs, length, text).groupBy("t1", "t2").agg(
         F.collect_list(F.struct("start", "windows")).alias("marks"))
     marks = marks.select(F.col("t1").alias("__m1"), F.col("t2").alias("__m2"), F.col("marks").alias("__marks"))
-    base = docs.drop(kept, removed) if text not in (kept, removed) else docs
+    base = docs.drop(*[c for c in (kept, removed) if c != text])
     one, two = text_key(text)
     joined = base.withColumn("__t1", one).withColumn("__t2", two).join(
         marks, (F.col("__t1") == F.col("__m1")) & (F.col("__t2") == F.col("__m2")), "left")
+    base = base if keep_text else base.drop(text)
     joined = joined.select(*base.columns, "__marks", as_bytes(text).alias("__bytes"))
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,11 +354,10 @@ def _covered(marks: pa.Scalar, length: int) -> list[tuple[int, int]]:
 
 def repeat_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and a digest of the bytes that stay."""
-    cut = remove_repeats(docs.select("doc_id", "text"))
-    size = F.octet_length(as_bytes("text"))
+    cut = remove_repeats(docs.select("doc_id", "text"), keep_text=False)
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda total, r: total + r["end"] - r["start"])
     return cut.select(
-        "doc_id", size.cast("long").alias("n_bytes"),
-        (size - F.octet_length("kept")).cast("long").alias("n_removed"),
+        "doc_id", (F.octet_length("kept") + gone).alias("n_bytes"), gone.alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
