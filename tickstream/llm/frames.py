@@ -135,7 +135,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (
             both.where("v > u").join(low, "u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+            .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         )
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         near = large.join(least, "u")

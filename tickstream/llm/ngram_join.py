@@ -11,8 +11,9 @@
    with. Big groups are cut into parts that all hold the group's head. In a part a
    signature tree is built and walked against itself; surviving pairs are checked exactly.
 4. Buckets in which classes are still unconnected are walked with signature trees once
-   more, across parts, and the surviving pairs are checked exactly. So every link between
-   different sets is found, or its ends are connected already.
+   more, across parts. A class that may link with a class of a larger connected group is sent
+   to that group, whose tree it is walked against, and what survives is checked exactly. So
+   every link between different sets is found, or its ends are connected already.
 5. Connected classes are named by their smallest document id.
 
 A bucket's or group's size bounds no task: rows of frequent keys are spread over
@@ -33,7 +34,7 @@ from tickstream.llm.frames import (
     as_bytes, components, consecutive, extended, filter_by_bitmap, keep, key_bitmap, session_of,
 )
 from tickstream.llm.signature_tree import (
-    SHORT_BITS, SignatureTree, Threshold, bitmaps, common_count, parities, similar_pairs, spanning_links,
+    SHORT_BITS, Groups, SignatureTree, Threshold, bitmaps, common_count, parities, similar_pairs, spanning_links,
 )
 from tickstream.llm.textbatch import (
     distinct_in_rows, mix, pieces, row_bounds, shingles, sort_in_rows, text_bytes,
@@ -341,13 +342,21 @@ def class_texts(docs: DataFrame, wanted: DataFrame, width: int, text: str = "tex
 
 
 def group_links(groups: DataFrame, texts: DataFrame, width: int, limit: Threshold) -> DataFrame:
-    """Exact links (a, b) inside each part of a group, found with its signature tree."""
+    """What exact links connect inside each part of a group, found with its signature tree.
+
+    Rows (a, b) say that class b is connected with a, the least class it is connected with there.
+    """
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, hashes, bounds, bits in _loaded_groups(source, width):
-            links = spanning_links(hashes, bounds, bits, limit)
-            a = np.array([keys[i] for i, _ in links], np.int64)
-            b = np.array([keys[j] for _, j in links], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        for keys, hashes, bounds, bits, _ in _loaded_groups(source, width):
+            groups = Groups(len(keys))
+            for i, j in spanning_links(hashes, bounds, bits, limit):
+                groups.join(i, j)
+            root = groups.roots(np.arange(len(keys)))
+            least = np.full(len(keys), np.iinfo(np.int64).max)
+            np.minimum.at(least, root, keys)
+            least = least[root]
+            far = least != keys
+            yield pa.RecordBatch.from_arrays([pa.array(least[far]), pa.array(keys[far])], ["a", "b"])
 
     return _dealt(groups, texts).mapInArrow(run, "a long, b long")
 
@@ -360,13 +369,13 @@ def _dealt(groups: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _loaded_groups(source: Iterator[pa.RecordBatch], width: int):
-    """Class keys, shingle sets and bitmaps of each group, from rows ordered by group."""
+    """Class keys, shingle sets, bitmaps and head flags of each group, from rows ordered by group."""
     held: list[pa.RecordBatch] = []
 
     def load(rows: list[pa.RecordBatch]):
         table = pa.Table.from_batches(rows)
         home, part = (table.column(k).to_numpy() for k in (0, 1))
-        keys = table.column(2).to_numpy()
+        keys, heads = table.column(2).to_numpy(), table.column(3).to_numpy().astype(bool)
         new = np.ones(len(keys), bool)
         new[1:] = (home[1:] != home[:-1]) | (part[1:] != part[:-1])
         data, offsets = text_bytes(table.column(4))
@@ -382,7 +391,7 @@ def _loaded_groups(source: Iterator[pa.RecordBatch], width: int):
         starts = np.append(np.flatnonzero(new), len(keys))
         for s, e in zip(starts[:-1], starts[1:]):
             lo, hi = bounds[s], bounds[e]
-            yield keys[s:e], hashes[lo:hi], bounds[s:e + 1] - lo, bits[s:e]
+            yield keys[s:e], hashes[lo:hi], bounds[s:e + 1] - lo, bits[s:e], heads[s:e]
 
     last = None
     for batch in source:
@@ -405,14 +414,27 @@ def _loaded_groups(source: Iterator[pa.RecordBatch], width: int):
         yield from load(held)
 
 
-def open_pairs(rows: DataFrame, roots: DataFrame, classes: DataFrame, limit: Threshold) -> DataFrame:
-    """Pairs of classes (a, b) of one bucket that may be similar and are not connected.
+def connected(links: DataFrame) -> DataFrame:
+    """(id, root, members) of all classes in links (a, b): a class that it is connected with.
 
-    Only buckets with unconnected classes are looked at. Each is walked with signature
-    trees, as pairs of blocks where it is large.
+    Not all that is connected has one root; what differs is only looked at once more.
     """
-    named = rows.join(roots, rows["y"] == roots["id"], "left").select(
-        F.col("x").alias("key"), F.col("y").alias("cls"), F.coalesce("root", "y").alias("root"))
+    low = links.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("root"))
+    own = links.select(F.col("a").alias("id")).distinct().join(low.select("id"), "id", "left_anti")
+    every = low.unionByName(own.withColumn("root", F.col("id")))
+    return every.join(every.groupBy("root").agg(F.count("*").alias("members")), "root").select(
+        "id", "root", "members")
+
+
+def open_targets(rows: DataFrame, labels: DataFrame, classes: DataFrame, limit: Threshold) -> DataFrame:
+    """(member, home): classes that may link with some class of another root, its home.
+
+    Only buckets with several roots are looked at. Each is walked with signature trees, as
+    pairs of blocks where it is large. Of two roots the one with fewer classes sends its own.
+    """
+    named = rows.join(labels, rows["y"] == labels["id"], "left").select(
+        F.col("x").alias("key"), F.col("y").alias("cls"), F.coalesce("root", "y").alias("root"),
+        F.coalesce("members", F.lit(1)).alias("members"))
     mixed = named.groupBy("key").agg(
         F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo != hi")
     blocks = F.ceil(F.col("size") / BLOCK_CLASSES).cast("long")
@@ -421,22 +443,23 @@ def open_pairs(rows: DataFrame, roots: DataFrame, classes: DataFrame, limit: Thr
         .withColumn("block", F.pmod(F.xxhash64("cls"), "blocks"))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                "block", "cls", "root")
+                "block", "cls", "root", "members")
     )
     sent = spread.join(classes, spread["cls"] == classes["set_key"]).select(
-        "key", "i", "j", "block", "cls", "root", "n_shingles", "bits", "parity")
+        "key", "i", "j", "block", "cls", "root", "members", "n_shingles", "bits", "parity")
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows_ in consecutive(source, 3):
-            yield from _walked_bucket(rows_, limit)
+            found = _walked_bucket(rows_, limit)
+            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["member", "home"])
 
     dealt = sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "member long, home long").distinct()
 
 
-def _walked_bucket(rows: pa.Table, limit: Threshold) -> Iterator[pa.RecordBatch]:
-    cls, root = rows.column(4).to_numpy(), rows.column(5).to_numpy()
-    size, bits, odd = rows.column(6).to_numpy(), _rows(rows.column(7)), _rows(rows.column(8))
+def _walked_bucket(rows: pa.Table, limit: Threshold) -> np.ndarray:
+    cls, root, members = (rows.column(k).to_numpy() for k in (4, 5, 6))
+    size, bits, odd = rows.column(7).to_numpy(), _rows(rows.column(8)), _rows(rows.column(9))
     own = rows.column(1)[0].as_py() == rows.column(2)[0].as_py()
     at = to = np.arange(len(cls))
     if not own:
@@ -444,35 +467,59 @@ def _walked_bucket(rows: pa.Table, limit: Threshold) -> Iterator[pa.RecordBatch]
         at, to = np.flatnonzero(left), np.flatnonzero(~left)
     one = SignatureTree(size[at], bits[at])
     two = one if own else SignatureTree(size[to], bits[to])
+    found = [np.zeros((2, 0), np.int64)]
     for i, j in similar_pairs(one, two, limit, lambda i, j: root[at[i]] == root[to[j]]):
         i, j = at[i], to[j]
         near = limit.may_link((size[i], bits[i], odd[i]), (size[j], bits[j], odd[j]))
-        a, b = cls[i[near]], cls[j[near]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+        i, j = i[near], j[near]
+        turn = (members[i] > members[j]) | ((members[i] == members[j]) & (root[i] < root[j]))
+        i, j = np.where(turn, j, i), np.where(turn, i, j)
+        found.append(np.unique(np.stack([cls[i], root[j]]), axis=1))
+    return np.unique(np.concatenate(found, axis=1), axis=1)
 
 
-def pair_links(pairs: DataFrame, texts: DataFrame, width: int, limit: Threshold) -> DataFrame:
-    """The pairs that are similar, checked on their texts; many partners are dealt out in parts."""
-    counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_CLASSES).cast("long").alias("parts"))
-    members = pairs.join(counts, "a").select(
-        F.col("b").alias("member"), F.col("a").alias("home"),
-        F.pmod(F.xxhash64("b"), "parts").alias("part"), F.lit(False).alias("head"))
-    heads = counts.select(
-        F.col("a").alias("member"), F.col("a").alias("home"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-        F.lit(True).alias("head"))
+def target_links(targets: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame,
+                 width: int, limit: Threshold) -> DataFrame:
+    """Links (a, b) of sent classes with a class of their home, one for each that has any.
+
+    Homes with many classes or many sent ones are compared as parts times blocks.
+    """
+    homes = targets.select("home").distinct()
+    held = homes.join(labels.select(F.col("root").alias("home"), "id"), "home", "left").select(
+        F.coalesce("id", "home").alias("member"), "home")
+    sizes = classes.select(F.col("set_key").alias("member"), "n_shingles")
+
+    def cuts(rows: DataFrame, name: str) -> DataFrame:
+        return rows.join(sizes, "member").groupBy("home").agg(
+            F.greatest(F.ceil(F.count("*") / GROUP_CLASSES),
+                       F.ceil(F.sum("n_shingles") / GROUP_SHINGLES)).cast("long").alias(name))
+
+    def dealt(rows: DataFrame, own: str, other: str, head: bool) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
+        out = rows.join(grid, "home").select(
+            "member", "home", F.pmod(F.xxhash64("member"), own).alias(own + "_no"), every.alias(other + "_no"),
+            "blocks", F.lit(head).alias("head"))
+        return out.select("member", "home", (F.col("parts_no") * F.col("blocks") + F.col("blocks_no")).alias("part"), "head")
+
+    grid = cuts(held, "parts").join(cuts(targets, "blocks"), "home")
+    groups = dealt(targets, "blocks", "parts", True).unionAll(dealt(held, "parts", "blocks", False))
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, hashes, bounds, _ in _loaded_groups(source, width):
-            one = hashes[bounds[0]:bounds[1]]
-            found = [k for k in range(1, len(keys))
-                     if common_count(one, hashes[bounds[k]:bounds[k + 1]])
-                     >= limit.needed(len(one) + int(bounds[k + 1] - bounds[k]))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(found), keys[0])), pa.array(keys[found])], ["a", "b"])
+        for keys, hashes, bounds, bits, sent in _loaded_groups(source, width):
+            size = np.diff(bounds)
+            asks, has = np.flatnonzero(sent), np.flatnonzero(~sent)
+            linked = np.full(len(keys), -1)
+            one, two = SignatureTree(size[asks], bits[asks]), SignatureTree(size[has], bits[has])
+            for i, j in similar_pairs(one, two, limit, lambda i, j: linked[asks[i]] >= 0):
+                for a, b in zip(asks[i].tolist(), has[j].tolist()):
+                    if linked[a] < 0 and common_count(
+                            hashes[bounds[a]:bounds[a + 1]], hashes[bounds[b]:bounds[b + 1]],
+                    ) >= limit.needed(int(size[a] + size[b])):
+                        linked[a] = b
+            found = np.flatnonzero(linked >= 0)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[linked[found]]), pa.array(keys[found])], ["a", "b"])
 
-    return _dealt(members.unionAll(heads), texts).mapInArrow(run, "a long, b long")
+    return _dealt(groups, texts).mapInArrow(run, "a long, b long")
 
 
 def jaccard_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
@@ -503,15 +550,16 @@ def jaccard_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     groups = keep(home_groups(shared, classes, limit), "groups")
     texts = class_texts(body, groups.select("member"), width)
     links = keep(group_links(groups, texts, width, limit), "links")
-    roots = components(links)
+    labels = keep(connected(links), "labels")
 
     rows = shared.where(F.col("kind") == _ROW).select("x", "y").distinct()
-    pairs = keep(open_pairs(rows, roots, classes, limit), "pairs")
-    if not pairs.isEmpty():
-        both = pairs.select(F.col("a").alias("m")).unionAll(pairs.select("b"))
-        more = keep(pair_links(pairs, class_texts(body, both, width), width, limit), "more-links")
-        if not more.isEmpty():
-            roots = components(links.unionAll(more))
+    targets = keep(open_targets(rows, labels, classes, limit), "targets")
+    if not targets.isEmpty():
+        held = labels.join(targets.select(F.col("home").alias("root")).distinct(), "root", "left_semi")
+        wanted = targets.select("member").unionAll(targets.select("home")).unionAll(held.select("id"))
+        more = target_links(targets, labels, classes, class_texts(body, wanted, width), width, limit)
+        links = links.unionAll(keep(more, "more-links"))
+    roots = components(links)
 
     named = classes.join(roots, classes["set_key"] == roots["id"], "left").select(
         "set_key", "least", F.coalesce("root", "set_key").alias("root"))
