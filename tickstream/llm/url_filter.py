@@ -2,9 +2,9 @@
 
 Paths are generalised in three steps. Digits become ``{n}``, so pages that differ in
 numbers share one path. The paths of a host form a tree; a branch among very many sparse
-ones is variable and becomes ``*``. Branches whose labelled pages are as good as those of
-their siblings, by a two-sided test, are merged into ``*`` too. What is left are
-templates. A template is blocked when its share of good labelled pages, smoothed towards
+ones is variable and becomes ``*``. Siblings are ordered by their labelled share of good
+pages and cut where two neighbours differ by a two-sided test; what stays together is similar and is
+merged into one ``*``, numbered where a node has several. What is left are templates. A template is blocked when its share of good labelled pages, smoothed towards
 its host's and all hosts' shares, is too low.
 
 Everything is DataFrame work. Pages are aggregated to generalised paths at once, so the
@@ -15,14 +15,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickstream.llm.frames import keep
 
 # A node with this many branches turns those with less than 1/MANY of its pages into "*".
 MANY = 16
-# Labelled shares that differ by fewer standard errors than this are similar.
+# Neighbouring labelled shares that differ by fewer standard errors than this are similar.
 SIMILAR = 1.96
 # Weight, in labelled pages, of the host's share in a template's and of all pages' in a host's.
 SMOOTHING = 8.0
@@ -104,22 +104,30 @@ def template_verdicts(paths: DataFrame) -> DataFrame:
     edge = ["host", "depth", "parent"]
     branches = steps.groupBy(*edge, "segment").agg(
         F.sum("n").alias("n"), F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    nodes = branches.groupBy(*edge).agg(
-        F.count("*").alias("branches"), F.sum("n").alias("all_n"),
-        F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"))
-    judged = branches.join(nodes, edge)
-    labelled = F.col("good") + F.col("bad")
-    rest = F.col("all_good") + F.col("all_bad") - labelled
-    share = (F.col("good") + 1.0) / (labelled + 2.0)
-    others = (F.col("all_good") - F.col("good") + 1.0) / (rest + 2.0)
-    error = F.sqrt(share * (1 - share) / (labelled + 2.0) + others * (1 - others) / (rest + 2.0))
+    nodes = branches.groupBy(*edge).agg(F.count("*").alias("branches"), F.sum("n").alias("all_n"))
     variable = (F.col("branches") >= MANY) & (F.col("n") * MANY < F.col("all_n"))
-    similar = (F.col("branches") > 1) & (F.abs(share - others) < SIMILAR * error)
-    merged = judged.select(*edge, "segment", (variable | similar).alias("star"))
+    starred = branches.join(nodes, edge).withColumn(
+        "kind", F.when(variable, F.lit("*")).otherwise(F.col("segment")))
+    # At most MANY kinds are left under a node, which bounds the windows.
+    labelled = F.col("good") + F.col("bad")
+    kinds = starred.groupBy(*edge, "kind").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).withColumn(
+        "share", (F.col("good") + 1.0) / (labelled + 2.0)).withColumn(
+        "spread", F.col("share") * (1 - F.col("share")) / (labelled + 2.0))
+    by_share = Window.partitionBy(*edge).orderBy("share", "kind")
+    gap = F.col("share") - F.lag("share").over(by_share)
+    apart = gap >= SIMILAR * F.sqrt(F.col("spread") + F.lag("spread").over(by_share))
+    kinds = kinds.withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int")).withColumn(
+        "cluster", F.sum("apart").over(by_share.rowsBetween(Window.unboundedPreceding, 0)))
+    together = F.count("*").over(Window.partitionBy(*edge, "cluster"))
+    number = F.when(F.col("cluster") > 0, F.col("cluster").cast("string")).otherwise(F.lit(""))
+    kinds = kinds.withColumn("name", F.when(
+        (together > 1) | (F.col("kind") == "*"), F.concat(F.lit("*"), number)).otherwise(F.col("kind")))
+    merged = starred.select(*edge, "segment", "kind").join(
+        kinds.select(*edge, "kind", "name"), [*edge, "kind"]).select(*edge, "segment", "name")
     named = steps.join(merged, [*edge, "segment"]).groupBy("host", "gpath").agg(
         F.first("good").alias("good"), F.first("bad").alias("bad"),
         F.sort_array(F.collect_list(F.struct(
-            "depth", F.when(F.col("star"), F.lit("*")).otherwise(F.col("segment")).alias("name")))).alias("names"))
+            "depth", "name"))).alias("names"))
     named = named.select("host", "gpath", "good", "bad", F.array_join("names.name", "/").alias("template"))
 
     overall = paths.agg(((F.sum("good") + 1.0) / (F.sum("good") + F.sum("bad") + 2.0)).alias("all_share"))
@@ -201,21 +209,34 @@ steps AS (
   SELECT host, depth, parent, segment, sum(n) AS n, sum(good) AS good, sum(bad) AS bad
   FROM steps GROUP BY ALL
 ), nodes AS (
-  SELECT host, depth, parent, count(*) AS branches, sum(n) AS all_n, sum(good) AS all_good, sum(bad) AS all_bad
-  FROM branches GROUP BY ALL
+  SELECT host, depth, parent, count(*) AS branches, sum(n) AS all_n FROM branches GROUP BY ALL
+), starred AS (
+  SELECT b.*, CASE WHEN branches >= 16 AND n * 16 < all_n THEN '*' ELSE segment END AS kind
+  FROM branches b JOIN nodes USING (host, depth, parent)
 ), shares AS (
-  SELECT b.*, n.branches, n.all_n, good + bad AS l, all_good + all_bad - good - bad AS r,
-    (good + 1.0::DOUBLE) / (good + bad + 2.0::DOUBLE) AS share,
-    (all_good - good + 1.0::DOUBLE) / (all_good + all_bad - good - bad + 2.0::DOUBLE) AS others
-  FROM branches b JOIN nodes n USING (host, depth, parent)
+  SELECT host, depth, parent, kind,
+    (sum(good) + 1.0::DOUBLE) / (sum(good) + sum(bad) + 2.0::DOUBLE) AS share,
+    sum(good) + sum(bad) + 2.0::DOUBLE AS l
+  FROM starred GROUP BY host, depth, parent, kind
+), spreads AS (SELECT *, share * (1 - share) / l AS spread FROM shares),
+gaps AS (
+  SELECT *, CASE WHEN share - lag(share) OVER w >= 1.96::DOUBLE * sqrt(spread + lag(spread) OVER w)
+                 THEN 1 ELSE 0 END AS apart
+  FROM spreads WINDOW w AS (PARTITION BY host, depth, parent ORDER BY share, kind)
+), clusters AS (
+  SELECT *, sum(apart) OVER (PARTITION BY host, depth, parent ORDER BY share, kind
+                             ROWS UNBOUNDED PRECEDING)::BIGINT AS cluster FROM gaps
+), kinds AS (
+  SELECT host, depth, parent, kind, CASE
+    WHEN count(*) OVER (PARTITION BY host, depth, parent, cluster) > 1 OR kind = '*'
+      THEN '*' || CASE WHEN cluster > 0 THEN cluster::VARCHAR ELSE '' END
+    ELSE kind END AS name
+  FROM clusters
 ), merged AS (
-  SELECT host, depth, parent, segment,
-    (branches >= 16 AND n * 16 < all_n) OR (branches > 1 AND abs(share - others) <
-      1.96::DOUBLE * sqrt(share * (1 - share) / (l + 2.0::DOUBLE) + others * (1 - others) / (r + 2.0::DOUBLE))) AS star
-  FROM shares
+  SELECT host, depth, parent, segment, name FROM starred JOIN kinds USING (host, depth, parent, kind)
 ), named AS (
   SELECT host, gpath, first(good) AS good, first(bad) AS bad,
-    string_agg(CASE WHEN star THEN '*' ELSE segment END, '/' ORDER BY depth) AS template
+    string_agg(name, '/' ORDER BY depth) AS template
   FROM steps JOIN merged USING (host, depth, parent, segment) GROUP BY host, gpath
 ), overall AS (SELECT (sum(good) + 1.0::DOUBLE) / (sum(good) + sum(bad) + 2.0::DOUBLE) AS a FROM paths),
 hosts AS (
