@@ -40,6 +40,8 @@ def _documents(spark):
     rows, labels = [], []
     for k in range(1500):
         words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(40, 120))]
+        if rng.random() < 0.2:  # ordinary texts have a symbol now and then
+            words[3] += "#" * rng.randint(1, 3)
         bad = k % 5 == 0
         if bad:
             words = [w + rng.choice(["###", "&&&", "%%%"]) for w in words]

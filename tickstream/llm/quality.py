@@ -142,8 +142,11 @@ def features(stats: np.ndarray) -> np.ndarray:
     """Ratios that describe a document whatever its length, and the length itself."""
     s = {name: stats[:, k].astype(float) for k, name in enumerate(STATS)}
     n, chars = np.maximum(s["n_words"], 1), np.maximum(s["word_chars"], 1)
+    lines = np.maximum(s["n_lines"], 1)
+    # A trait that shows in several ratios is met by more of the random splits.
     return np.stack([
-        s["word_chars"] / n, s["n_symbols"] / n, s["n_dup_lines"] / np.maximum(s["n_lines"], 1),
+        s["n_symbols"] / chars, np.log1p(s["n_symbols"]), s["n_symbols"] / lines, s["n_punct"] / chars,
+        s["word_chars"] / n, s["n_symbols"] / n, s["n_dup_lines"] / lines,
         s["n_repeat_words"] / n, s["n_upper"] / chars, s["n_digits"] / chars, s["n_punct"] / n,
         s["n_lines"] / n, np.log(n) - np.log(np.maximum(s["n_distinct_words"], 1)), np.log(n),
     ], axis=1)
@@ -206,10 +209,19 @@ def fit_forest(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: i
     return Forest(feature, value, length, rows)
 
 
-def fit(stats: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Forest:
-    """A forest from the stored statistics of at most ``sample_docs`` rows, taken by a hash."""
-    picked = stats.select(*STATS).orderBy(
-        F.xxhash64(*STATS, F.lit(3))).limit(sample_docs).collect()
+def fit(stats: DataFrame, labels: DataFrame | None = None, sample_docs: int = SAMPLE_DOCS,
+        doc_id: str = "doc_id", quality: str = "quality") -> Forest:
+    """A forest from the stored statistics of at most ``sample_docs`` rows, taken by a hash.
+
+    Rows that fail the base rules or are labelled bad are left out, so that what the forest
+    has seen is ordinary and the rest stands out.
+    """
+    usable = stats.where(~base_failed())
+    if labels is not None:
+        bad = labels.where(F.col(quality) <= 0).select(F.col(doc_id).alias("__id"))
+        usable = usable.join(bad, F.col(doc_id) == F.col("__id"), "left_anti")
+    picked = usable.select(*STATS).orderBy(
+        F.xxhash64(*STATS, F.lit(3)), *STATS).limit(sample_docs).collect()
     rows = np.array([tuple(r) for r in sorted(picked)], np.int64).reshape(-1, len(STATS))
     return fit_forest(features(rows))
 
@@ -287,7 +299,7 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts have no words, fail the base rules and are not kept.
     """
     stats = keep(with_stats(docs.select("doc_id", "text")), "rule-stats")
-    scored = score(stats, fit(stats))
+    scored = score(stats, fit(stats, labels))
     judged = judge(scored, thresholds(scored, labels))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
