@@ -103,6 +103,12 @@ def test_clashing_columns_and_empty_tables(spark):
     assert suffix_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_cut_characters_become_replacement_characters(spark, make_docs):
+    passage = "".join(chr(97 + k * k % 23) for k in range(450))
+    out = suffix_dedup.cut_repeats(make_docs(["x é" + passage + "é y", "z è" + passage + "è w"]))
+    assert {r["text"] for r in out.collect()} == {"x é\ufffd y", "z è\ufffd w"}
+
+
 def test_stage_drops_emptied_documents(spark, make_docs):
     base = "".join(chr(97 + k * k % 26) for k in range(500)) + "é" * 10
     out = suffix_dedup.cut_repeats(make_docs([base, base, "tail " + base, "clean text", None, ""]))

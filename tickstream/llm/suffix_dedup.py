@@ -34,7 +34,7 @@ LENGTH = 400
 # enough that a window has many places to choose from.
 GRAM = 128
 # A shard holds at most about this much text; an anchor with more is cut over several shards.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 _PLACE = np.uint64((1 << 23) - 1)
 
 
@@ -98,11 +98,15 @@ def _cut_rows(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tu
                    np.array([a]), np.array([begin]))
 
 
-SEGMENT = "h long, s1 long, s2 long, t1 long, t2 long, start long, windows int"
+SEGMENT = "h long, s1 long, s2 long, t1 long, t2 long, start long, more binary, windows int"
 
 
 def segments(docs: DataFrame, length: int, text: str = "text") -> DataFrame:
-    """All segments of all texts; ``t1`` and ``t2`` name the text."""
+    """All segments of all texts; ``t1`` and ``t2`` name the text.
+
+    A text that repeats a segment has one row for it, with its first start and, in
+    ``more``, the others as 64-bit numbers (null: none).
+    """
     names = [field.split()[0] for field in SEGMENT.split(", ")]
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,25 +115,46 @@ def segments(docs: DataFrame, length: int, text: str = "text") -> DataFrame:
             data, offsets = text_bytes(batch.column(2))
             for part, bounds, rows, begin in _cut_rows(data, offsets, length):
                 h, s1, s2, row, start, count = anchored(part, bounds, length)
+                start = start + begin[row]
+                first, more = _repeated_rows(mix(s1.view(np.uint64) ^ mix(row.view(np.uint64))), start)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (h.view(np.int64), s1, s2, t1[rows[row]], t2[rows[row]],
-                                           start + begin[row], count.astype(np.int32))], names)
+                    [*[pa.array(x[first]) for x in (h.view(np.int64), s1, s2, t1[rows[row]], t2[rows[row]], start)],
+                     pa.array(more, pa.binary()), pa.array(count[first].astype(np.int32))], names)
 
     return docs.select(*text_key(text), as_bytes(text).alias("body")).mapInArrow(run, SEGMENT)
 
 
+def _repeated_rows(key: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, list[bytes | None]]:
+    """The first place of each key, and the starts at its other places."""
+    order = np.argsort(key, kind="stable")
+    if not len(order):
+        return order, []
+    cuts = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+    counts = np.diff(np.append(cuts, len(order)))
+    more: list[bytes | None] = [None] * len(cuts)
+    for k in np.flatnonzero(counts > 1):
+        more[k] = start[order[cuts[k] + 1:cuts[k] + counts[k]]].tobytes()
+    return order[cuts], more
+
+
 def repeated_windows(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
-    """Runs of window starts (t1, t2, start, windows) whose string begins at least twice."""
+    """Runs of windows whose string begins at least twice: (t1, t2, start, more, at, windows).
+
+    A run begins ``at`` behind each of the segment's starts and has so many windows.
+    """
     spark = session_of(docs)
     found = keep(segments(docs, length, text), "segments")
+    starts = F.coalesce(F.octet_length("more") / 8, F.lit(0)).cast("long") + 1
     anchors = found.groupBy("h").agg(
-        F.count("*").alias("occurs"), F.min("s1").alias("lo"), F.max("s1").alias("hi"))
+        F.sum(starts).alias("occurs"), F.min("s1").alias("lo"), F.max("s1").alias("hi"))
     anchors = keep(anchors.where("occurs > 1").select("h", (F.col("lo") != F.col("hi")).alias("mixed")),
                    "anchors")
-    live = filter_by_bitmap(found, "h", key_bitmap(anchors.select("h"))).join(anchors, "h")
-    # Equal rows are texts that occur several times; one row with their number is enough.
-    live = keep(live.groupBy("h", "s1", "s2", "t1", "t2", "start", "windows", "mixed").agg(
-        F.count("*").alias("copies")), "live-segments")
+    # Equal rows are texts that occur several times; one row with their number is enough,
+    # and they are counted before anything is moved by anchor.
+    live = filter_by_bitmap(found, "h", key_bitmap(anchors.select("h"))).groupBy(
+        "h", "s1", "s2", "t1", "t2", "start", "more", "windows").agg(
+        (F.count("*") * F.first(starts)).alias("copies"))
+    live = keep(live.join(anchors, "h"), "live-segments")
 
     kinds = live.groupBy("h", "s1", "s2", "mixed", "windows").agg(
         F.sum("copies").alias("copies"), F.min(F.struct("t1", "t2", "start")).alias("one"))
@@ -139,7 +164,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, text: str = "text")
     whole = kinds.where("whole").select("s1", "s2", F.lit(0).alias("at"), F.col("windows").alias("marked"))
     marks = whole.unionAll(marks)
     return live.join(marks, ["s1", "s2"]).select(
-        "t1", "t2", (F.col("start") + F.col("at")).alias("start"), F.col("marked").alias("windows"))
+        "t1", "t2", "start", "more", "at", F.col("marked").alias("windows"))
 
 
 def _shard_marks(docs: DataFrame, kinds: DataFrame, length: int, text: str) -> DataFrame:
@@ -304,7 +329,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text",
     """
     session_of(docs)
     marks = repeated_windows(docs, length, text).groupBy("t1", "t2").agg(
-        F.collect_list(F.struct("start", "windows")).alias("marks"))
+        F.collect_list(F.struct("start", "more", "at", "windows")).alias("marks"))
     marks = marks.select(F.col("t1").alias("__m1"), F.col("t2").alias("__m2"), F.col("marks").alias("__marks"))
     base = docs.drop(*[c for c in (kept, removed) if c != text])
     one, two = text_key(text)
@@ -341,8 +366,12 @@ def _covered(marks: pa.Scalar, length: int) -> list[tuple[int, int]]:
     if not marks.is_valid:
         return []
     flat = marks.values
-    start = flat.field(0).to_numpy()
-    stop = start + flat.field(1).to_numpy() + length - 1
+    at, windows = flat.field(2).to_numpy(), flat.field(3).to_numpy()
+    start = flat.field(0).to_numpy() + at
+    for k in np.flatnonzero(flat.field(1).is_valid().to_numpy(zero_copy_only=False)):
+        more = np.frombuffer(flat.field(1)[int(k)].as_py(), np.int64) + at[k]
+        start, windows = np.concatenate([start, more]), np.concatenate([windows, np.full(len(more), windows[k])])
+    stop = start + windows + length - 1
     order = np.argsort(start)
     start, stop = start[order], np.maximum.accumulate(stop[order])
     new = np.ones(len(start), bool)
@@ -368,7 +397,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     columns = docs.columns
     cut = remove_repeats(docs, length, kept="__kept", removed="__removed")
-    text = F.when(F.size("__removed") > 0, F.expr("decode(__kept, 'UTF-8')")).otherwise(F.col("text"))
+    text = F.when(F.size("__removed") > 0, F.make_valid_utf8(F.col("__kept").cast("string"))).otherwise(F.col("text"))
     out = cut.where((F.octet_length("__kept") > 0) | (F.size("__removed") == 0)).withColumn("text", text)
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.when(F.size("__removed") > 0, F.length("text").cast("long"))
