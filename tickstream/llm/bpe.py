@@ -60,17 +60,19 @@ def encode_text(text: str, encoding: tiktoken.Encoding, limit: int = PIECE_CHARS
 
 
 def encode(docs: DataFrame, text: str = "text", path: str | None = None,
-           pattern: str = public_tokenizers.PATTERN, ids: str = "token_ids") -> DataFrame:
+           pattern: str = public_tokenizers.PATTERN, ids: str = "token_ids",
+           decoded: str | None = None) -> DataFrame:
     """The frame with the texts' token ids as an array column (replaced where it exists).
 
-    Null and empty texts have no ids. The rank file must lie at ``path`` on all
+    With ``decoded`` the ids are decoded at once, into a binary column of that name; a
+    ``decode`` behind ``encode`` does the same with a second Python worker per task. Null and empty texts have no ids. The rank file must lie at ``path`` on all
     machines. Bytes that are not UTF-8 are read as replacement characters.
     """
     path = path or public_tokenizers.path(RANKS)
     session_of(docs)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, _ = load(path, pattern)
+        encoding, names = load(path, pattern)
         for batch in source:
             raw = batch.column(batch.num_columns - 1)
             # The ids of a batch may outgrow its texts, so few rows are held at a time.
@@ -81,15 +83,21 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None,
                 lengths = np.cumsum([0] + [len(r) for r in rows])
                 flat = np.fromiter((i for r in rows for i in r), np.int32, int(lengths[-1]))
                 column = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))
+                back = [pa.array([decode_ids(r, names) for r in rows], pa.binary())] if decoded else []
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], column], [*part.schema.names[:-1], ids])
+                    [*part.columns[:-1], column, *back], [*part.schema.names[:-1], *added])
 
-    kept = docs.drop(ids)
-    body = kept.withColumn("__bytes", as_bytes(text))
-    schema = extended(kept, {ids: "array<int>"})
+    added = {ids: "array<int>"} | ({decoded: "binary"} if decoded else {})
+    kept = docs.drop(*added)
+    body = docs.select(*kept.columns, as_bytes(text).alias("__bytes"))
+    schema = extended(kept, added)
     return body.mapInArrow(run, schema)
 
 
+def decode_ids(ids: list[int], names: list[bytes]) -> bytes:
+    return b"".join(map(names.__getitem__, ids))
+
+
 def _row_groups(raw: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     start = held = 0
     for row, value in enumerate(raw):
@@ -114,7 +122,7 @@ def decode(tokens: DataFrame, ids: str = "token_ids", path: str | None = None,
         _, names = load(path, pattern)
         for batch in source:
             rows = batch.column(batch.num_columns - 1)
-            out = [b"".join(map(names.__getitem__, row.as_py() or ())) for row in rows]
+            out = [decode_ids(row.as_py() or [], names) for row in rows]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(out, pa.binary())],
                 [*batch.schema.names[:-1], decoded])
@@ -126,7 +134,7 @@ def decode(tokens: DataFrame, ids: str = "token_ids", path: str | None = None,
 
 def token_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the decoded bytes, from a real round trip."""
-    tokens = decode(encode(docs.select("doc_id", "text")).drop("text"))
+    tokens = encode(docs.select("doc_id", "text"), decoded="decoded")
     return tokens.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
@@ -137,6 +145,6 @@ def token_report(docs: DataFrame) -> DataFrame:
 
 def encode_stage(docs: DataFrame) -> DataFrame:
     """Pipeline stage: the documents with their ids, and whether decoding gives the text back."""
-    tokens = decode(encode(docs))
+    tokens = encode(docs, decoded="decoded")
     return tokens.withColumn("n_tokens", F.size("token_ids").cast("long")).withColumn(
         "round_trip", F.col("decoded") == as_bytes("text")).drop("decoded")

@@ -17,7 +17,7 @@ def session_of(df: DataFrame) -> SparkSession:
     """The frame's session, with this package on the workers and short Arrow batches."""
     spark = df.sparkSession
     prepare(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     ship_package(spark)
     return spark
 
@@ -92,7 +92,8 @@ def _bits_row(packed: np.ndarray) -> pa.RecordBatch:
 
 
 def _cell(values: np.ndarray, bits: int) -> np.ndarray:
-    return (np.asarray(values).astype(np.int64).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+    values = np.ascontiguousarray(values)
+    return (values.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def in_bitmap(packed: np.ndarray, values: np.ndarray, bits: int = BITMAP_BITS) -> np.ndarray:

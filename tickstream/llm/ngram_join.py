@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickstream.llm.frames import (
-    as_bytes, components, consecutive, extended, filter_by_bitmap, keep, key_bitmap, session_of,
+    as_bytes, components, consecutive, extended, in_bitmap, keep, key_bitmap, session_of,
 )
 from tickstream.llm.signature_tree import (
     SHORT_BITS, Groups, SignatureTree, Threshold, bitmaps, common_count, parities, similar_pairs, spanning_links,
@@ -43,11 +43,11 @@ from tickstream.llm.textbatch import (
 ORDER_BITS = 20
 _CHUNKS = 64
 # Bucket rows handled by one step, and above which estimated frequency a key is spread.
-PART_ROWS = 400_000
+PART_ROWS = 200_000
 HOT_KEY_ROWS = 50_000
 # A group's part holds at most about this many classes and shingles.
 GROUP_CLASSES = 1_000
-GROUP_SHINGLES = 1_500_000
+GROUP_SHINGLES = 1_000_000
 BLOCK_CLASSES = 4_096
 
 
@@ -324,7 +324,9 @@ def possible_pairs(pairs: DataFrame, one: str, two: str, classes: DataFrame, lim
 
 def class_texts(docs: DataFrame, wanted: DataFrame, width: int, text: str = "text") -> DataFrame:
     """One text (set_key, body) for each wanted class, and perhaps for some others."""
-    bits = key_bitmap(wanted)
+    # Texts that are surely not wanted are left out where their sets are built, since a
+    # second Python step in one stage would need a second worker per task.
+    sent = docs.sparkSession.sparkContext.broadcast(key_bitmap(wanted))
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
@@ -332,13 +334,13 @@ def class_texts(docs: DataFrame, wanted: DataFrame, width: int, text: str = "tex
             for a, b, hashes, owner in _sets(batch.column(0), width):
                 _, keys[a:b] = set_hash(hashes, owner, b - a)
             first = np.sort(np.unique(keys, return_index=True)[1])
-            first = first[keys[first] != 0]
+            first = first[(keys[first] != 0) & in_bitmap(sent.value, keys[first])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys[first].view(np.int64)), batch.column(0).take(pa.array(first))],
                 ["set_key", "body"])
 
     keyed = docs.select(as_bytes(text).alias("b")).mapInArrow(run, "set_key long, body binary")
-    return filter_by_bitmap(keyed, "set_key", bits).groupBy("set_key").agg(F.first("body").alias("body"))
+    return keyed.groupBy("set_key").agg(F.first("body").alias("body"))
 
 
 def group_links(groups: DataFrame, texts: DataFrame, width: int, limit: Threshold) -> DataFrame:

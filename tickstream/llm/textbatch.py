@@ -17,7 +17,7 @@ import pyarrow as pa
 U64 = np.uint64
 # Work is cut into pieces of about this many bytes, so memory does not follow the
 # length of texts or batches.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,7 +39,7 @@ def letter_codes(seed: int, fold: bool) -> np.ndarray:
 _BASE = {1: 0xD1342543DE82EF95, 2: 0xAF251AF3B0F025B5}
 
 
-@functools.lru_cache(maxsize=8)
+@functools.lru_cache(maxsize=4)
 def _powers(seed: int, log_size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64."""
     def table(base: int) -> np.ndarray:
@@ -57,7 +57,8 @@ class Rolling:
     """Hashes of any substring of one byte array."""
 
     def __init__(self, data: np.ndarray, seed: int = 1, fold: bool = False):
-        log_size = max(16, int(len(data) + 1).bit_length())
+        # One size of table serves all pieces; only longer single texts need another.
+        log_size = max(20, len(data).bit_length())
         powers, self.inverse = _powers(seed, log_size)
         self.sums = np.zeros(len(data) + 1, U64)
         np.cumsum(letter_codes(seed, fold)[data] * powers[:len(data)], out=self.sums[1:])
