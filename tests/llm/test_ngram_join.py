@@ -86,6 +86,20 @@ def test_components_against_brute_force(spark, make_docs, monkeypatch, seed, wid
     assert len(out) == len(texts)
 
 
+def test_links_in_buckets_of_two_classes(spark, make_docs):
+    # The whole text meets the one without its head and the one without its tail in different
+    # buckets. Different words give all orders of the three sets' hashes.
+    texts = []
+    for k in range(24):
+        words = ["v%dw%d" % (k, n) for n in range(22)]
+        texts += [(10 * k + n, " ".join(w)) for n, w in enumerate((words, words[2:], words[:-2]), 1)]
+    keys = {r["doc_id"]: r["set_key"] for r in ngram_join.document_sets(make_docs(texts), 3).where("chunk IS NULL").collect()}
+    assert len({tuple(sorted((1, 2, 3), key=lambda n: keys[10 * k + n])) for k in range(24)}) == 6
+    out = ngram_join.jaccard_groups(make_docs(texts), 3, 90, 100).collect()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out}
+    assert got == brute.jaccard_components(texts, 3, 90, 100)
+
+
 def test_stage_keeps_one_of_each_group(spark, make_docs):
     body = " ".join("w%d" % (k * k % 97) for k in range(80))
     texts = [(5, body), (3, body.upper()), (3, body.upper()), (8, body + " more"), (9, "another text here"), (2, None), (2, "")]

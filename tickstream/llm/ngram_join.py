@@ -10,8 +10,9 @@
    rule out form groups: a class goes, with its text, to the group it shares most buckets
    with. Big groups are cut into parts that all hold the group's head. In a part a
    signature tree is built and walked against itself; surviving pairs are checked exactly.
-4. Buckets in which classes are still unconnected are walked with signature trees once
-   more, across parts. A class that may link with a class of a larger connected group is sent
+4. Buckets of three classes or more in which classes are still unconnected are walked with
+   signature trees once more, across parts; of buckets of two, the pairs are taken that no
+   group has compared. A class that may link with a class of a larger connected group is sent
    to that group, whose tree it is walked against, and what survives is checked exactly. So
    every link between different sets is found, or its ends are connected already.
 5. Connected classes are named by their smallest document id.
@@ -282,14 +283,19 @@ def _kind(kind: int, x: np.ndarray, y: np.ndarray, n: np.ndarray | None) -> pa.R
          pa.array(np.ones(count, np.int64) if n is None else n.astype(np.int64))], ["kind", "x", "y", "n"])
 
 
-def home_groups(shared: DataFrame, classes: DataFrame, limit: Threshold) -> DataFrame:
-    """Where classes are compared: (member, home, part, head), with the head in each part."""
+def star_pairs(shared: DataFrame, classes: DataFrame, limit: Threshold) -> DataFrame:
+    """(member, home, n, size): a class and the least class of n of its buckets, if they may link."""
     stars = shared.where(F.col("kind") == _STAR).select(F.col("x").alias("member"), F.col("y").alias("home"), "n")
     heads = shared.where(F.col("kind") == _HEAD).select(F.col("x").alias("key"), F.col("y").alias("member"))
     least = heads.groupBy("key").agg(F.min("member").alias("home"))
     across = heads.join(least, "key").where("member != home").select("member", "home", F.lit(1).alias("n"))
     shares = stars.unionAll(across).groupBy("member", "home").agg(F.sum("n").alias("n"))
-    homes = possible_pairs(shares, "member", "home", classes, limit).groupBy("member").agg(
+    return possible_pairs(shares, "member", "home", classes, limit)
+
+
+def home_groups(pairs: DataFrame) -> DataFrame:
+    """Where classes are compared: (member, home, part, head), with the head in each part."""
+    homes = pairs.groupBy("member").agg(
         F.max_by("home", F.struct("n", -F.col("home"))).alias("home"),
         F.first("size").alias("n_shingles"))
     sizes = homes.groupBy("home").agg(
@@ -456,7 +462,26 @@ def open_targets(rows: DataFrame, labels: DataFrame, classes: DataFrame, limit:
             yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["member", "home"])
 
     dealt = sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(run, "member long, home long").distinct()
+    return dealt.mapInArrow(run, "member long, home long")
+
+
+def other_targets(pairs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """(member, home) as of ``open_targets``, from star pairs that no group has compared.
+
+    A class goes to one group only. Where two classes alone share a bucket, no row of the
+    bucket names them, so a pair with another least class would be lost.
+    """
+    def side(name: str, k: int) -> DataFrame:
+        return labels.select(F.col("id").alias(name), F.col("root").alias(f"r{k}"), F.col("members").alias(f"m{k}"))
+
+    compared = groups.where("NOT head").select("member", "home")
+    rest = pairs.select("member", "home").join(compared, ["member", "home"], "left_anti")
+    ends = rest.join(side("member", 1), "member", "left").join(side("home", 2), "home", "left").select(
+        "member", "home", F.coalesce("r1", "member").alias("r1"), F.coalesce("r2", "home").alias("r2"),
+        F.coalesce("m1", F.lit(1)).alias("m1"), F.coalesce("m2", F.lit(1)).alias("m2")).where("r1 != r2")
+    turn = (F.col("m1") > F.col("m2")) | ((F.col("m1") == F.col("m2")) & (F.col("r1") < F.col("r2")))
+    return ends.select(F.when(turn, F.col("home")).otherwise(F.col("member")).alias("member"),
+                       F.when(turn, F.col("r1")).otherwise(F.col("r2")).alias("home"))
 
 
 def _walked_bucket(rows: pa.Table, limit: Threshold) -> np.ndarray:
@@ -549,13 +574,15 @@ def jaccard_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
 
     packed = prefix_buckets(body, width, limit, levels, parts)
     shared = keep(shared_buckets(packed, limit), "buckets")
-    groups = keep(home_groups(shared, classes, limit), "groups")
+    pairs = keep(star_pairs(shared, classes, limit), "pairs")
+    groups = keep(home_groups(pairs), "groups")
     texts = class_texts(body, groups.select("member"), width)
     links = keep(group_links(groups, texts, width, limit), "links")
     labels = keep(connected(links), "labels")
 
     rows = shared.where(F.col("kind") == _ROW).select("x", "y").distinct()
-    targets = keep(open_targets(rows, labels, classes, limit), "targets")
+    targets = open_targets(rows, labels, classes, limit).unionAll(other_targets(pairs, groups, labels))
+    targets = keep(targets.distinct(), "targets")
     if not targets.isEmpty():
         held = labels.join(targets.select(F.col("home").alias("root")).distinct(), "root", "left_semi")
         wanted = targets.select("member").unionAll(targets.select("home")).unionAll(held.select("id"))
