@@ -81,6 +81,22 @@ def test_held_out_accuracy_and_spans(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_rare_toxic_word_beside_many_frequent_ones(spark):
+    # 20,500 ordinary words have seven left neighbours in toxic documents, the toxic one has five.
+    words = ["q%dz" % k for k in range(20_500)]
+    rows = []
+    for k in range(7):
+        order = random.Random(k).sample(words, len(words))
+        rows.append((1, " ".join(order) + (" %s vilest" % order[0] if k < 5 else "")))
+        rows += [(0, " ".join(order))] * 3
+    sample = spark.createDataFrame([(label, text.encode()) for label, text in rows], "toxic int, text binary")
+    lexicon = toxicity._lexicon(sample, {1: 7, 0: 21})
+    vilest = toxicity.tokenize(*text_bytes(pa.array(["vilest"])))
+    assert vilest.word[0] in lexicon
+    ordinary = toxicity.tokenize(*text_bytes(pa.array([" ".join(words)])))
+    assert not np.isin(ordinary.word, lexicon).any()
+
+
 def test_held_out_labels_are_not_learnt(spark):
     docs, labels = _documents(spark, 200)
     flipped = labels.withColumn("toxic", toxicity.F.when(toxicity.fold() == 2, 1 - labels.toxic).otherwise(labels.toxic))

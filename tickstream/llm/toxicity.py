@@ -17,16 +17,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickstream.llm.frames import as_bytes, fold, keep, session_of
+from tickstream.llm.frames import as_bytes, fold, in_bitmap, keep, key_bitmap, session_of
 from tickstream.llm.textbatch import Rolling, mix, pieces, text_bytes, words
 
-# Bounds of the training sample: labelled documents per class, lexicon entries, sentences.
+# Bounds of the training sample: labelled documents per class, sentences.
 MAX_TOXIC_DOCS = 6_000
 MAX_CLEAN_DOCS = 12_000
-MAX_ENTRIES = 20_000
 MAX_SENTENCES = 12_000
 # A sequence of the CRF is a sentence; longer ones are cut.
 MAX_TOKENS = 256
@@ -259,9 +259,9 @@ def _keys(tokens: Tokens) -> list[np.ndarray]:
 
 
 def _lexicon(sample: DataFrame, sizes: dict[int, int]) -> np.ndarray:
-    """Hashes of toxic words and word beginnings, sorted; at most MAX_ENTRIES."""
+    """Hashes of all toxic words and word beginnings of the sample, sorted."""
     def keys_of(source: Iterator[pa.RecordBatch], wanted: int,
-                only: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+                only: Broadcast | None) -> Iterator[pa.RecordBatch]:
         for batch in source:
             batch = batch.filter(pc.equal(batch.column(0), wanted))
             data, offsets = text_bytes(batch.column(1))
@@ -273,7 +273,7 @@ def _lexicon(sample: DataFrame, sizes: dict[int, int]) -> np.ndarray:
                     context = (mix(before ^ np.uint64(9)) >> np.uint64(40)).astype(np.int64)
                     row = tokens.row
                     if only is not None:
-                        hit = np.isin(key, only)
+                        hit = in_bitmap(only.value, key)
                         key, context, row = key[hit], context[hit], row[hit]
                     pair = mix(key ^ mix(row.astype(np.uint64)))
                     _, first = np.unique(pair, return_index=True)
@@ -283,20 +283,18 @@ def _lexicon(sample: DataFrame, sizes: dict[int, int]) -> np.ndarray:
 
     spark = sample.sparkSession
     shape = "key long, context long"
-    toxic = (
+    toxic = keep(
         sample.mapInArrow(lambda s: keys_of(s, 1, None), shape).groupBy("key", "context").count()
         .groupBy("key").agg(F.count("*").alias("contexts"), F.sum("count").alias("docs"))
-        .where((F.col("contexts") >= MIN_TOXIC_DOCS))
-    )
-    found = toxic.orderBy(F.desc("contexts"), "key").limit(MAX_ENTRIES).collect()
-    keys = np.sort(np.array([r["key"] for r in found], np.int64).view(np.uint64))
-    sent = spark.sparkContext.broadcast(keys)
-    clean = sample.mapInArrow(lambda s: keys_of(s, 0, sent.value), shape)
-    clean_docs = {r["key"]: r["n"] for r in clean.groupBy("key").agg(F.count("*").alias("n")).collect()}
+        .where(F.col("contexts") >= MIN_TOXIC_DOCS).select("key", "docs"), "toxic-keys")
+    # A bitmap of all candidates only spares clean keys the shuffle; the join decides.
+    sent = spark.sparkContext.broadcast(key_bitmap(toxic.select("key")))
+    clean = sample.mapInArrow(lambda s: keys_of(s, 0, sent), shape).groupBy("key").agg(F.count("*").alias("n"))
     n_toxic, n_clean = max(1, sizes.get(1, 0)), max(1, sizes.get(0, 0))
-    out = [r["key"] for r in found
-           if (r["docs"] + 0.5) / n_toxic >= MIN_ODDS * (clean_docs.get(r["key"], 0) + 0.5) / n_clean]
-    return np.sort(np.array(out, np.int64).view(np.uint64))
+    odds = F.col("docs") + 0.5, F.coalesce("n", F.lit(0)) + 0.5
+    found = toxic.join(clean, "key", "left").where(
+        odds[0] / n_toxic >= MIN_ODDS * odds[1] / n_clean).select("key").collect()
+    return np.sort(np.array([r["key"] for r in found], np.int64).view(np.uint64))
 
 
 def _sentences(sample: DataFrame, lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
