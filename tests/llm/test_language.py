@@ -55,6 +55,18 @@ def test_scores_are_the_posterior_of_the_counts(spark):
     assert np.isclose(scores[0], 1 / np.exp(total - total[best]).sum(), rtol=1e-4)
 
 
+def test_rare_language_is_learnt_from_a_small_sample(spark):
+    rows = [(k, " ".join(random.Random(k).choices(["abba", "cafe", "hij", "pokl"], k=9)), "aa" if k % 2 else "bb") for k in range(1200)]
+    rows += [(5000 + k, "αβγ δεζ ηθα βγδ", "cc") for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, max_docs=100)
+    assert model.languages == ["aa", "bb", "cc"]
+    assert np.allclose(np.exp(model.prior), [600 / 1204, 600 / 1204, 4 / 1204])
+    assert language.score_texts(["αβγ ηθα".encode()], model)[0] == ["cc"]
+    assert language.shares({"a": 4, "b": 50, "c": 1000}, 100) == {"a": 1.0, "b": 48 / 50, "c": 48 / 1000}
+    assert language.shares({"a": 4, "b": 50}, 100) == {"a": 1.0, "b": 1.0}
+
+
 def test_long_texts_are_read_whole(spark):
     docs = spark.createDataFrame([(1, "abab " * 50, "x"), (2, "cdcd " * 50, "y")], "doc_id long, text string, lang string")
     model = language.fit(docs)

@@ -1,9 +1,10 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 The model is a matrix of log-probabilities (hash cell x language) of fixed height.
-It is fitted on at most ``max_docs`` labelled rows picked by a hash of their id,
-broadcast, and applied to whole texts in numpy: a row's score is the sum of the
-matrix rows its n-grams hash to.
+It is fitted on at most ``max_docs`` labelled rows picked by a hash of their id, equal
+numbers of each language, with priors from all labelled rows. It is broadcast and
+applied to whole texts in numpy: a row's score is the sum of the matrix rows its
+n-grams hash to.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ CELL_BITS = 16
 GRAMS = (1, 2, 3)
 MAX_DOCS = 40_000
 SMOOTHING = 0.5
+# A language's share of the rows is taken in steps of one in this many.
+LOTS = 1 << 40
 UNKNOWN = "und"
 # Characters handled at once. A longer text is cut; grams across a cut are not counted.
 SLICE_CHARS = 1 << 18
@@ -96,21 +99,36 @@ class LanguageModel:
     prior: np.ndarray
 
 
+def shares(sizes: dict[str, int], most: int) -> dict[str, float]:
+    """Which share of each language's rows is taken: all of rare ones, equal numbers of the others."""
+    out, left = {}, most
+    for k, name in enumerate(sorted(sizes, key=lambda n: (sizes[n], n))):
+        part = min(sizes[name], left / (len(sizes) - k))
+        out[name] = part / sizes[name]
+        left -= part
+    return out
+
+
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
         use: Column | None = None, max_docs: int = MAX_DOCS) -> LanguageModel:
     """Learn from rows with a language; ``use`` limits them (default: all).
 
     At most about ``max_docs`` rows are read whole, taken by a hash of the id so that
-    the choice does not depend on order or partitions. Rows with null text carry no
-    grams. Without any labelled row the model knows no language.
+    the choice does not depend on order or partitions. Languages have equal parts of them;
+    what a rare one leaves over goes to the others. Priors count all rows. Rows with null
+    text carry no grams. Without any labelled row the model knows no language.
     """
-    session_of(docs)
+    spark = session_of(docs)
     rows = docs.where(F.col(lang).isNotNull())
     if use is not None:
         rows = rows.where(use)
-    total = rows.count()
-    share = min(1.0, max_docs / total) if total else 0.0
-    picked = rows.where(F.pmod(F.xxhash64(doc_id), F.lit(1 << 20)) < int(share * (1 << 20)))
+    rows = rows.select(F.col(lang).cast("string").alias("__lang"), F.xxhash64(doc_id).alias("__lot"),
+                       as_bytes(text).alias("__text"))
+    sizes = {r["__lang"]: r["n"] for r in rows.groupBy("__lang").agg(F.count("*").alias("n")).collect()}
+    bounds = spark.createDataFrame(
+        [(k, int(v * LOTS)) for k, v in shares(sizes, max_docs).items()], "__name string, __bound long")
+    picked = rows.join(F.broadcast(bounds), F.col("__lang") == F.col("__name")).where(
+        F.pmod("__lot", F.lit(LOTS)) < F.col("__bound"))
     shape = "lang string, docs long, counts binary"
 
     def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +152,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
                 state[1] += np.frombuffer(row["counts"], np.int64)
         yield from _count_rows(seen)
 
-    counts = picked.select(F.col(lang).cast("string"), as_bytes(text)).mapInArrow(count, shape)
+    counts = picked.select("__lang", "__text").mapInArrow(count, shape)
     # Counts of a language meet in two steps, so no task gathers those of all tasks.
     counts = counts.withColumn("part", F.spark_partition_id() % 64)
     counts = counts.repartition("lang", "part").select("lang", "docs", "counts").mapInArrow(add, shape)
@@ -144,7 +162,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     table = np.stack([np.frombuffer(r["counts"], np.int64) for r in found], axis=1).astype(float)
     table += SMOOTHING
     weights = np.log(table / table.sum(axis=0))
-    docs_seen = np.array([r["docs"] for r in found], float)
+    docs_seen = np.array([sizes[r["lang"]] for r in found], float)
     return LanguageModel([r["lang"] for r in found], weights.astype(np.float32),
                          np.log(docs_seen / docs_seen.sum()))
 
