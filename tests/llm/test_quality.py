@@ -65,6 +65,16 @@ def test_report(spark):
     assert np.mean(good) >= 0.99 and np.mean(bad) <= 0.2
 
 
+def test_copies_come_into_the_sample_by_their_share(spark, monkeypatch):
+    monkeypatch.setattr(quality, "fit_forest", lambda x: x)
+    schema = "doc_id long, " + ", ".join(f"{name} long" for name in quality.STATS)
+    for seed in range(4):
+        rows = [(k, 1000 + (seed if k % 3 == 0 else k), 5000, 0, 0, 0, 9, 9, 9, 9, 30, 6000) for k in range(600)]
+        x = quality.fit(spark.createDataFrame(rows, schema), sample_docs=120)
+        _, counts = np.unique(x, axis=0, return_counts=True)
+        assert len(x) == 120 and 20 <= counts.max() <= 60
+
+
 def test_edge_cases(spark):
     docs, labels = _documents(spark)
     assert quality.quality_report(docs.limit(0), labels).count() == 0

@@ -220,8 +220,9 @@ def fit(stats: DataFrame, labels: DataFrame | None = None, sample_docs: int = SA
     if labels is not None:
         bad = labels.where(F.col(quality) <= 0).select(F.col(doc_id).alias("__id"))
         usable = usable.join(bad, F.col(doc_id) == F.col("__id"), "left_anti")
-    picked = usable.select(*STATS).orderBy(
-        F.xxhash64(*STATS, F.lit(3)), *STATS).limit(sample_docs).collect()
+    # By the id too, so that copies of one text come in by their share, not as one block.
+    picked = usable.orderBy(
+        F.xxhash64(doc_id, *STATS, F.lit(3)), *STATS).select(*STATS).limit(sample_docs).collect()
     rows = np.array([tuple(r) for r in sorted(picked)], np.int64).reshape(-1, len(STATS))
     return fit_forest(features(rows))
 
