@@ -75,6 +75,19 @@ def test_copies_come_into_the_sample_by_their_share(spark, monkeypatch):
         assert len(x) == 120 and 20 <= counts.max() <= 60
 
 
+def test_cut_of_a_band_moves_slowly_with_its_rows(spark):
+    def cuts(short: int):
+        rows = [(k, 40 if k < short else 80, 0, 5 if k < short else 6, 0.3 if k < short else 0.6) for k in range(short + 1000)]
+        scored = spark.createDataFrame(rows, "doc_id long, n_words long, n_repeat_words long, band int, anomaly double")
+        found = quality.thresholds(scored, spark.createDataFrame([(r[0], 1, 0) for r in rows], LABELS))
+        return {-1: found[-1], 5: found.get(5, found[-1])}
+
+    few, below, above, many = (cuts(n) for n in (3, 499, 500, 9500))
+    assert abs(below[5] - above[5]) < 0.001
+    assert few[-1] > few[5] > below[5] > above[5] > many[5] > 0.3
+    assert few[-1] - few[5] < 0.01 and many[5] < 0.32
+
+
 def test_edge_cases(spark):
     docs, labels = _documents(spark)
     assert quality.quality_report(docs.limit(0), labels).count() == 0

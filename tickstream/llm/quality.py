@@ -31,7 +31,8 @@ TREES = 128
 TREE_ROWS = 256
 # Share of labelled good documents that calibration may reject, per length band.
 MAX_LOSS = 0.002
-MIN_BAND_ROWS = 500
+# A band's own cut weighs as much as that of all bands together at this many good rows.
+BAND_ROWS = 500
 SCORE_BINS = 2_000
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -253,8 +254,8 @@ def thresholds(scored: DataFrame, labels: DataFrame, max_loss: float = MAX_LOSS,
 
     All labelled rows that pass the base rules count, in fixed bins. Of the cuts that
     reject at most ``max_loss`` of a band's good rows, the lowest one is taken: it
-    rejects most bad rows. Bands with fewer than MIN_BAND_ROWS good rows use the cut of
-    all bands together. Without labels nothing is rejected.
+    rejects most bad rows. It is averaged with the cut of all bands together, which weighs
+    as much as BAND_ROWS good rows. Without labels nothing is rejected.
     """
     marked = labels.where(F.col(quality).isNotNull()).select(
         F.col(doc_id).alias("__id"), (F.col(quality) > 0).alias("__good"))
@@ -272,10 +273,12 @@ def thresholds(scored: DataFrame, labels: DataFrame, max_loss: float = MAX_LOSS,
         allowed = np.flatnonzero(above <= max_loss * counts.sum())
         return float(allowed[0]) / SCORE_BINS if counts.sum() and len(allowed) else 2.0
 
-    out = {-1: cut(good.sum(axis=0))}
+    every = cut(good.sum(axis=0))
+    out = {-1: every}
     for band in range(21):
-        if good[band].sum() >= MIN_BAND_ROWS:
-            out[band] = cut(good[band])
+        rows_seen = good[band].sum()
+        if rows_seen:
+            out[band] = float((rows_seen * cut(good[band]) + BAND_ROWS * every) / (rows_seen + BAND_ROWS))
     return out
 
 
