@@ -424,9 +424,16 @@ def _tickers(spark: SparkSession, d: str) -> DataFrame:
 _LAKES: dict[tuple, Lake] = {}
 
 
+def _input_files(spark: SparkSession, d: str) -> tuple:
+    """Path, size and time of each file of the tables that a lake is built from."""
+    paths = [f"{d}/{table}.parquet" for table in ("documents", "events")]
+    files = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime")
+    return tuple(sorted(tuple(row) for row in files.collect()))
+
+
 def _lake_after_batch(spark: SparkSession, d: str, **options) -> Lake:
-    """A lake after one batch run, shared by the queries of a session on the same tables."""
-    key = (spark.sparkContext.applicationId, d, *sorted(options.items()))
+    """A lake after one batch run, shared by the queries of a session while the tables' files stay."""
+    key = (spark.sparkContext.applicationId, d, _input_files(spark, d), *sorted(options.items()))
     lake = _LAKES.get(key)
     if lake is None or not table_exists(spark, lake.gold("gold_daily_sentiment"), "parquet"):
         lake = Lake(work_path(spark, "lake"))
