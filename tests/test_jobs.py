@@ -25,7 +25,7 @@ from tickstream.plans.reports import (
     search_lake,
 )
 from tickstream.schemas import ENVELOPE, NEWS_PAYLOAD, PRICE_PAYLOAD, VECTORS
-from tickstream.session import shared_dir, shuffle_partitions, work_path
+from tickstream.session import ARROW_BYTES, shared_dir, shuffle_partitions, work_path
 from tickstream.sources.kafka import read_envelope_files
 from tickstream.sources.landing import stream_bars
 from tickstream.sources.tables import (
@@ -293,7 +293,7 @@ def test_shuffle_partitions_grow_with_the_input():
 
 
 def test_arrow_batches_are_bounded_in_every_session(spark):
-    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(8 << 20)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(ARROW_BYTES)
 
 
 CONTRACT = {

@@ -21,7 +21,7 @@ def has_delta() -> bool:
 # does not split larger ones, so the number has to be high enough at the start.
 PARTITION_BYTES = 512 << 20
 # Arrow batches end at this size, so that rows with long texts do not fill a worker.
-ARROW_BYTES = 8 << 20
+ARROW_BYTES = 4 << 20
 
 
 def shuffle_partitions(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> int:
