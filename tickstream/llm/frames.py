@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,10 +15,8 @@ from tickstream.session import prepare, ship_package, work_path
 
 
 def session_of(df: DataFrame) -> SparkSession:
-    """The frame's session, with this package on the workers and short Arrow batches."""
-    spark = df.sparkSession
-    prepare(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    """The frame's session, set up as all sessions are, with this package on the workers."""
+    spark = prepare(df.sparkSession)
     ship_package(spark)
     return spark
 
@@ -26,11 +25,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_KEPT: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def keep(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back; survives lost executors."""
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _KEPT[out] = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a table that ``keep`` returned, when all that reads it has been written."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(_KEPT.pop(df))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def extended(df: DataFrame, columns: dict[str, str]) -> T.StructType:
@@ -39,6 +50,14 @@ def extended(df: DataFrame, columns: dict[str, str]) -> T.StructType:
     return T.StructType([*df.schema.fields, *more])
 
 
+def own_prefix(df: DataFrame) -> str:
+    """A prefix that none of the frame's columns has, whatever they are called."""
+    prefix = "__"
+    while any(name.lower().startswith(prefix) for name in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def text_key(text: str = "text") -> list[Column]:
     """128 bits that tell texts apart, as two longs; null counts as empty."""
     body = F.coalesce(F.col(text), F.lit("").cast("binary"))
