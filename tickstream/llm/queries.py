@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tickstream.llm import (
-    bpe, chat, embed_dedup, language, line_dedup, mixing, ngram_join, quality, suffix_dedup, toxicity,
-    url_filter, vector_codes,
+    bpe, chat, embed_dedup, language, line_dedup, merkle, mixing, ngram_join, quality, suffix_dedup,
+    toxicity, url_filter, vector_codes,
 )
 from tickstream.llm.frames import session_of, table
 
@@ -58,6 +58,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.code_report(table(spark, sf_dir, "embeddings"))
 
@@ -65,7 +69,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_url_filter, op3_bpe, op4_mixing, op5_chat, op6_ngram_join, op7_quality,
     op8_embedding_dedup, op9_toxicity, op10_language, op11_line_dedup,
-    op13_vector_codes)} | {"pipeline": corpus_pipeline.run}
+    op12_merkle, op13_vector_codes)} | {"pipeline": corpus_pipeline.run}
 
 ORACLE = {
     "op2_url_filter": url_filter.URL_SQL,
@@ -73,6 +77,7 @@ ORACLE = {
     "op5_chat": chat.CHAT_SQL,
     "op6_ngram_join": ngram_join.JACCARD_SQL,
     "op11_line_dedup": line_dedup.LINE_SQL,
+    "op12_merkle": merkle.MERKLE_SQL,
     "op13_vector_codes": vector_codes.CODE_SQL,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
