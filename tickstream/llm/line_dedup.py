@@ -65,7 +65,8 @@ def dropped_positions(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int
                       text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(r1, r2, gone): the ascending positions of the lines that rows of this id and text lose."""
     session_of(docs)
-    lines = long_lines(docs, min_chars, text, doc_id)
+    # Read twice: 44 bytes a line are stored, where texts would be split and keyed again.
+    lines = keep(long_lines(docs, min_chars, text, doc_id), "lines")
     common = keep(common_keys(lines, min_docs), "common-lines")
     shared = filter_by_bitmap(lines, "h1", key_bitmap(common.select("h1"))).join(common, ["h1", "h2"])
     # A row has no more positions than lines.
