@@ -17,7 +17,7 @@ import pyarrow as pa
 U64 = np.uint64
 # Work is cut into pieces of about this many bytes, so memory does not follow the
 # length of texts or batches.
-PIECE_BYTES = 1 << 19
+PIECE_BYTES = 1 << 17
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -58,7 +58,7 @@ class Rolling:
 
     def __init__(self, data: np.ndarray, seed: int = 1, fold: bool = False):
         # One size of table serves all pieces; only longer single texts need another.
-        log_size = max(20, len(data).bit_length())
+        log_size = max(18, len(data).bit_length())
         powers, self.inverse = _powers(seed, log_size)
         self.sums = np.zeros(len(data) + 1, U64)
         np.cumsum(letter_codes(seed, fold)[data] * powers[:len(data)], out=self.sums[1:])
