@@ -405,6 +405,18 @@ ORACLE = {
         bars="(SELECT ticker, bar_time_ts, open, high, low, close, volume, price_range "
              "FROM silver_prices)",
     ),
+    "increment_anomalies": sql(
+        f"{PRICES} rolled flags", FLAGS,
+        bars="(SELECT ticker, bar_time_ts, open, high, low, close, volume, price_range "
+             "FROM silver_prices)",
+    ),
+    "late_increment_anomalies": sql(
+        f"{PRICES} rolled flags", FLAGS,
+        bars="(SELECT ticker, bar_time_ts, open, high, low, close, volume, price_range "
+             "FROM silver_prices)",
+    ),
+    "increment_silver_news": sql(NEWS, "SELECT * FROM silver_news"),
+    "increment_sentiment": sql(f"{NEWS} sentiment", "SELECT * FROM sentiment"),
     "run_batch_sentiment": sql(f"{NEWS} sentiment", "SELECT * FROM sentiment"),
     # The lake's tables hold what the bars really were, however often they were polled.
     "batch_daily_bars": sql(

@@ -16,6 +16,7 @@ from tickstream.operators import bars as brs
 from tickstream.operators import embed, gold, search, serving, silver
 from tickstream.operators.envelope import parse_messages
 from tickstream.plans.batch import build_vector_table, run_batch
+from tickstream.plans.increments import apply_news, apply_prices
 from tickstream.plans.ingest import news_messages, price_messages
 from tickstream.plans.reports import search_answers, search_lake, search_news
 from tickstream.schemas import NEWS_PAYLOAD, PRICE_PAYLOAD
@@ -506,3 +507,60 @@ def sql_over_path(spark, d):
         f"""SELECT source_name, count(*) AS n_articles, max(published_at_ts) AS newest
             FROM {sql_path(path, "parquet")} GROUP BY source_name"""
     )
+
+
+# Increments --------------------------------------------------------------
+
+
+def _by_arrival(bronze: DataFrame, parts: int = 3) -> list[DataFrame]:
+    """Bronze rows in order of arrival, cut into stretches of equal time."""
+    bounds = bronze.agg(F.min("kafka_timestamp").alias("a"), F.max("kafka_timestamp").alias("b")).first()
+    step = (bounds["b"] - bounds["a"]) / parts
+    cuts = [bounds["a"] + step * k for k in range(1, parts)]
+    number = sum((F.when(F.col("kafka_timestamp") >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
+    return [bronze.filter(number == k) for k in range(parts)]
+
+
+def _by_key(bronze: DataFrame, *key: str, parts: int = 3) -> list[DataFrame]:
+    """Bronze rows by a hash of their key, so that most rows of later parts come late."""
+    return [bronze.filter(F.pmod(F.xxhash64(*key), F.lit(parts)) == k) for k in range(parts)]
+
+
+def _flags_of_increments(spark: SparkSession, batches: list[DataFrame]) -> DataFrame:
+    lake = Lake(work_path(spark, "lake"))
+    for number, batch in enumerate(batches):
+        apply_prices(spark, lake, batch, number, "parquet")
+    return read_gold(spark, lake, "price_anomaly_flags", "parquet")
+
+
+@query
+def increment_anomalies(spark, d):
+    """Flags after three increments in order of arrival."""
+    return _flags_of_increments(spark, _by_arrival(stored(_bronze_prices(spark, d), "bronze")))
+
+
+@query
+def late_increment_anomalies(spark, d):
+    """Flags after three increments that re-open nearly every day."""
+    return _flags_of_increments(spark, _by_key(stored(_bronze_prices(spark, d), "bronze"), "ticker", "bar_time"))
+
+
+def _lake_of_news_increments(spark: SparkSession, d: str) -> Lake:
+    lake = Lake(work_path(spark, "lake"))
+    for number, batch in enumerate(_by_arrival(stored(_bronze_news(spark, d), "bronze"))):
+        apply_news(spark, lake, batch, number, "parquet")
+    return lake
+
+
+@query
+def increment_silver_news(spark, d):
+    """Silver news after three increments that asked the key index."""
+    news = read_table(spark, _lake_of_news_increments(spark, d).silver("news"), "parquet")
+    return news.drop("seen_date", "increment")
+
+
+@query
+def increment_sentiment(spark, d):
+    """Daily attention added up over three increments."""
+    lake = _lake_of_news_increments(spark, d)
+    return _with_double_proxy(read_gold(spark, lake, "daily_sentiment", "parquet"))

@@ -35,6 +35,10 @@ class Lake:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
+    def state(self, name: str) -> str:
+        """What the incremental run remembers between increments."""
+        return f"{self.root}/state/{name}"
+
     @property
     def vectors(self) -> str:
         return f"{self.root}/vectors/news"
@@ -111,6 +115,42 @@ def write_table(df: DataFrame, path: str, fmt: str | None = None,
     return rows
 
 
+def write_increment(df: DataFrame, path: str, increment: int, fmt: str | None = None,
+                    partition_by: tuple[str, ...] = ()) -> int:
+    """Add an increment's rows to a table, in partitions of their own; returns their number.
+
+    Doing an increment again replaces what it wrote before, so it can be repeated after a
+    failure at any point.
+    """
+    numbered = df.withColumn("increment", F.lit(increment))
+    return counted(numbered, lambda out: _overwrite_parts(out, path, fmt, (*partition_by, "increment")))
+
+
+def replace_parts(df: DataFrame, path: str, partition_by: tuple[str, ...], fmt: str | None = None) -> int:
+    """Replace the partitions that have rows in ``df``; other partitions stay."""
+    return counted(df, lambda out: _overwrite_parts(out, path, fmt, partition_by))
+
+
+def _overwrite_parts(df: DataFrame, path: str, fmt: str | None, partition_by: tuple[str, ...]) -> None:
+    df.write.format(fmt or default_format()).mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a job that wrote the folder came to its end."""
+    return _folder(spark, f"{path}/_SUCCESS").exists()
+
+
+def numbered_folders(spark: SparkSession, path: str) -> list[int]:
+    """The numbers that name finished folders below a path, ascending."""
+    return sorted(int(name) for name in _folder(spark, path).children()
+                  if name.isdigit() and finished(spark, f"{path}/{name}"))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    _folder(spark, path).delete()
+
+
 class _folder:
     """A folder in the file system its path belongs to."""
 
@@ -119,6 +159,14 @@ class _folder:
         self.here = self._path(path)
         self.fs = self.here.getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def exists(self) -> bool:
+        return self.fs.exists(self.here)
+
+    def children(self) -> list[str]:
+        if not self.exists():
+            return []
+        return [status.getPath().getName() for status in self.fs.listStatus(self.here)]
+
     def delete(self) -> None:
         self.fs.delete(self.here, True)
 
