@@ -44,7 +44,7 @@ def _places(k1: np.ndarray, k2: np.ndarray, size: int) -> Iterator[np.ndarray]:
 
 
 def _filled(k1: np.ndarray, k2: np.ndarray, bits_per_key: int) -> bytes:
-    size = max(64, len(k1) * bits_per_key + 7 & ~7)
+    size = max(8, len(k1) * bits_per_key + 7 & ~7)
     flags = np.zeros(size, bool)
     for place in _places(k1, k2, size):
         flags[place] = True
