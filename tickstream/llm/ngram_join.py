@@ -97,9 +97,8 @@ def document_sets(docs: DataFrame, width: int, text: str = "text") -> DataFrame:
                 bounds = row_bounds(owner, b - a)
                 bits[a:b] = bitmaps(hashes, bounds, SHORT_BITS)
                 odd[a:b] = parities(hashes, bounds)
-                counts += np.bincount(
-                    (hashes >> np.uint64(64 - ORDER_BITS)).astype(np.int64),
-                    minlength=1 << ORDER_BITS).astype(np.uint32)
+                cells, times = np.unique(hashes >> np.uint64(64 - ORDER_BITS), return_counts=True)
+                counts[cells] += times.astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(sizes), pa.array(keys.view(np.int64)),
                  _blobs(bits), _blobs(odd), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
