@@ -14,12 +14,12 @@ from tickstream.constants import (
 )
 from tickstream.functions.stats import exceeds, zscore
 from tickstream.functions.times import stamp
-from tickstream.operators.rolling import SPLIT_ROWS, with_rolling
+from tickstream.operators.rolling import BY_SIZE, with_rolling
 from tickstream.schemas import GOLD_ANOMALY_COLUMNS, GOLD_SENTIMENT_COLUMNS
 
 
 def rolling_stats(prices: DataFrame, n: int = ROLLING_BARS,
-                  split_rows: int | None = SPLIT_ROWS, extra: Sequence[str] = ()) -> DataFrame:
+                  split_rows: int | None = BY_SIZE, extra: Sequence[str] = ()) -> DataFrame:
     """Mean and sample deviation of volume and price range over the last ``n`` bars.
 
     ``extra`` names more columns that stay.
@@ -51,7 +51,7 @@ def rolling_stats(prices: DataFrame, n: int = ROLLING_BARS,
 def price_anomaly_flags(prices: DataFrame, n: int = ROLLING_BARS,
                         threshold: float = ANOMALY_THRESHOLD,
                         as_of: Column | None = None,
-                        split_rows: int | None = SPLIT_ROWS, extra: Sequence[str] = ()) -> DataFrame:
+                        split_rows: int | None = BY_SIZE, extra: Sequence[str] = ()) -> DataFrame:
     """Rolling z-scores per ticker; flagged when either is beyond the threshold.
 
     The flag looks at the unrounded scores.

@@ -9,26 +9,26 @@ from pyspark.sql import functions as F
 
 from tickstream.sources.tables import stored
 
-# Rows are cut into spans of about this many.
-SPLIT_ROWS = 250_000
+# Spans as many and as large as the session's shuffle partitions, see ``_ranged``.
+BY_SIZE = 0
 
 
 def with_rolling(df: DataFrame, key: str, ts: str, rows: int,
                  stats: dict[str, Callable[[WindowSpec], Column]],
                  inputs: Sequence[str], ties: Sequence[str] = (),
-                 split_rows: int | None = SPLIT_ROWS) -> DataFrame:
+                 split_rows: int | None = BY_SIZE) -> DataFrame:
     """Add statistics over each row and the ``rows - 1`` rows before it.
 
     ``stats`` maps an output column to a function of the window; ``inputs`` names
     the columns those functions read. ``ts`` must not be NULL.
 
     A window partitioned by ``key`` alone sorts a whole series in one task. The
-    rows are therefore dealt by ranges of (key, time, ties) into spans of about
-    ``split_rows`` rows, whatever a series' length, bursts or NULL key. A span that
-    goes on with a series gets a copy of the ``rows - 1`` rows before it, so the
-    frames are those of the uncut series. The dealt rows are stored once, since all
-    that follows has to see the same ranges; ``df`` is read for that by a count,
-    a sample and the writing job. ``split_rows=None`` uses the plain window instead.
+    rows are therefore dealt by ranges of (key, time, ties) into spans, whatever a
+    series' length, bursts or NULL key. A span that goes on with a series gets a copy of
+    the ``rows - 1`` rows before it, so the frames are those of the uncut series. The
+    dealt rows are stored once, since all that follows has to see the same ranges;
+    ``df`` is read for that by a sample and the writing job. ``split_rows`` asks for spans
+    of about that many rows; ``None`` uses the plain window instead.
     """
     order = [ts, *ties]
     if split_rows is None:
@@ -53,9 +53,18 @@ def _apply(stats: dict[str, Callable[[WindowSpec], Column]], window: WindowSpec,
 
 
 def _ranged(df: DataFrame, order: Sequence[str], split_rows: int) -> DataFrame:
-    """The rows in ranges of about equal row count, numbered in order by ``_span``."""
-    count = max(1, -(-df.count() // split_rows))
-    return df.repartitionByRange(count, *order).withColumn("_span", F.spark_partition_id())
+    """The rows in ranges of about equal row count, numbered in order by ``_span``.
+
+    By default there are as many ranges as shuffle partitions, which ``get_session`` sizes at
+    512 MB each: some 100,000 for tens of terabytes. Adaptive execution merges neighbours
+    where they are small, but leaves each core one. A window streams through its sorted
+    span and spills, so a span's size does not bind memory.
+    """
+    if split_rows == BY_SIZE:
+        dealt = df.repartitionByRange(*order)
+    else:
+        dealt = df.repartitionByRange(max(1, -(-df.count() // split_rows)), *order)
+    return dealt.withColumn("_span", F.spark_partition_id())
 
 
 def _lead_in(spans: DataFrame, key: str, order: Sequence[str], inputs: Sequence[str],
