@@ -10,10 +10,11 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from tickstream.functions.text import normal_ticker
+from tickstream.operators.annuli import build_index
 from tickstream.operators.embed import Embedder, build_vectors, hash_embedder
 from tickstream.operators.gold import daily_sentiment, price_anomaly_flags
 from tickstream.operators.silver import silver_news, silver_prices
-from tickstream.sources.tables import GOLD_TABLES, Lake, observed, read_table, write_table
+from tickstream.sources.tables import GOLD_TABLES, Lake, delete_folder, observed, read_table, write_table
 
 
 def build_silver(spark: SparkSession, lake: Lake, fmt: str | None = None,
@@ -64,9 +65,16 @@ def build_gold(spark: SparkSession, lake: Lake, fmt: str | None = None,
 
 
 def build_vector_table(spark: SparkSession, lake: Lake, fmt: str | None = None,
-                       make_embedder: Callable[[], Embedder] = hash_embedder) -> int:
+                       make_embedder: Callable[[], Embedder] = hash_embedder,
+                       index: bool = False) -> int:
+    """Embed all silver news; with ``index``, searches read only blocks that may hold hits."""
     news = read_table(spark, lake.silver("news"), fmt)
-    return write_table(build_vectors(news, make_embedder), lake.vectors, fmt)
+    # An index of other vectors must not be found beside the new ones.
+    delete_folder(spark, lake.vector_index)
+    rows = write_table(build_vectors(news, make_embedder), lake.vectors, fmt)
+    if index:
+        build_index(read_table(spark, lake.vectors, fmt), path=lake.vector_index)
+    return rows
 
 
 def run_batch(spark: SparkSession, lake: Lake, fmt: str | None = None,

@@ -367,6 +367,7 @@ ORACLE = {
         news="silver_news",
     ),
     "knn_search": KNN_SEARCH,
+    "pruned_search": KNN_SEARCH,
     "knn_citations": sql(
         f"articles bronze_news texts {KNN}", CITATION,
         news="bronze_news", components=STORED_COMPONENTS, questions=LABEL_CENTRES,
@@ -425,6 +426,7 @@ ORACLE = {
     "batch_price_answers": PRICE_ANSWERS,
     "batch_latest_anomalies": sql("bars rolled flags", TOP_FLAGS, bars="bars"),
     "lake_search": NEWS_ANSWERS,
+    "indexed_lake_search": NEWS_ANSWERS,
     "blocked_search": KNN_SEARCH,
     "sql_over_path": sql(
         NEWS,

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType, TimestampType
 from tickstream import fixtures as fx
 from tickstream.constants import SAMPLE_TITLES
 from tickstream.functions.vectors import l2_normalise
+from tickstream.operators import annuli
 from tickstream.operators import articles as art
 from tickstream.operators import bars as brs
 from tickstream.operators import embed, gold, search, serving, silver
@@ -488,6 +489,14 @@ def lake_search(spark, d):
     return search_lake(spark, lake, _questions(spark, d), fmt="parquet")
 
 
+@query
+def indexed_lake_search(spark, d):
+    """The lake's answers by the index of its vectors."""
+    lake = _lake_after_batch(spark, d, keep="last")
+    build_vector_table(spark, lake, "parquet", index=True)
+    return search_lake(spark, lake, _questions(spark, d), fmt="parquet")
+
+
 @query
 def blocked_search(spark, d):
     """The same hits when the questions come in several blocks."""
@@ -498,6 +507,14 @@ def blocked_search(spark, d):
     )
 
 
+@query
+def pruned_search(spark, d):
+    """The same hits from blocks that cannot be left out."""
+    vectors = fx.load(spark, d, "embeddings")
+    index = annuli.build_index(vectors)
+    return annuli.annulus_search(_label_centres(vectors), index).withColumn("score", F.round("score", 6))
+
+
 @query
 def sql_over_path(spark, d):
     """A table addressed by its path in SQL."""

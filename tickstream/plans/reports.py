@@ -15,6 +15,7 @@ from tickstream.constants import (
     SAMPLE_TITLES,
     TOP_K,
 )
+from tickstream.operators.annuli import AnnulusIndex, annulus_search, open_index
 from tickstream.operators.bars import daily_bars
 from tickstream.operators.embed import Embedder, embed_texts, hash_embedder, index_stats
 from tickstream.operators.search import citations, knn_search, with_metadata
@@ -29,6 +30,7 @@ from tickstream.sources.tables import (
     GOLD_TABLES,
     Lake,
     TableNotFound,
+    finished,
     read_gold,
     read_table,
     table_exists,
@@ -38,22 +40,25 @@ LATEST = {"price_anomaly_flags": latest_anomalies, "daily_sentiment": latest_att
 assert LATEST.keys() == GOLD_TABLES.keys()
 
 def search_news(questions: DataFrame, vectors: DataFrame, k: int = TOP_K,
-                make_embedder: Callable[[], Embedder] = hash_embedder) -> DataFrame:
+                make_embedder: Callable[[], Embedder] = hash_embedder,
+                index: AnnulusIndex | None = None) -> DataFrame:
     """The nearest articles to every question as (query_id, rank, vec_id, citation).
 
     ``questions`` holds (query_id, text); the embedder must be the one that built
-    the vector table.
+    the vector table. An ``index`` of the same vectors gives the same hits.
     """
     asked = questions.select(
         "query_id", embed_texts(F.col("text"), make_embedder).alias("embedding")
     )
-    return citations(with_metadata(knn_search(asked, vectors, k), vectors.drop("embedding")))
+    hits = knn_search(asked, vectors, k) if index is None else annulus_search(asked, index, k)
+    return citations(with_metadata(hits, vectors.drop("embedding")))
 
 
 def search_answers(questions: DataFrame, vectors: DataFrame, k: int = TOP_K,
-                   make_embedder: Callable[[], Embedder] = hash_embedder) -> DataFrame:
+                   make_embedder: Callable[[], Embedder] = hash_embedder,
+                   index: AnnulusIndex | None = None) -> DataFrame:
     """One text per question: its citations, or a note that there are none."""
-    found = search_news(questions, vectors, k, make_embedder).groupBy("query_id").agg(
+    found = search_news(questions, vectors, k, make_embedder, index).groupBy("query_id").agg(
         # At most k rows a question.
         F.sort_array(F.collect_list(F.struct("rank", "citation"))).alias("_hits")
     )
@@ -75,8 +80,11 @@ def lake_vectors(spark: SparkSession, lake: Lake, fmt: str | None = None) -> Dat
 def search_lake(spark: SparkSession, lake: Lake, questions: DataFrame, k: int = TOP_K,
                 make_embedder: Callable[[], Embedder] = hash_embedder,
                 fmt: str | None = None) -> DataFrame:
-    """``search_answers`` over the lake's own vector table."""
-    return search_answers(questions, lake_vectors(spark, lake, fmt), k, make_embedder)
+    """``search_answers`` over the lake's own vector table, by its index where it has one."""
+    index = None
+    if finished(spark, f"{lake.vector_index}/pivots"):
+        index = open_index(spark, lake.vector_index)
+    return search_answers(questions, lake_vectors(spark, lake, fmt), k, make_embedder, index)
 
 
 def latest_rows(spark: SparkSession, lake: Lake, name: str,

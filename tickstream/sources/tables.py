@@ -43,6 +43,10 @@ class Lake:
     def vectors(self) -> str:
         return f"{self.root}/vectors/news"
 
+    @property
+    def vector_index(self) -> str:
+        return f"{self.root}/vectors/news_index"
+
 
 GOLD_TABLES = {
     "price_anomaly_flags": "gold_price_anomaly_flags",
