@@ -161,7 +161,9 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         near = large.join(least, "u")
         small = near.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
             least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
+        last = edges
         edges, after = _observed(small)
+        forget(last)
         if after == before:
             break
         before = after

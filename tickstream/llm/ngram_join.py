@@ -24,6 +24,7 @@ pairs of blocks.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickstream.llm.frames import (
-    as_bytes, components, consecutive, extended, in_bitmap, keep, key_bitmap, session_of,
+    as_bytes, components, consecutive, extended, forget, in_bitmap, keep, key_bitmap, session_of,
 )
 from tickstream.llm.signature_tree import (
     SHORT_BITS, Groups, SignatureTree, Threshold, bitmaps, common_count, parities, similar_pairs, spanning_links,
@@ -50,6 +51,8 @@ HOT_KEY_ROWS = 50_000
 GROUP_CLASSES = 1_000
 GROUP_SHINGLES = 1_000_000
 BLOCK_CLASSES = 4_096
+# Rows of groups, some 30 bytes each, that are sent to all tasks; more are joined by a shuffle.
+SENT_ROWS = 1_000_000
 
 
 def set_hash(hashes: np.ndarray, rows: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -328,24 +331,26 @@ def possible_pairs(pairs: DataFrame, one: str, two: str, classes: DataFrame, lim
 
 
 def class_texts(docs: DataFrame, wanted: DataFrame, width: int, text: str = "text") -> DataFrame:
-    """One text (set_key, body) for each wanted class, and perhaps for some others."""
+    """Texts (set_key, body) of each wanted class, and perhaps of some others; one per task and class."""
     # Texts that are surely not wanted are left out where their sets are built, since a
     # second Python step in one stage would need a second worker per task.
     sent = docs.sparkSession.sparkContext.broadcast(key_bitmap(wanted))
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in source:
             keys = np.zeros(batch.num_rows, np.uint64)
             for a, b, hashes, owner in _sets(batch.column(0), width):
                 _, keys[a:b] = set_hash(hashes, owner, b - a)
             first = np.sort(np.unique(keys, return_index=True)[1])
             first = first[(keys[first] != 0) & in_bitmap(sent.value, keys[first])]
+            first = first[[key not in seen for key in keys[first].tolist()]]
+            seen.update(keys[first].tolist())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys[first].view(np.int64)), batch.column(0).take(pa.array(first))],
                 ["set_key", "body"])
 
-    keyed = docs.select(as_bytes(text).alias("b")).mapInArrow(run, "set_key long, body binary")
-    return keyed.groupBy("set_key").agg(F.first("body").alias("body"))
+    return docs.select(as_bytes(text).alias("b")).mapInArrow(run, "set_key long, body binary")
 
 
 def group_links(groups: DataFrame, texts: DataFrame, width: int, limit: Threshold) -> DataFrame:
@@ -369,12 +374,34 @@ def group_links(groups: DataFrame, texts: DataFrame, width: int, limit: Threshol
 
 
 def _dealt(groups: DataFrame, texts: DataFrame) -> DataFrame:
-    """Texts beside the parts of groups they belong to, each part together, its head first."""
-    sent = groups.join(texts, F.col("member") == F.col("set_key"))
+    """Texts beside the parts of groups they belong to, each part together, its head first.
+
+    Where the groups' rows are few enough to be sent, texts find their part where they are read
+    and are moved once; else by a join on the class. Copies of a class come one from each task.
+    """
+    groups = keep(groups, "dealt-groups")
+    if groups.count() <= SENT_ROWS:
+        groups = F.broadcast(groups)
+    sent = texts.join(groups, F.col("member") == F.col("set_key"))
     dealt = sent.select("home", "part", "member", "head", "body").repartition("home", "part")
     return dealt.sortWithinPartitions("home", "part", F.desc("head"), "member")
 
 
+def _without_copies(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows without those whose first four columns are the row's before."""
+    last = None
+    for batch in source:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)], axis=1)
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
+        new[0] = last is None or (keys[0] != last).any()
+        last = keys[-1]
+        if new.any():
+            yield batch.filter(pa.array(new))
+
+
 def _loaded_groups(source: Iterator[pa.RecordBatch], width: int):
     """Class keys, shingle sets, bitmaps and head flags of each group, from rows ordered by group."""
     held: list[pa.RecordBatch] = []
@@ -401,10 +428,8 @@ def _loaded_groups(source: Iterator[pa.RecordBatch], width: int):
             yield keys[s:e], hashes[lo:hi], bounds[s:e + 1] - lo, bits[s:e], heads[s:e]
 
     last = None
-    for batch in source:
+    for batch in _without_copies(source):
         # Rows of a group may go on in the next batch: the open group is held back.
-        if not batch.num_rows:
-            continue
         home, part = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         change = np.flatnonzero((home[1:] != home[:-1]) | (part[1:] != part[:-1])) + 1
         if last is not None and last != (home[0], part[0]):
@@ -582,12 +607,18 @@ def jaccard_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     rows = shared.where(F.col("kind") == _ROW).select("x", "y").distinct()
     targets = open_targets(rows, labels, classes, limit).unionAll(other_targets(pairs, groups, labels))
     targets = keep(targets.distinct(), "targets")
+    # What nothing reads any more goes at once, or it would lie beside all that follows.
+    for table in (shared, pairs, groups):
+        forget(table)
+    found = [links]
     if not targets.isEmpty():
         held = labels.join(targets.select(F.col("home").alias("root")).distinct(), "root", "left_semi")
         wanted = targets.select("member").unionAll(targets.select("home")).unionAll(held.select("id"))
         more = target_links(targets, labels, classes, class_texts(body, wanted, width), width, limit)
-        links = links.unionAll(keep(more, "more-links"))
-    roots = components(links)
+        found.append(keep(more, "more-links"))
+    roots = components(functools.reduce(DataFrame.unionAll, found))
+    for table in (*found, targets, labels):
+        forget(table)
 
     named = classes.join(roots, classes["set_key"] == roots["id"], "left").select(
         "set_key", "least", F.coalesce("root", "set_key").alias("root"))
