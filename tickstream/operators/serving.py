@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +25,31 @@ def latest_anomalies(flags: DataFrame, n: int = LATEST_ANOMALIES) -> DataFrame:
     return flags.orderBy(F.desc("is_anomaly"), F.desc("bar_time_ts"), *map(F.asc, ties)).limit(n)
 
 
+def newest_anomalies(flags: DataFrame, days: Sequence[date], n: int = LATEST_ANOMALIES) -> DataFrame:
+    """``latest_anomalies`` of a table laid out by ``bar_date``, from its newest days.
+
+    ``days`` are the table's partitions. They are read newest first, each step twice as many,
+    until there are ``n`` flagged rows; where the whole table has fewer, the newest other rows
+    make up the rest in the same way. A step counts one column of the days it adds.
+    """
+    newest = sorted(days, reverse=True)
+    flagged, missing = _newest_days(flags.filter("is_anomaly"), newest, n)
+    wanted = flags.filter(F.col("is_anomaly") & F.col("bar_date").isin(flagged))
+    if missing:
+        others, _ = _newest_days(flags.filter("NOT is_anomaly"), newest, missing)
+        wanted = wanted.unionAll(flags.filter(~F.col("is_anomaly") & F.col("bar_date").isin(others)))
+    return latest_anomalies(wanted, n)
+
+
+def _newest_days(rows: DataFrame, newest: Sequence[date], n: int) -> tuple[list[date], int]:
+    """The newest days that hold ``n`` of the rows, and how many are missing in all days."""
+    taken, step = 0, 1
+    while n > 0 and taken < len(newest):
+        n -= rows.filter(F.col("bar_date").isin(list(newest[taken:taken + step]))).limit(n).count()
+        taken, step = taken + step, step * 2
+    return list(newest[:taken]), max(n, 0)
+
+
 def latest_attention(sentiment: DataFrame, n: int = LATEST_DAYS) -> DataFrame:
     return sentiment.orderBy(F.desc("published_date")).limit(n)
 
@@ -70,6 +96,50 @@ def price_snapshot(daily: DataFrame, tickers: Sequence[str] | None = None,
     )
 
 
+def year_ranges(bars: DataFrame, ts: str = "bar_time_ts", days: int = YEAR_RANGE_DAYS) -> DataFrame:
+    """Every bar with the highest ``high`` and lowest ``low`` of the ``days`` before it and itself.
+
+    The range ends at the bar and begins the same time of day ``days`` earlier. It falls apart
+    into the bar's own day up to the bar, the days between as one row each, and the end of the
+    first day; each is found among the rows of one ticker and day, or one row per calendar day,
+    so a ticker's whole history is never sorted by one task. Bars without a time have only
+    themselves in range.
+    """
+    day, pairs = F.to_date(ts), (("high", F.max), ("low", F.min))
+    dated = bars.withColumn("_day", day)
+    own = Window.partitionBy("ticker", "_day").orderBy(ts).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    whole = dated.filter(F.col(ts).isNotNull()).groupBy("ticker", "_day").agg(
+        *[best(c).alias(f"_{c}") for c, best in pairs])
+    # Day numbers instead of dates: frames by value need numbers.
+    number = F.datediff("_day", F.lit("1970-01-01"))
+    between = Window.partitionBy("ticker").orderBy(number).rangeBetween(-(days - 1), -1)
+    full = whole.select("ticker", "_day", *[best(f"_{c}").over(between).alias(f"_{c}_between") for c, best in pairs])
+    # A bar asks the day ``days`` before its own what came from its time of day on.
+    asks = dated.filter(F.col(ts).isNotNull()).select(
+        "ticker", F.date_sub("_day", days).alias("_day"), F.col(ts).alias("_asker"),
+        (F.unix_micros(ts) - F.lit(days * 86_400_000_000)).alias("_at"),
+        *[F.lit(None).cast("double").alias(c) for c, _ in pairs]).distinct()
+    had = dated.filter(F.col(ts).isNotNull()).select(
+        "ticker", "_day", F.lit(None).cast("timestamp").alias("_asker"), F.unix_micros(ts).alias("_at"),
+        *[F.col(c).cast("double") for c, _ in pairs])
+    rest = Window.partitionBy("ticker", "_day").orderBy("_at").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    first = had.unionByName(asks).select(
+        "ticker", "_asker", *[best(c).over(rest).alias(f"_{c}_first") for c, best in pairs]).filter("_asker IS NOT NULL")
+    ranged = (
+        dated.withColumns({f"_{c}_own": F.when(F.col(ts).isNotNull(), best(c).over(own)).otherwise(F.col(c))
+                           for c, best in pairs})
+        .join(full.withColumnsRenamed({"ticker": "_t1", "_day": "_d1"}),
+              F.col("ticker").eqNullSafe(F.col("_t1")) & (F.col("_day") == F.col("_d1")), "left")
+        .join(first.withColumnRenamed("ticker", "_t2"),
+              F.col("ticker").eqNullSafe(F.col("_t2")) & (F.col(ts) == F.col("_asker")), "left")
+    )
+    return ranged.select(
+        *bars.columns,
+        F.greatest("_high_own", "_high_between", "_high_first").alias("year_high"),
+        F.least("_low_own", "_low_between", "_low_first").alias("year_low"))
+
+
 def snapshot_text(snapshot: DataFrame) -> DataFrame:
     """The snapshot as display strings."""
     return snapshot.select(

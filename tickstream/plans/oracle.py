@@ -406,6 +406,23 @@ ORACLE = {
         bars="(SELECT ticker, bar_time_ts, open, high, low, close, volume, price_range "
              "FROM silver_prices)",
     ),
+    "phrase_matches": sql("articles", """
+        SELECT phrase, position, url
+        FROM (SELECT position, url, string_split_regex(lower(concat_ws(' ', title, description)),
+                                                       '[^\\p{L}\\p{N}]+') AS tokens FROM articles) a
+        JOIN (SELECT DISTINCT array_to_string(
+                         string_split_regex(text, '[^\\p{L}\\p{N}]+')[2:3], ' ') AS phrase FROM documents) p
+          ON list_has_all(tokens, list_filter(
+                 string_split_regex(lower(phrase), '[^\\p{L}\\p{N}]+'), lambda x: x <> ''))
+         AND phrase <> ''"""),
+    "bar_year_ranges": sql("bars", """
+        SELECT ticker, bar_time_ts, high, low, max(high) OVER y AS year_high, min(low) OVER y AS year_low
+        FROM bars WINDOW y AS (PARTITION BY ticker ORDER BY bar_time_ts
+                               RANGE BETWEEN INTERVAL 364 DAYS PRECEDING AND CURRENT ROW)"""),
+    "part_week_ranges": sql("part_bars", """
+        SELECT ticker, bar_time_ts, max(high) OVER y AS year_high, min(low) OVER y AS year_low
+        FROM part_bars WINDOW y AS (PARTITION BY ticker ORDER BY bar_time_ts
+                                    RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW)"""),
     "increment_anomalies": sql(
         f"{PRICES} rolled flags", FLAGS,
         bars="(SELECT ticker, bar_time_ts, open, high, low, close, volume, price_range "
@@ -425,6 +442,7 @@ ORACLE = {
     ),
     "batch_price_answers": PRICE_ANSWERS,
     "batch_latest_anomalies": sql("bars rolled flags", TOP_FLAGS, bars="bars"),
+    "batch_newest_anomalies": sql("bars rolled flags", TOP_FLAGS, bars="bars"),
     "lake_search": NEWS_ANSWERS,
     "indexed_lake_search": NEWS_ANSWERS,
     "blocked_search": KNN_SEARCH,

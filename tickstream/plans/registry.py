@@ -14,12 +14,12 @@ from tickstream.functions.vectors import l2_normalise
 from tickstream.operators import annuli
 from tickstream.operators import articles as art
 from tickstream.operators import bars as brs
-from tickstream.operators import embed, gold, search, serving, silver
+from tickstream.operators import embed, gold, phrases, search, serving, silver
 from tickstream.operators.envelope import parse_messages
 from tickstream.plans.batch import build_vector_table, run_batch
 from tickstream.plans.increments import apply_news, apply_prices
 from tickstream.plans.ingest import news_messages, price_messages
-from tickstream.plans.reports import search_answers, search_lake, search_news
+from tickstream.plans.reports import latest_rows, search_answers, search_lake, search_news
 from tickstream.schemas import NEWS_PAYLOAD, PRICE_PAYLOAD
 from tickstream.session import prepare, work_path
 from tickstream.sources.kafka import read_envelope_files
@@ -230,6 +230,21 @@ def feed_pages(spark, d):
     return feeds.select("feed", "position", "url", "publishedAt", "category")
 
 
+def _phrases_of_titles(documents: DataFrame) -> DataFrame:
+    """The second and third word of every document as a phrase."""
+    found = F.slice(F.split("text", "[^\\p{L}\\p{N}]+"), 2, 2)
+    return documents.select(F.array_join(found, " ").alias("phrase"))
+
+
+@query
+def phrase_matches(spark, d):
+    """Articles by the phrases they hold, with as many phrases as there are documents."""
+    documents = fx.load(spark, d, "documents")
+    articles = fx.raw_articles(documents).select("position", "url", "title", "description")
+    text = F.concat_ws(" ", "title", "description")
+    return phrases.match_phrases(articles, _phrases_of_titles(documents), text).select("phrase", "position", "url")
+
+
 @query
 def landed_articles(spark, d):
     """The feeds read back from landed JSON files."""
@@ -393,6 +408,20 @@ def recent_daily_bars(spark, d):
     return brs.recent_daily_bars(brs.daily_bars(_hourly(spark, d)))
 
 
+@query
+def bar_year_ranges(spark, d):
+    """52-week high and low at every hourly bar."""
+    return serving.year_ranges(stored(_hourly(spark, d), "bars")).select(
+        "ticker", "bar_time_ts", "high", "low", "year_high", "year_low")
+
+
+@query
+def part_week_ranges(spark, d):
+    """High and low of the last seven days at every bar of the largest table, with gaps."""
+    bars = stored(fx.part_bars(fx.load(spark, d, "lineitem")), "bars")
+    return serving.year_ranges(bars, days=7).select("ticker", "bar_time_ts", "year_high", "year_low")
+
+
 @query
 def price_snapshot(spark, d):
     daily = brs.daily_bars(fx.part_bars(fx.load(spark, d, "lineitem")))
@@ -480,6 +509,13 @@ def batch_latest_anomalies(spark, d):
     return serving.latest_anomalies(read_gold(spark, lake, "price_anomaly_flags", "parquet"))
 
 
+@query
+def batch_newest_anomalies(spark, d):
+    """The same latest rows from the newest days of the gold table alone."""
+    lake = _lake_after_batch(spark, d, keep="last", by_instant=True)
+    return latest_rows(spark, lake, "price_anomaly_flags", "parquet")
+
+
 @query
 def lake_search(spark, d):
     """Benchmark texts as questions to the lake's own vector table."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +15,17 @@ from tickstream.constants import (
     NO_ARTICLES,
     SAMPLE_TITLES,
     TOP_K,
+    YEAR_RANGE_DAYS,
 )
 from tickstream.operators.annuli import AnnulusIndex, annulus_search, open_index
 from tickstream.operators.bars import daily_bars
+from tickstream.operators.dedup import top_per_group
 from tickstream.operators.embed import Embedder, embed_texts, hash_embedder, index_stats
 from tickstream.operators.search import citations, knn_search, with_metadata
 from tickstream.operators.serving import (
     latest_anomalies,
     latest_attention,
+    newest_anomalies,
     price_answers,
     price_snapshot,
     render,
@@ -31,6 +35,7 @@ from tickstream.sources.tables import (
     Lake,
     TableNotFound,
     finished,
+    partition_days,
     read_gold,
     read_table,
     table_exists,
@@ -91,6 +96,10 @@ def latest_rows(spark: SparkSession, lake: Lake, name: str,
                 fmt: str | None = None) -> DataFrame:
     """The latest rows of a gold table; unknown names raise with the known ones."""
     table = read_gold(spark, lake, name, fmt)
+    if name == "price_anomaly_flags":
+        days = partition_days(spark, lake.gold(GOLD_TABLES[name]), "bar_date")
+        if days:
+            return newest_anomalies(table, days)
     return LATEST[name](table)
 
 
@@ -104,17 +113,27 @@ def live_prices(spark: SparkSession, lake: Lake, tickers: Sequence[str],
                 as_of: Column | None = None, fmt: str | None = None) -> DataFrame:
     """The latest price of every named ticker as (ticker, answer).
 
-    Silver's days after ``as_of`` and other tickers' rows are not read.
+    Of silver only the named tickers' rows are read, and only days up to ``as_of`` and back to
+    what the snapshot looks at: the last two days of each ticker and a year before the last.
     """
     names = [t.strip().upper() for t in tickers]
     prices = read_table(spark, lake.silver("prices"), fmt).filter(F.col("symbol").isin(names))
     if as_of is not None:
         prices = prices.filter(F.col("bar_date") <= F.to_date(as_of))
-    daily = daily_bars(prices)
+    daily = daily_bars(prices.filter(F.col("bar_date") >= F.lit(_first_day(prices))))
     requested = spark.createDataFrame([(t,) for t in tickers], "ticker string")
     return price_answers(requested, price_snapshot(daily, tickers, as_of))
 
 
+def _first_day(prices: DataFrame) -> date | None:
+    """The first day that a snapshot of these bars needs; reads symbols and days only."""
+    last_two = top_per_group(prices.select("symbol", "bar_date").distinct(), ["symbol"],
+                             [F.col("bar_date").desc_nulls_last()], 2)
+    needed = last_two.groupBy("symbol").agg(
+        F.min("bar_date").alias("second"), F.date_sub(F.max("bar_date"), YEAR_RANGE_DAYS).alias("year"))
+    return needed.agg(F.min(F.least("second", "year")).alias("day")).first()["day"]
+
+
 def index_report(spark: SparkSession, lake: Lake, fmt: str | None = None) -> dict:
     """State of the vector table; "degraded" while there is none."""
     if not table_exists(spark, lake.vectors, fmt):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -151,6 +152,12 @@ def numbered_folders(spark: SparkSession, path: str) -> list[int]:
                   if name.isdigit() and finished(spark, f"{path}/{name}"))
 
 
+def partition_days(spark: SparkSession, path: str, column: str) -> list[date]:
+    """The days a table is partitioned by, from the names of its folders, ascending."""
+    names = (name.split("=", 1) for name in _folder(spark, path).children() if name.startswith(f"{column}="))
+    return sorted(date.fromisoformat(value) for _, value in names if not value.startswith("__"))
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     _folder(spark, path).delete()
 
