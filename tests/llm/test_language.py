@@ -87,3 +87,19 @@ def test_edge_cases(spark):
     assert {r["lang_pred"] for r in language.language_report(unlabelled).collect()} == {"und"}
     assert language.keep_identified(docs).columns == docs.columns
     assert [r["doc_id"] for r in language.keep_identified(docs).collect()] == [1]
+
+
+def test_cuts_of_long_texts_lose_no_gram(monkeypatch):
+    texts = [b"ab  c", b"", ("x1" * 40 + "  ...  ".join("\u00e9t\u00e9 Na ja " for _ in range(30)) + " " * 90 + "q").encode(), b"zz", b"?" * 70]
+
+    def counted():
+        out = {}
+        for cells, rows in language.grams(texts):
+            for pair in zip(rows.tolist(), cells.tolist()):
+                out[pair] = out.get(pair, 0) + 1
+        return out
+
+    whole = counted()
+    for size in (1, 2, 3, 7, 16, 50):
+        monkeypatch.setattr(language, "SLICE_CHARS", size)
+        assert counted() == whole

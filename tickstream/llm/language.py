@@ -28,7 +28,7 @@ SMOOTHING = 0.5
 # A language's share of the rows is taken in steps of one in this many.
 LOTS = 1 << 40
 UNKNOWN = "und"
-# Characters handled at once. A longer text is cut; grams across a cut are not counted.
+# Characters handled at once. A longer text goes on in the next slice, grams across the cut included.
 SLICE_CHARS = 1 << 18
 _SPACE = 32
 
@@ -45,34 +45,48 @@ def _letters() -> np.ndarray:
     return out
 
 
-def _slices(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Code points of some texts joined, and the row of each; rows ascend."""
-    chars, rows, held = [], [], 0
+def _slices(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Code points of some texts joined, and the row of each; rows ascend.
+
+    The last value says that the first row goes on from the slice before.
+    """
+    chars, rows, held, goes_on = [], [], 0, False
     for row, raw in enumerate(texts):
         points = np.frombuffer(raw.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
         for at in range(0, len(points), SLICE_CHARS):
             part = points[at:at + SLICE_CHARS]
-            chars += [np.array([_SPACE], np.uint32), part]
-            rows.append(np.full(len(part) + 1, row, np.int32))
+            if at:
+                goes_on = goes_on or not chars
+            else:
+                part = np.concatenate([np.array([_SPACE], np.uint32), part])
+            chars.append(part)
+            rows.append(np.full(len(part), row, np.int32))
             held += len(part)
             if held >= SLICE_CHARS:
-                yield np.concatenate(chars), np.concatenate(rows)
-                chars, rows, held = [], [], 0
+                yield np.concatenate(chars), np.concatenate(rows), goes_on
+                chars, rows, held, goes_on = [], [], 0, False
     if chars:
-        yield np.concatenate(chars), np.concatenate(rows)
+        yield np.concatenate(chars), np.concatenate(rows), goes_on
 
 
 def grams(texts: list[bytes], bits: int = CELL_BITS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Hash cells of all character n-grams with their rows, slice by slice."""
-    for chars, rows in _slices(texts):
+    reach = max(GRAMS) - 1
+    last_codes, last_letters = np.zeros(0, np.uint32), np.zeros(0, bool)
+    for chars, rows, goes_on in _slices(texts):
         low = _letters()[chars]
         letter = low > 0
         codes = np.where(letter, low, np.uint32(_SPACE))
         use = letter.copy()  # one blank stands for each run of other characters
         use[1:] |= ~letter[1:] & letter[:-1]
-        use[0] = True
+        use[0] = letter[0] or not goes_on or bool(last_letters[-1])
         use[1:] |= rows[1:] != rows[:-1]
-        codes, rows, letter = codes[use], rows[use], letter[use]
+        codes, owner, letter = codes[use], rows[use], letter[use]
+        # Codes of the slice before come in front; grams within them were counted there.
+        seen = len(last_codes) if goes_on else 0
+        if seen:
+            codes, letter = np.concatenate([last_codes, codes]), np.concatenate([last_letters, letter])
+            owner = np.concatenate([np.full(seen, rows[0], np.int32), owner])
         cells, owners = [], []
         for size in GRAMS:
             count = len(codes) - size + 1
@@ -84,11 +98,14 @@ def grams(texts: list[bytes], bits: int = CELL_BITS) -> Iterator[tuple[np.ndarra
             value ^= value >> np.uint32(15)
             value *= np.uint32(0x2C1B3C6D)
             value ^= value >> np.uint32(13)
-            inside = rows[:count] == rows[size - 1:]
+            inside = owner[:count] == owner[size - 1:]
+            inside[:max(0, seen - size + 1)] = False
             if size == 1:
                 inside &= letter
             cells.append((value >> np.uint32(32 - bits))[inside])
-            owners.append(rows[:count][inside])
+            owners.append(owner[:count][inside])
+        mine = np.flatnonzero(owner == rows[-1])[-reach:]
+        last_codes, last_letters = codes[mine], letter[mine]
         yield np.concatenate(cells), np.concatenate(owners)
 
 
