@@ -176,3 +176,16 @@ def price_envelope(bars: DataFrame) -> DataFrame:
 
 def news_envelope(documents: DataFrame) -> DataFrame:
     return _envelope(bronze_news(documents), NEWS_PAYLOAD, news_key(), NEWS_TOPIC)
+
+
+def broken_news_envelope(documents: DataFrame) -> DataFrame:
+    """News messages as a faulty sender leaves them: by language, values are missing, not JSON or foreign."""
+    good = news_envelope(documents).join(
+        documents.select(F.col("doc_id").alias("offset"), "lang", "text"), "offset")
+    value = (
+        F.when(F.col("lang") == "fr", F.col("text").cast("binary"))
+        .when((F.col("lang") == "de") & (F.length("text") % 2 == 0), F.lit(None).cast("binary"))
+        .when(F.col("lang") == "de", F.to_json(F.struct(F.col("text").alias("other"))).cast("binary"))
+        .otherwise(F.col("value"))
+    )
+    return good.withColumn("value", value).drop("lang", "text")

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from tickstream.constants import EMBED_BATCH
 from tickstream.functions.text import body_without_tail, compose_text
 from tickstream.functions.vectors import l2_normalise
+from tickstream.operators.dedup import one_per_key
 from tickstream.session import ship_package
+from tickstream.sources.tables import stored
 
 # An embedding model: texts in, one vector per text out, in the same order.
 Embedder = Callable[[Sequence[str]], Sequence[Sequence[float]]]
@@ -145,6 +147,28 @@ def build_vectors(news: DataFrame, make_embedder: Callable[[], Embedder] = hash_
     )
 
 
+def refresh_vectors(news: DataFrame, vectors: DataFrame, make_embedder: Callable[[], Embedder] = hash_embedder,
+                    batch: int = EMBED_BATCH) -> DataFrame:
+    """``build_vectors``, with the vectors of texts that were embedded before.
+
+    ``vectors`` is a table the same model built. The model is called once for each text that has
+    no vector there, however often the text occurs. Texts are told apart by 128 bits of hash.
+    """
+    texts = article_texts(news.withColumn("vec_id", message_id()), "vec_id").select("*", *_digest())
+    known = one_per_key(vectors.filter(F.col("embedding").isNotNull()).select("vec_id", "embedding", *_digest()),
+                        ["d1", "d2"], ["vec_id"]).select("d1", "d2", "embedding")
+    fresh = one_per_key(texts.join(known, ["d1", "d2"], "left_anti"), ["d1", "d2"], ["vec_id"])
+    # Stored, or the model would be called again for each use.
+    called = stored(fresh.select("d1", "d2", "text").withColumn(
+        "_raw", embed_texts(F.col("text"), make_embedder, batch)).select(
+        "d1", "d2", l2_normalise(F.col("_raw")).cast("array<float>").alias("embedding")), "embedded")
+    return texts.join(known.unionByName(called), ["d1", "d2"]).select("vec_id", "embedding", *METADATA)
+
+
+def _digest() -> list[Column]:
+    return [F.xxhash64(F.lit(seed), "text").alias(f"d{seed}") for seed in (1, 2)]
+
+
 def index_stats(vectors: DataFrame, titles: int) -> DataFrame:
     """Number of vectors, their dimension and the first titles by id, in one row."""
     counts = vectors.agg(

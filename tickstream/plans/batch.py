@@ -11,10 +11,18 @@ from pyspark.sql import functions as F
 
 from tickstream.functions.text import normal_ticker
 from tickstream.operators.annuli import build_index
-from tickstream.operators.embed import Embedder, build_vectors, hash_embedder
+from tickstream.operators.embed import Embedder, build_vectors, hash_embedder, refresh_vectors
 from tickstream.operators.gold import daily_sentiment, price_anomaly_flags
 from tickstream.operators.silver import silver_news, silver_prices
-from tickstream.sources.tables import GOLD_TABLES, Lake, delete_folder, observed, read_table, write_table
+from tickstream.sources.tables import (
+    GOLD_TABLES,
+    Lake,
+    delete_folder,
+    observed,
+    read_table,
+    table_exists,
+    write_table,
+)
 
 
 def build_silver(spark: SparkSession, lake: Lake, fmt: str | None = None,
@@ -66,12 +74,20 @@ def build_gold(spark: SparkSession, lake: Lake, fmt: str | None = None,
 
 def build_vector_table(spark: SparkSession, lake: Lake, fmt: str | None = None,
                        make_embedder: Callable[[], Embedder] = hash_embedder,
-                       index: bool = False) -> int:
-    """Embed all silver news; with ``index``, searches read only blocks that may hold hits."""
+                       index: bool = False, reuse: bool = False) -> int:
+    """Embed all silver news; with ``index``, searches read only blocks that may hold hits.
+
+    ``reuse`` takes over the stored vectors of texts that are there already, so the model, which
+    must be the one that made them, is called for new and changed texts only.
+    """
     news = read_table(spark, lake.silver("news"), fmt)
+    if reuse and table_exists(spark, lake.vectors, fmt):
+        vectors = refresh_vectors(news, read_table(spark, lake.vectors, fmt), make_embedder)
+    else:
+        vectors = build_vectors(news, make_embedder)
     # An index of other vectors must not be found beside the new ones.
     delete_folder(spark, lake.vector_index)
-    rows = write_table(build_vectors(news, make_embedder), lake.vectors, fmt)
+    rows = write_table(vectors, lake.vectors, fmt)
     if index:
         build_index(read_table(spark, lake.vectors, fmt), path=lake.vector_index)
     return rows

@@ -293,6 +293,14 @@ NEWS_ANSWERS = sql(
     news="silver_news", components=NEWS_COMPONENTS, questions=QUESTION_COMPONENTS,
 )
 
+EMBEDDED = sql(
+    f"{NEWS} texts slots dense news_vectors",
+    """SELECT vec_id, CAST(pos AS INTEGER) AS pos,
+              round(CAST(component AS DOUBLE), 5) + 0.0 AS component
+       FROM news_vectors""",
+    news="silver_news",
+)
+
 ORACLE = {
     "price_anomaly_flags": sql("bars rolled flags", FLAGS, bars="bars"),
     "part_anomaly_flags": sql("part_bars rolled flags", FLAGS, bars="part_bars"),
@@ -359,13 +367,8 @@ ORACLE = {
                    CASE WHEN n > 0 THEN CAST(x AS DOUBLE) / n ELSE 0 END, 6) + 0.0 AS component
         FROM (SELECT *, sqrt(sum(CAST(x AS DOUBLE) ** 2) OVER (PARTITION BY vec_id)) AS n
               FROM ({STORED_COMPONENTS}))""",
-    "embed_documents": sql(
-        f"{NEWS} texts slots dense news_vectors",
-        """SELECT vec_id, CAST(pos AS INTEGER) AS pos,
-                  round(CAST(component AS DOUBLE), 5) + 0.0 AS component
-           FROM news_vectors""",
-        news="silver_news",
-    ),
+    "embed_documents": EMBEDDED,
+    "refreshed_vectors": EMBEDDED,
     "knn_search": KNN_SEARCH,
     "pruned_search": KNN_SEARCH,
     "knn_citations": sql(
@@ -406,6 +409,16 @@ ORACLE = {
         bars="(SELECT ticker, bar_time_ts, open, high, low, close, volume, price_range "
              "FROM silver_prices)",
     ),
+    "sorted_messages": sql("articles", """
+        SELECT doc_id AS kafka_offset, CASE WHEN reason IS NULL THEN title END AS title, reason,
+               CASE WHEN reason = 'not a JSON object' THEN text
+                    WHEN reason = 'no known field' THEN to_json({'other': text})::VARCHAR
+                    WHEN lang = 'fr' THEN text END AS raw_value
+        FROM (SELECT *, CASE WHEN lang = 'fr' AND trim(text, ' ' || chr(9) || chr(10) || chr(13)) = '' THEN 'no value'
+                             WHEN lang = 'fr' THEN 'not a JSON object'
+                             WHEN lang = 'de' AND length(text) % 2 = 0 THEN 'no value'
+                             WHEN lang = 'de' THEN 'no known field' END AS reason FROM documents) d
+        JOIN articles ON position = doc_id"""),
     "phrase_matches": sql("articles", """
         SELECT phrase, position, url
         FROM (SELECT position, url, string_split_regex(lower(concat_ws(' ', title, description)),

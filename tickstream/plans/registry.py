@@ -35,7 +35,7 @@ from tickstream.sources.tables import (
     table_exists,
 )
 from tickstream.streaming.cycles import start_cycles
-from tickstream.streaming.ingest import run_to_end, start_news, start_prices
+from tickstream.streaming.ingest import run_to_end, start_news, start_prices, start_sorted_news
 from tickstream.streaming.triggers import Trigger
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -322,6 +322,21 @@ def stream_bronze_news(spark, d):
     return read_table(spark, lake.bronze("news"), "parquet")
 
 
+@query
+def sorted_messages(spark, d):
+    """Every streamed message once: in bronze, or beside it with the reason."""
+    lake = Lake(work_path(spark, "lake"))
+    landing = work_path(spark, "landing-news")
+    fx.broken_news_envelope(fx.load(spark, d, "documents")).write.parquet(landing)
+    run_to_end([start_sorted_news(read_envelope_files(spark, landing), lake, fmt="parquet",
+                                  trigger=Trigger(available=True))])
+    bronze = read_table(spark, lake.bronze("news"), "parquet").select(
+        "kafka_offset", "title", F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("raw_value"))
+    beside = read_table(spark, lake.rejects("news"), "parquet").select(
+        "kafka_offset", F.lit(None).cast("string").alias("title"), "reason", "raw_value")
+    return bronze.unionByName(beside)
+
+
 # Vectors -----------------------------------------------------------------
 
 
@@ -347,6 +362,16 @@ def embed_documents(spark, d):
     ).withColumn("component", F.round(F.col("component").cast("double"), 5))
 
 
+@query
+def refreshed_vectors(spark, d):
+    """The vector table again, with half of its texts' vectors taken from an earlier one."""
+    news = stored(silver.silver_news(_bronze_news(spark, d)), "silver")
+    earlier = stored(embed.build_vectors(news.filter(F.col("kafka_offset") % 2 == 0)), "vectors")
+    return embed.refresh_vectors(news, earlier).select(
+        "vec_id", F.posexplode("embedding").alias("pos", "component")
+    ).withColumn("component", F.round(F.col("component").cast("double"), 5))
+
+
 @query
 def knn_search(spark, d):
     """The stored vectors nearest to the mean vector of every label."""

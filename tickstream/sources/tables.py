@@ -27,6 +27,10 @@ class Lake:
     def bronze(self, name: str) -> str:
         return f"{self.root}/bronze/{name}"
 
+    def rejects(self, name: str) -> str:
+        """Messages that could not be read, beside bronze."""
+        return f"{self.root}/rejects/{name}"
+
     def silver(self, name: str) -> str:
         return f"{self.root}/silver/{name}"
 

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tickstream.operators.envelope import parse_messages
+from tickstream.operators.envelope import accepted, parse_messages, rejected, sort_messages
 from tickstream.schemas import NEWS_PAYLOAD, PRICE_PAYLOAD
-from tickstream.sources.tables import Lake, default_format
+from tickstream.sources.tables import Lake, default_format, write_increment
 from tickstream.streaming.triggers import Trigger
 
 
@@ -32,6 +32,38 @@ def start_bronze(envelope: DataFrame, payload: StructType, path: str, checkpoint
     return trigger.apply(writer).start(path)
 
 
+def start_sorted(envelope: DataFrame, payload: StructType, bronze: str, rejects: str, checkpoint: str,
+                 fmt: str | None = None, trigger: Trigger = Trigger(), name: str | None = None,
+                 as_of: Column | None = None) -> StreamingQuery:
+    """Messages to bronze, and those that cannot be read to a table of their own.
+
+    Together the two tables hold every message once: a micro-batch is read and parsed once for
+    both, and writes partitions of its own, which it replaces when it is repeated after a failure.
+    """
+    def one(batch: DataFrame, number: int) -> None:
+        messages = sort_messages(batch, payload, as_of).persist()
+        try:
+            write_increment(accepted(messages), bronze, number, fmt)
+            write_increment(rejected(messages), rejects, number, fmt)
+        finally:
+            messages.unpersist()
+
+    writer = envelope.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
+    return trigger.apply(writer).start()
+
+
+def start_sorted_news(envelope: DataFrame, lake: Lake, **options) -> StreamingQuery:
+    return start_sorted(envelope, NEWS_PAYLOAD, lake.bronze("news"), lake.rejects("news"),
+                        lake.checkpoint("news_sorted"), **options)
+
+
+def start_sorted_prices(envelope: DataFrame, lake: Lake, **options) -> StreamingQuery:
+    return start_sorted(envelope, PRICE_PAYLOAD, lake.bronze("prices"), lake.rejects("prices"),
+                        lake.checkpoint("prices_sorted"), **options)
+
+
 def start_news(envelope: DataFrame, lake: Lake, **options) -> StreamingQuery:
     return start_bronze(envelope, NEWS_PAYLOAD, lake.bronze("news"),
                         lake.checkpoint("news_bronze"), **options)
