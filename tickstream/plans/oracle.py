@@ -409,6 +409,7 @@ ORACLE = {
         bars="(SELECT ticker, bar_time_ts, open, high, low, close, volume, price_range "
              "FROM silver_prices)",
     ),
+    "stream_unseen_urls": sql("articles", "SELECT DISTINCT url FROM articles WHERE url IS NOT NULL"),
     "sorted_messages": sql("articles", """
         SELECT doc_id AS kafka_offset, CASE WHEN reason IS NULL THEN title END AS title, reason,
                CASE WHEN reason = 'not a JSON object' THEN text

@@ -34,7 +34,7 @@ from tickstream.sources.tables import (
     stored,
     table_exists,
 )
-from tickstream.streaming.cycles import start_cycles
+from tickstream.streaming.cycles import start_cycles, unseen
 from tickstream.streaming.ingest import run_to_end, start_news, start_prices, start_sorted_news
 from tickstream.streaming.triggers import Trigger
 
@@ -308,6 +308,24 @@ def stream_news_cycle(spark, d):
     return _opened(spark.read.parquet(sent), NEWS_PAYLOAD)
 
 
+@query
+def stream_unseen_urls(spark, d):
+    """Urls of articles that land twice, in two runs of one streaming query."""
+    landing, sent, checkpoint = (work_path(spark, x) for x in ("landing-articles", "sent", "checkpoint"))
+    articles = fx.raw_articles(fx.load(spark, d, "documents"))
+    for _ in range(2):
+        articles.write.mode("append").json(landing)
+        run_to_end([
+            start_cycles(
+                unseen(stream_articles(spark, landing).filter(F.col("url").isNotNull()), "7 days"),
+                lambda batch: batch.select("url"),
+                lambda batch: batch.write.mode("append").parquet(sent),
+                checkpoint, Trigger(available=True),
+            )
+        ])
+    return read_table(spark, sent, "parquet")
+
+
 @query
 def stream_bronze_news(spark, d):
     """The document table itself as a stream of messages, appended to bronze."""
