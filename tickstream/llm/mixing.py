@@ -14,6 +14,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickstream.llm.frames import keep
+
 # Fixed target shares of the registered query and the pipeline; sources that are not
 # named share the rest in proportion to their size.
 TARGETS = {"src0": 0.2, "src1": 0.1, "src2": 0.05}
@@ -40,6 +42,8 @@ def source_rates(docs: DataFrame, targets: dict[str, float], epochs: float = 1.0
         raise ValueError("target shares must not be negative nor sum to more than 1")
     sizes = docs.groupBy(F.col(source).alias("source")).agg(
         F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long")).alias("bytes"))
+    # One row a source, used three times: for the totals, the rates and their number.
+    sizes = keep(sizes, "source-sizes")
     named = F.col("source").isin(list(targets)) if targets else F.lit(False)
     named = F.coalesce(named, F.lit(False))
     totals = sizes.agg(F.sum("bytes").alias("total"),
