@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickstream.llm.frames import components, consecutive, keep, session_of
+from tickstream.llm.frames import components, consecutive, extended, forget, keep, session_of
 from tickstream.llm.signature_tree import Groups
 from tickstream.llm.textbatch import mix
 
@@ -149,7 +149,8 @@ def link_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, vec_id: str
     non-null id reachable by links; ``kept`` marks the row that has this id.
     """
     spark = session_of(vectors)
-    vector = F.col(embedding).cast("array<double>")
+    # Floats stay floats where vectors are moved; all numbers are worked with in double.
+    vector = F.col(embedding)
     rows = vectors.select(F.col(vec_id).alias("vec_id"), F.when(_valid(vector), vector).alias("v"))
     rows = rows.select("vec_id", F.when(F.col("v").isNotNull(), F.xxhash64("v")).alias("cls"), "v")
     rows = keep(rows, "vectors")
@@ -158,44 +159,44 @@ def link_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, vec_id: str
     classes = keep(classes, "vector-classes")
     plan = Plan.of(classes.count(), min_cosine)
 
-    def deal(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             sizes = np.diff(batch.column(2).offsets.to_numpy())
-            flat = batch.column(2).flatten().to_numpy()
+            flat = batch.column(2).flatten().to_numpy().astype(np.float64)
             bounds = np.concatenate([[0], np.cumsum(sizes)])
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
-                data = unit(flat[(bounds[at, None] + np.arange(size))])
-                keys = cell_keys(data, plan)
-                raw = [row.tobytes() for row in data]
-                own = [row.tobytes() for row in keys]
-                pick = pa.array(at)
-                for t in range(plan.tables):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[:, t]), batch.column(0).take(pick), batch.column(1).take(pick),
-                         pa.array(np.full(len(at), t, np.int32)), pa.array(own, pa.binary()),
-                         pa.array(raw, pa.binary())], ["cell", "cls", "copies", "t", "keys", "v"])
-
-    shape = "cell long, cls long, copies long, t int, keys binary, v binary"
-    dealt = classes.select("cls", "copies", "v").mapInArrow(deal, shape)
-    sizes = dealt.groupBy("cell").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK_VECTORS)
-    blocks = F.coalesce(F.ceil(F.col("size") / BLOCK_VECTORS), F.lit(1)).cast("long")
+                keys = cell_keys(unit(flat[(bounds[at, None] + np.arange(size))]), plan)
+                ends = np.arange(0, keys.size + 1, plan.tables, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [*[c.take(pa.array(at)) for c in batch.columns],
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))], ["cls", "copies", "v", "keys"])
+
+    # Cells are computed once and stored, since rounding may differ where a class is with others.
+    known = classes.select("cls", "copies", "v")
+    placed = keep(known.mapInArrow(place, extended(known, {"keys": "array<long>"})), "placed")
+    # Classes meet without their vectors, which only go where two share a cell.
+    dealt = placed.select("cls", "copies", F.posexplode("keys").alias("t", "cell"))
+    sizes = dealt.groupBy("cell").agg(F.count("*").alias("size")).where("size > 1")
     spread = (
-        dealt.join(sizes, "cell", "left").withColumn("blocks", blocks)
+        dealt.join(sizes, "cell").withColumn("blocks", F.ceil(F.col("size") / BLOCK_VECTORS).cast("long"))
         .withColumn("block", F.pmod(F.xxhash64("cls"), "blocks"))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select("cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                "block", "cls", "copies", "t", "keys", "v")
+                "block", "cls", "copies", "t")
     )
+    sent = spread.join(placed.select("cls", "v", "keys"), "cls").select(
+        "cell", "i", "j", "block", "cls", "copies", "t", "v", "keys")
 
     def compare(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in consecutive(source, 3):
             if table.num_rows > 1:
                 yield from _cell_links(table, plan, min_cosine)
 
-    found = spread.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j").mapInArrow(
+    found = sent.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j").mapInArrow(
         compare, "a long, b long, links long")
     found = keep(found, "vector-links")
+    forget(placed)
     counts = found.where(F.col("b").isNull()).groupBy("a").agg(F.sum("links").alias("links"))
     roots = components(found.where(F.col("b").isNotNull()).select("a", "b"))
     named = classes.select("cls", "copies", "least").join(roots, F.col("cls") == F.col("id"), "left").withColumn(
@@ -213,8 +214,9 @@ def _cell_links(table: pa.Table, plan: Plan, min_cosine: float) -> Iterator[pa.R
     """Links of one cell, or of a pair of its blocks: sums per class, and a spanning forest."""
     cls, copies = table.column(4).to_numpy(), table.column(5).to_numpy()
     t = int(table.column(6)[0].as_py())
-    keys = np.frombuffer(b"".join(table.column(7).to_pylist()), np.int64).reshape(len(cls), -1)
-    data = np.frombuffer(b"".join(table.column(8).to_pylist()), np.float64).reshape(len(cls), -1)
+    flat = table.column(7).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    data = unit(flat.astype(np.float64).reshape(len(cls), -1))
+    keys = table.column(8).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(cls), -1)
     same = table.column(1)[0].as_py() == table.column(2)[0].as_py()
     left = np.arange(len(cls)) if same else np.flatnonzero(table.column(3).to_numpy() == table.column(1)[0].as_py())
     right = left if same else np.setdiff1d(np.arange(len(cls)), left)
@@ -237,7 +239,3 @@ def _cell_links(table: pa.Table, plan: Plan, min_cosine: float) -> Iterator[pa.R
     b = np.array([y for _, y in forest], np.int64)
     yield pa.RecordBatch.from_arrays(
         [pa.array(cls[a]), pa.array(cls[b]), pa.nulls(len(a), pa.int64())], ["a", "b", "links"])
-
-
-def embedding_report(vectors: DataFrame) -> DataFrame:
-    return link_vectors(vectors)
