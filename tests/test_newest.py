@@ -36,6 +36,26 @@ def test_ten_thousand_phrases_in_one_pass(spark):
     assert phrases.match_phrases(articles, names.filter("false"), F.col("title")).count() == 0
 
 
+def test_phrases_come_to_the_articles_in_blocks(spark):
+    """Words of articles are never moved, and blocks of phrases give the same rows as all at once."""
+    rng = random.Random(5)
+    texts = [(k, " ".join(f"w{rng.randint(0, 30)}" for _ in range(12))) for k in range(80)]
+    asked = {" ".join(f"w{rng.randint(0, 30)}" for _ in range(rng.randint(1, 4))) for _ in range(300)}
+    articles = spark.createDataFrame(texts, "id long, title string")
+    names = spark.createDataFrame([(p,) for p in asked], "phrase string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = phrases.match_phrases(articles, names, F.col("title"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        whole = sorted(map(tuple, out.collect()))
+        parts = phrases.match_phrases(articles, names, F.col("title"), block_bytes=10_000).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted(map(tuple, parts)) == whole and whole
+
+
 def test_ranges_over_bursts_gaps_and_ties(spark):
     rng = random.Random(9)
     start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)

@@ -232,7 +232,8 @@ def feed_pages(spark, d):
 
 def _phrases_of_titles(documents: DataFrame) -> DataFrame:
     """The second and third word of every document as a phrase."""
-    found = F.slice(F.split("text", "[^\\p{L}\\p{N}]+"), 2, 2)
+    # A limit leaves the rest of the text uncut.
+    found = F.slice(F.split("text", "[^\\p{L}\\p{N}]+", 4), 2, 2)
     return documents.select(F.array_join(found, " ").alias("phrase"))
 
 
