@@ -262,3 +262,18 @@ def test_daily_sentiment(spark):
     assert first.attention_score_proxy == Decimal("0.30")
     assert utc(first.last_updated) == "2026-04-24 06:00:00.000000"
     assert second.article_count == 1
+
+
+def test_score_of_exactly_two_is_no_anomaly(spark):
+    """Whole volumes give exact scores, whose last digit does not depend on the order of adding."""
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = [("A", start + dt.timedelta(hours=k), 1.0, v)
+            for k, v in enumerate([46, 44, 48, 33, 41, 27, 44, 13])]
+    bars = spark.createDataFrame(rows, "ticker string, bar_time_ts timestamp, open double, volume bigint").selectExpr(
+        "*", "open AS high", "open AS low", "open AS close", "0.0D AS price_range")
+    last = gold.price_anomaly_flags(bars).orderBy(F.desc("bar_time_ts")).first()
+    assert (last["volume_zscore"], last["is_anomaly"]) == (-2.0, False)
+    # Values that are not whole, or too large to be squared, still have a deviation.
+    for volume in ("volume + 0.5D", "volume * 1000000000000"):
+        shifted = bars.withColumn("volume", F.expr(volume))
+        assert abs(gold.price_anomaly_flags(shifted).orderBy(F.desc("bar_time_ts")).first()["volume_zscore"] + 2) < 1e-9

@@ -12,7 +12,7 @@ from tickstream.constants import (
     ARTICLES_PER_ATTENTION_POINT,
     ROLLING_BARS,
 )
-from tickstream.functions.stats import exceeds, zscore
+from tickstream.functions.stats import exceeds, stddev_over, zscore
 from tickstream.functions.times import stamp
 from tickstream.operators.rolling import BY_SIZE, with_rolling
 from tickstream.schemas import GOLD_ANOMALY_COLUMNS, GOLD_SENTIMENT_COLUMNS
@@ -37,7 +37,7 @@ def rolling_stats(prices: DataFrame, n: int = ROLLING_BARS,
         rows=n,
         stats={
             "avg_volume": lambda w: F.avg("volume").over(w),
-            "stddev_volume": lambda w: F.stddev_samp("volume").over(w),
+            "stddev_volume": lambda w: stddev_over(F.col("volume"), w, n),
             "avg_range": lambda w: F.avg("price_range").over(w),
             "stddev_range": lambda w: F.stddev_samp("price_range").over(w),
         },
