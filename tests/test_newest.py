@@ -56,6 +56,14 @@ def test_phrases_come_to_the_articles_in_blocks(spark):
     assert sorted(map(tuple, parts)) == whole and whole
 
 
+def test_ranges_join_nothing(spark):
+    """A bar moves to its own day and to the first of its range, with what it found; nothing is joined."""
+    bars = spark.createDataFrame([], "ticker string, bar_time_ts timestamp, high double, low double, close double")
+    out = serving.year_ranges(bars)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.columns == [*bars.columns, "year_high", "year_low"]
+
+
 def test_ranges_over_bursts_gaps_and_ties(spark):
     rng = random.Random(9)
     start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)

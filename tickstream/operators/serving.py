@@ -102,39 +102,33 @@ def year_ranges(bars: DataFrame, ts: str = "bar_time_ts", days: int = YEAR_RANGE
     The range ends at the bar and begins the same time of day ``days`` earlier. It falls apart
     into the bar's own day up to the bar, the days between as one row each, and the end of the
     first day; each is found among the rows of one ticker and day, or one row per calendar day,
-    so a ticker's whole history is never sorted by one task. Bars without a time have only
-    themselves in range.
+    so a ticker's whole history is never sorted by one task. A bar moves twice: to its own day, then,
+    with what it found there, to the day in which its range begins; the days between come there
+    as one row, so nothing is joined. Bars without a time have only themselves in range.
     """
-    day, pairs = F.to_date(ts), (("high", F.max), ("low", F.min))
-    dated = bars.withColumn("_day", day)
+    pairs = (("high", F.max), ("low", F.min))
+    names = [c for c, _ in pairs]
+    dated = bars.withColumn("_day", F.to_date(ts))
+    timed = dated.filter(F.col(ts).isNotNull())
     own = Window.partitionBy("ticker", "_day").orderBy(ts).rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
-    whole = dated.filter(F.col(ts).isNotNull()).groupBy("ticker", "_day").agg(
-        *[best(c).alias(f"_{c}") for c, best in pairs])
+    whole = timed.groupBy("ticker", "_day").agg(*[best(c).alias(f"_{c}") for c, best in pairs])
     # Day numbers instead of dates: frames by value need numbers.
     number = F.datediff("_day", F.lit("1970-01-01"))
     between = Window.partitionBy("ticker").orderBy(number).rangeBetween(-(days - 1), -1)
-    full = whole.select("ticker", "_day", *[best(f"_{c}").over(between).alias(f"_{c}_between") for c, best in pairs])
-    # A bar asks the day ``days`` before its own what came from its time of day on.
-    asks = dated.filter(F.col(ts).isNotNull()).select(
-        "ticker", F.date_sub("_day", days).alias("_day"), F.col(ts).alias("_asker"),
-        (F.unix_micros(ts) - F.lit(days * 86_400_000_000)).alias("_at"),
-        *[F.lit(None).cast("double").alias(c) for c, _ in pairs]).distinct()
-    had = dated.filter(F.col(ts).isNotNull()).select(
-        "ticker", "_day", F.lit(None).cast("timestamp").alias("_asker"), F.unix_micros(ts).alias("_at"),
-        *[F.col(c).cast("double") for c, _ in pairs])
-    rest = Window.partitionBy("ticker", "_day").orderBy("_at").rangeBetween(Window.currentRow, Window.unboundedFollowing)
-    first = had.unionByName(asks).select(
-        "ticker", "_asker", *[best(c).over(rest).alias(f"_{c}_first") for c, best in pairs]).filter("_asker IS NOT NULL")
-    ranged = (
-        dated.withColumns({f"_{c}_own": F.when(F.col(ts).isNotNull(), best(c).over(own)).otherwise(F.col(c))
-                           for c, best in pairs})
-        .join(full.withColumnsRenamed({"ticker": "_t1", "_day": "_d1"}),
-              F.col("ticker").eqNullSafe(F.col("_t1")) & (F.col("_day") == F.col("_d1")), "left")
-        .join(first.withColumnRenamed("ticker", "_t2"),
-              F.col("ticker").eqNullSafe(F.col("_t2")) & (F.col(ts) == F.col("_asker")), "left")
-    )
-    return ranged.select(
+    first_day = F.date_sub("_day", days).alias("_day")
+    asks = dated.withColumns(
+        {f"_{c}_own": F.when(F.col(ts).isNotNull(), best(c).over(own)).otherwise(F.col(c)) for c, best in pairs}
+    ).select(*bars.columns, F.lit(True).alias("_ask"), first_day,
+             (F.unix_micros(ts) - F.lit(days * 86_400_000_000)).alias("_at"), *[f"_{c}_own" for c in names])
+    full = whole.select("ticker", first_day, *[best(f"_{c}").over(between).alias(f"_{c}_between") for c, best in pairs])
+    had = timed.select("ticker", "_day", F.unix_micros(ts).alias("_at"), *[F.col(c).alias(f"_{c}") for c in names])
+    met = asks.unionByName(had, allowMissingColumns=True).unionByName(full, allowMissingColumns=True)
+    here = Window.partitionBy("ticker", "_day")
+    rest = here.orderBy("_at").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    found = met.withColumns({f"_{c}_first": best(f"_{c}").over(rest) for c, best in pairs} | {
+        f"_{c}_between": best(f"_{c}_between").over(here) for c, best in pairs})
+    return found.filter("_ask").select(
         *bars.columns,
         F.greatest("_high_own", "_high_between", "_high_first").alias("year_high"),
         F.least("_low_own", "_low_between", "_low_first").alias("year_low"))
