@@ -5,6 +5,7 @@ from __future__ import annotations
 from helpers import bronze_news, ts
 from pyspark.sql import functions as F
 
+from tickstream import fixtures as fx
 from tickstream.operators.envelope import accepted, parse_messages, rejected, replay, sort_messages
 from tickstream.plans.batch import build_vector_table
 from tickstream.schemas import ENVELOPE, PRICE_PAYLOAD
@@ -84,3 +85,15 @@ def test_the_model_is_called_for_new_texts_only(spark, tmp_path):
     got = sorted(map(str, read_table(spark, lake.vectors, "parquet").collect()))
     build_vector_table(spark, lake, "parquet", make)
     assert got == sorted(map(str, read_table(spark, lake.vectors, "parquet").collect()))
+
+
+def test_broken_messages_are_made_where_documents_are_read(spark):
+    """No task reads a share of all documents that grows with them."""
+    documents = spark.createDataFrame(
+        [(1, "a\nb", "fr", "src1", 3), (2, "c\nd", "de", "src2", 3), (None, "e\nf", "en", "src3", 3)],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    broken = fx.broken_news_envelope(documents)
+    plan = broken._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    assert broken.columns == fx.news_envelope(documents).columns
+    assert sorted(r["offset"] for r in broken.collect()) == [1, 2]

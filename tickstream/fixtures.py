@@ -101,7 +101,7 @@ def bronze_prices(bars: DataFrame) -> DataFrame:
     )
 
 
-def _articles(documents: DataFrame) -> DataFrame:
+def _articles(documents: DataFrame, *extra: str) -> DataFrame:
     one_line = ~F.contains("text", F.lit("\n"))
     over_three_lines = F.substring_index("text", "\n", 3) != F.col("text")
     desk = F.substring_index("source", "src", -1).cast("int")
@@ -133,6 +133,7 @@ def _articles(documents: DataFrame) -> DataFrame:
         F.when(over_three_lines, F.lit("business")).otherwise(F.lit("general")).alias("category"),
         F.col("lang").alias("language"),
         F.col("doc_id").alias("position"),
+        *extra,
     )
 
 
@@ -142,11 +143,16 @@ def bronze_news(documents: DataFrame) -> DataFrame:
     Equal texts share a url. Stubs are withdrawn, long unbroken texts have no
     title, and texts of one line have no readable date.
     """
-    return _articles(documents).select(
+    return _bronze_news(documents)
+
+
+def _bronze_news(documents: DataFrame, *extra: str) -> DataFrame:
+    return _articles(documents, *extra).select(
         *NEWS_PAYLOAD.fieldNames(),
         F.col("arrival").alias("kafka_timestamp"),
         F.lit(0).alias("kafka_partition"),
         F.col("position").alias("kafka_offset"),
+        *extra,
     )
 
 
@@ -160,13 +166,14 @@ def raw_articles(documents: DataFrame) -> DataFrame:
     )
 
 
-def _envelope(bronze: DataFrame, payload: StructType, key: Column, topic: str) -> DataFrame:
+def _envelope(bronze: DataFrame, payload: StructType, key: Column, topic: str, *extra: str) -> DataFrame:
     return to_messages(
         bronze, payload, key, topic,
         F.col("kafka_partition").alias("partition"),
         F.col("kafka_offset").alias("offset"),
         F.col("kafka_timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
+        *extra,
     )
 
 
@@ -180,8 +187,8 @@ def news_envelope(documents: DataFrame) -> DataFrame:
 
 def broken_news_envelope(documents: DataFrame) -> DataFrame:
     """News messages as a faulty sender leaves them: by language, values are missing, not JSON or foreign."""
-    good = news_envelope(documents).join(
-        documents.select(F.col("doc_id").alias("offset"), "lang", "text"), "offset")
+    bronze = _bronze_news(documents, "lang", "text").filter(F.col("kafka_offset").isNotNull())
+    good = _envelope(bronze, NEWS_PAYLOAD, news_key(), NEWS_TOPIC, "lang", "text")
     value = (
         F.when(F.col("lang") == "fr", F.col("text").cast("binary"))
         .when((F.col("lang") == "de") & (F.length("text") % 2 == 0), F.lit(None).cast("binary"))
