@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 ARRIVAL = ("kafka_timestamp", "kafka_partition", "kafka_offset")
 
+# Cells of the bitmaps that stand in for repeated keys: 4 MB in all, however many keys repeat.
+REPEAT_CELLS = 1 << 25
+
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                 keep: str = "first") -> DataFrame:
@@ -25,6 +28,32 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return df.withColumn("_rn", F.row_number().over(ranked)).filter("_rn = 1").drop("_rn")
 
 
+def one_per_key_in_place(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+                         keep: str = "first", cells: int = REPEAT_CELLS) -> DataFrame:
+    """``one_per_key`` for wide rows, most of which have a key of their own.
+
+    Hashes of the keys are counted first. Those found more than once set a cell of a bitmap that is
+    sent to all tasks; rows whose cell is not set are alone with their key and stay where they are
+    read, and only the others are moved and ranked. A cell that is set by another key, or a full
+    bitmap, lets more rows be moved and changes no result. ``df`` is read three times, the first
+    time for ``keys`` alone.
+    """
+    repeated = df.groupBy(F.xxhash64(*keys).alias("_hash")).count().filter("count > 1")
+    cell = F.pmod("_hash", F.lit(cells))
+    # Bitmap functions number their places from 1.
+    placed = repeated.select(F.bitmap_bucket_number(cell + 1).alias("_bucket"),
+                             F.bitmap_bit_position(cell + 1).alias("_place"))
+    # Dealt by bucket before the bitmaps are made, so that none is moved.
+    bitmaps = placed.repartition("_bucket").groupBy("_bucket").agg(F.bitmap_construct_agg("_place").alias("_bits"))
+    found = df.withColumn("_hash", F.xxhash64(*keys)).withColumns({
+        "_bucket": F.bitmap_bucket_number(cell + 1), "_place": F.bitmap_bit_position(cell + 1).cast("int"),
+    }).join(F.broadcast(bitmaps), "_bucket", "left")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(F.col("_place") / 8) + 1).cast("int"), F.lit(1))), 16, 10)
+    is_set = F.coalesce(F.getbit(byte.cast("long"), F.col("_place") % 8) == 1, F.lit(False))
+    alone, others = (found.filter(rows).select(*df.columns) for rows in (~is_set, is_set))
+    return alone.unionAll(one_per_key(others, keys, order, keep))
+
+
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
                   rank: str = "rank") -> DataFrame:
     """The best ``n`` rows of every group, numbered from 1."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickstream.constants import REMOVED_TITLE
 from tickstream.functions.times import iso_instant, lenient_timestamp, stamp
-from tickstream.operators.dedup import ARRIVAL, one_per_key
+from tickstream.operators.dedup import ARRIVAL, one_per_key, one_per_key_in_place
 
 
 def valid_news(bronze: DataFrame) -> DataFrame:
@@ -23,8 +23,11 @@ def valid_prices(bronze: DataFrame) -> DataFrame:
 
 
 def silver_news(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """The first-seen valid article of every url, with parsed times."""
-    return one_per_key(valid_news(bronze), ["url"], ARRIVAL).withColumns({
+    """The first-seen valid article of every url, with parsed times.
+
+    Whole articles are moved only where a url repeats.
+    """
+    return one_per_key_in_place(valid_news(bronze), ["url"], ARRIVAL).withColumns({
         "published_at_ts": iso_instant(F.col("published_at")),
         "ingested_at_ts": iso_instant(F.col("ingested_at")),
         "silver_processed_at": stamp(as_of),
