@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_DIR
 from tickstream.plans import registry
+from tickstream.sources.tables import write_increment, write_table
 
 
 def test_changed_tables_get_a_new_lake(spark, tmp_path):
@@ -24,3 +26,13 @@ def test_changed_tables_get_a_new_lake(spark, tmp_path):
     two, again = lakes()
     assert two is again and two is not one
     assert spark.read.parquet(two.bronze("news")).count() > news
+
+
+def test_tables_of_whole_articles_are_written_in_a_small_codec(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a text")], "id long, text string").coalesce(1)
+    write_table(rows, f"{tmp_path}/whole", "parquet")
+    write_increment(rows, f"{tmp_path}/parts", 0, "parquet")
+    files = [*tmp_path.rglob("*.parquet")]
+    assert len(files) == 2
+    for file in files:
+        assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"

@@ -33,6 +33,7 @@ from tickstream.sources.tables import (
     sql_path,
     stored,
     table_exists,
+    write_table,
 )
 from tickstream.streaming.cycles import start_cycles, unseen
 from tickstream.streaming.ingest import run_to_end, start_news, start_prices, start_sorted_news
@@ -512,8 +513,8 @@ def _lake_after_batch(spark: SparkSession, d: str, **options) -> Lake:
     lake = _LAKES.get(key)
     if lake is None or not table_exists(spark, lake.gold("gold_daily_sentiment"), "parquet"):
         lake = Lake(work_path(spark, "lake"))
-        _bronze_news(spark, d).write.parquet(lake.bronze("news"))
-        _bronze_prices(spark, d).write.parquet(lake.bronze("prices"))
+        write_table(_bronze_news(spark, d), lake.bronze("news"), "parquet")
+        write_table(_bronze_prices(spark, d), lake.bronze("prices"), "parquet")
         run_batch(spark, lake, "parquet", **options)
         _LAKES[key] = lake
     return lake

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from tickstream.session import has_delta, work_path
 
 
+# Lake tables hold whole articles several times (bronze, silver, vectors): a codec that makes files smaller.
+CODECS = {"parquet": {"compression": "zstd"}}
+
+
 def default_format() -> str:
     return "delta" if has_delta() else "parquet"
 
@@ -108,8 +112,8 @@ def write_table(df: DataFrame, path: str, fmt: str | None = None,
     the table's place when it is complete, so a job that fails leaves the table as it was.
     """
     def save(out: DataFrame, target: str) -> None:
-        out.write.format(kind).mode("overwrite").option("overwriteSchema", "true").partitionBy(
-            *partition_by).save(target)
+        out.write.format(kind).mode("overwrite").option("overwriteSchema", "true").options(
+            **CODECS.get(kind, {})).partitionBy(*partition_by).save(target)
 
     kind = fmt or default_format()
     if kind == "delta":
@@ -141,8 +145,9 @@ def replace_parts(df: DataFrame, path: str, partition_by: tuple[str, ...], fmt:
 
 
 def _overwrite_parts(df: DataFrame, path: str, fmt: str | None, partition_by: tuple[str, ...]) -> None:
-    df.write.format(fmt or default_format()).mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
+    kind = fmt or default_format()
+    df.write.format(kind).mode("overwrite").option("partitionOverwriteMode", "dynamic").options(
+        **CODECS.get(kind, {})).partitionBy(*partition_by).save(path)
 
 
 def finished(spark: SparkSession, path: str) -> bool:
