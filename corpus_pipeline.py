@@ -23,7 +23,8 @@ def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that begin twice are removed; emptied documents go."""
+    """Strings of 400 bytes that begin twice are removed, and passages of 51 words that two
+    documents have; emptied documents go."""
     return suffix_dedup.cut_repeats(docs)
 
 

@@ -64,6 +64,31 @@ def removed_repeats(texts: list[str | None], length: int) -> list[tuple[int, int
     return out
 
 
+def cut_passages(texts: list[str | None], length: int, size: int) -> list[bytes]:
+    """The texts without repeated strings of ``length`` bytes and runs of ``size`` words that two rows have."""
+    bodies = [(t or "").encode() for t in texts]
+    seen = Counter(b[k:k + length] for b in bodies for k in range(len(b) - length + 1))
+    places = [[m.span() for m in WORD.finditer(b)] for b in bodies]
+    owners = defaultdict(set)
+    for row, b in enumerate(bodies):
+        found = WORD.findall(b)
+        for k in range(len(found) - size + 1):
+            owners[tuple(found[k:k + size])].add(row)
+    out = []
+    for b, place in zip(bodies, places):
+        gone = bytearray(len(b))
+        for k in range(len(b) - length + 1):
+            if seen[b[k:k + length]] > 1:
+                gone[k:k + length] = b"\1" * length
+        found = WORD.findall(b)
+        for k in range(len(found) - size + 1):
+            if len(owners[tuple(found[k:k + size])]) > 1:
+                first, last = place[k][0], place[k + size - 1][1]
+                gone[first:last] = b"\1" * (last - first)
+        out.append(bytes(x for x, g in zip(b, gone) if not g))
+    return out
+
+
 def rule_stats(text: str | None) -> tuple[int, int, int, int, int]:
     text = text or ""
     found = [w.decode() for w in words(text)]

@@ -115,3 +115,41 @@ def test_stage_drops_emptied_documents(spark, make_docs):
     assert {r["text"] for r in out.collect()} == {"tail ", "clean text", None, ""}
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert [r["n_chars"] for r in out.where("text = 'tail '").collect()] == [5]
+
+
+def test_passages_of_over_50_words_against_brute_force(spark, make_docs):
+    rng = random.Random(11)
+    def prose(n, letters="abcdeé"):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 5))) for _ in range(n))
+    short, barely, most = prose(51), prose(50), prose(59)
+    once = prose(60)
+    texts = [None, "", prose(30), prose(40) + " " + short + " " + prose(20), short + "\n" + prose(70),
+             prose(9) + "\n" + short.replace(" ", "\t\n", 7) + prose(9), "la " * 300, prose(5) + " la" * 70,
+             barely + " x " + prose(10), prose(3) + " y " + barely, once + " z " + once,
+             prose(80) + " " + most + " " + most + " end", most, prose(2000) + " " + short + " " + prose(900)]
+    texts += [prose(20) + " " + most[k:] + " " + prose(20) for k in (0, 3, 9, 40)]
+    texts += ["same " + prose(60), *_texts()]
+    texts.append(texts[-len(_texts()) - 1])
+    rows = suffix_dedup.remove_repeats(make_docs(texts), passage=51).orderBy("doc_id").collect()
+    want = brute.cut_passages(texts, 400, 51)
+    assert [bytes(r["kept"]) for r in rows] == want
+    assert short.encode() not in b"|".join(want) and barely.encode() in want[8] and once.encode() in want[10]
+
+
+def test_passages_of_long_texts_are_not_lost_between_pieces(spark, make_docs):
+    rng = random.Random(6)
+    found = ["".join(rng.choice("abcdef") for _ in range(4)) for _ in range(300_000)]
+    passage = " ".join(found[131_040:131_100])
+    assert len(passage) < suffix_dedup.LENGTH
+    docs = make_docs([" ".join(found), "q " + passage, *[" ".join(rng.sample(found, 9_000)) for _ in range(8)]])
+    rows = suffix_dedup.remove_repeats(docs, passage=51).orderBy("doc_id").collect()
+    at = 5 * 131_040
+    assert [[tuple(x) for x in r["removed"]] for r in rows] == [
+        [(at, at + len(passage))], [(2, 2 + len(passage))], *[[]] * 8]
+
+
+def test_stage_removes_passages_shorter_than_its_strings(spark, make_docs):
+    passage = " ".join(f"w{k}" for k in range(51))
+    assert len(passage) < suffix_dedup.LENGTH
+    out = suffix_dedup.cut_repeats(make_docs([f"one {passage} two", f"three {passage}", f"four {passage[:-4]} w"]))
+    assert {r["text"] for r in out.collect()} == {"one  two", "three ", f"four {passage[:-4]} w"}

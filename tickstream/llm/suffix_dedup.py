@@ -12,11 +12,17 @@
 4. Anchors with more text than a shard holds are cut over several. Their
    shards hand on sorted runs of window hashes, which are merged by binary search.
 5. The documents get their repeated windows back and lose the bytes these cover.
+
+Passages of many words may have fewer bytes than ``length``. Where they are asked for, texts
+are taken as runs of word hashes too: their segments meet by anchors in the same way, those
+that two documents have are shared as a whole, and under anchors with different segments one
+copy of each gives its windows, counted by hash. Words end at ``[\\x20\\x09-\\x0D]`` and are
+compared by their bytes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickstream.llm.frames import (
-    as_bytes, extended, filter_by_bitmap, keep, key_bitmap, session_of, text_key,
+    as_bytes, extended, filter_by_bitmap, forget, keep, key_bitmap, session_of, text_key,
 )
 from tickstream.llm.suffix_array import repeated_starts
-from tickstream.llm.textbatch import PIECE_BYTES, Rolling, mix, pieces, text_bytes
+from tickstream.llm.textbatch import PIECE_BYTES, Rolling, mix, pieces, row_bounds, text_bytes, words
 
 LENGTH = 400
+# Words of a passage that the pipeline removes besides: more than 50, whatever their bytes.
+PASSAGE = 51
 # Bytes hashed at each place to choose anchors: so many that few repeat by chance, and few
 # enough that a window has many places to choose from.
 GRAM = 128
@@ -41,7 +49,8 @@ _PLACE = np.uint64((1 << 23) - 1)
 def anchored(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """Segments of joined texts: anchor hash, two hashes of the segment, row, start, windows.
 
-    ``start`` is in bytes from the row's beginning. The array must be below 8 MB.
+    ``start`` is in letters from the row's beginning; a letter is a byte, or a word given by
+    its 64-bit hash. There must be fewer than 2**23.
     """
     none = np.zeros(0, np.int64)
     if len(data) < length:
@@ -100,8 +109,24 @@ def _cut_rows(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tu
 
 SEGMENT = "h long, s1 long, s2 long, t1 long, t2 long, start long, more binary, windows int"
 
+Letters = Callable[[pa.Array], Iterator[tuple[int, np.ndarray, np.ndarray]]]
+
+
+def byte_letters(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, letters and offsets of a whole column."""
+    yield 0, *text_bytes(column)
+
+
+def word_letters(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, word hashes and offsets of a column's rows, piece by piece."""
+    data, offsets = text_bytes(column)
+    for a, b in pieces(offsets):
+        part = data[offsets[a]:offsets[b]]
+        start, end, row = words(part, offsets[a:b + 1] - offsets[a])
+        yield a, Rolling(part, 1)(start, end), row_bounds(row, b - a)
+
 
-def segments(docs: DataFrame, length: int, text: str = "text") -> DataFrame:
+def segments(docs: DataFrame, length: int, text: str = "text", letters: Letters = byte_letters) -> DataFrame:
     """All segments of all texts; ``t1`` and ``t2`` name the text.
 
     A text that repeats a segment has one row for it, with its first start and, in
@@ -112,14 +137,15 @@ def segments(docs: DataFrame, length: int, text: str = "text") -> DataFrame:
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             t1, t2 = (batch.column(k).to_numpy() for k in (0, 1))
-            data, offsets = text_bytes(batch.column(2))
-            for part, bounds, rows, begin in _cut_rows(data, offsets, length):
-                h, s1, s2, row, start, count = anchored(part, bounds, length)
-                start = start + begin[row]
-                first, more = _repeated_rows(mix(s1.view(np.uint64) ^ mix(row.view(np.uint64))), start)
-                yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(x[first]) for x in (h.view(np.int64), s1, s2, t1[rows[row]], t2[rows[row]], start)],
-                     pa.array(more, pa.binary()), pa.array(count[first].astype(np.int32))], names)
+            for base, data, offsets in letters(batch.column(2)):
+                for part, bounds, rows, begin in _cut_rows(data, offsets, length):
+                    h, s1, s2, row, start, count = anchored(part, bounds, length)
+                    start = start + begin[row]
+                    first, more = _repeated_rows(mix(s1.view(np.uint64) ^ mix(row.view(np.uint64))), start)
+                    own = rows[row] + base
+                    yield pa.RecordBatch.from_arrays(
+                        [*[pa.array(x[first]) for x in (h.view(np.int64), s1, s2, t1[own], t2[own], start)],
+                         pa.array(more, pa.binary()), pa.array(count[first].astype(np.int32))], names)
 
     return docs.select(*text_key(text), as_bytes(text).alias("body")).mapInArrow(run, SEGMENT)
 
@@ -316,8 +342,72 @@ def _merged(runs: list[np.ndarray]) -> pa.RecordBatch:
         ["s1", "s2", "at", "marked"])
 
 
+WINDOW = "w1 long, w2 long, s1 long, s2 long, at int, text long, whole boolean"
+
+
+def shared_windows(docs: DataFrame, size: int, text: str = "text") -> DataFrame:
+    """Runs of windows of ``size`` words that two rows have: (t1, t2, start, more, at, windows).
+
+    As ``repeated_windows``, counted in words; what only one row repeats is not among them.
+    """
+    found = keep(segments(docs, size, text, word_letters), "passage-segments")
+    anchors = found.groupBy("h").agg(
+        F.count("*").alias("rows"), F.min("s1").alias("lo"), F.max("s1").alias("hi"))
+    anchors = keep(anchors.where("rows > 1").select("h", (F.col("lo") != F.col("hi")).alias("mixed")),
+                   "passage-anchors")
+    # Equal rows are rows with the same text.
+    live = filter_by_bitmap(found, "h", key_bitmap(anchors.select("h"))).groupBy(
+        "h", "s1", "s2", "t1", "t2", "start", "more", "windows").agg(F.count("*").alias("copies"))
+    live = keep(live.join(anchors, "h"), "passage-live")
+    forget(found)
+    forget(anchors)
+
+    kinds = live.groupBy("s1", "s2", "mixed", "windows").agg(
+        F.min(F.struct("t1", "t2", "start")).alias("one"),
+        ((F.min("t1") != F.max("t1")) | (F.max("copies") > 1)).alias("whole"))
+    kinds = keep(kinds.where("mixed or whole"), "passage-kinds")
+    every = keep(_passage_windows(docs, kinds.where("mixed"), size, text), "passage-windows")
+    shared = every.groupBy("w1", "w2").agg(
+        (F.bool_or("whole") | (F.min("text") != F.max("text"))).alias("shared")).where("shared")
+    marks = every.where("not whole").join(shared, ["w1", "w2"]).select(
+        "s1", "s2", "at", F.lit(1).alias("marked"))
+    whole = kinds.where("whole").select("s1", "s2", F.lit(0).alias("at"), F.col("windows").alias("marked"))
+    return live.join(whole.unionAll(marks), ["s1", "s2"]).select(
+        "t1", "t2", "start", "more", "at", F.col("marked").alias("windows"))
+
+
+def _passage_windows(docs: DataFrame, kinds: DataFrame, size: int, text: str) -> DataFrame:
+    """All windows of the segments, hashed from one copy of each text."""
+    wanted = kinds.select("one.t1", "one.t2", F.struct("one.start", "windows", "s1", "s2", "whole").alias("a"))
+    texts = docs.select(*text_key(text), as_bytes(text).alias("body"))
+    texts = filter_by_bitmap(texts, "t1", key_bitmap(wanted.select("t1")))
+    asked = wanted.groupBy("t1", "t2").agg(F.collect_list("a").alias("asked"))
+    one = texts.groupBy("t1", "t2").agg(F.first("body").alias("body")).join(asked, ["t1", "t2"])
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            for base, code, bounds in word_letters(batch.column(1)):
+                part = batch.slice(base, len(bounds) - 1)
+                lists = part.column(2)
+                flat = lists.flatten()
+                start, windows, s1, s2 = (flat.field(k).to_numpy() for k in range(4))
+                row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+                owner = np.repeat(np.arange(len(start)), windows)
+                inside = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+                at = bounds[row[owner]] + start[owner] + inside
+                one, two = (Rolling(code, seed)(at, at + size).view(np.int64) for seed in (1, 2))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (one, two, s1[owner], s2[owner], inside.astype(np.int32),
+                                           part.column(0).to_numpy()[row[owner]],
+                                           flat.field(4).to_numpy(zero_copy_only=False)[owner])],
+                    ["w1", "w2", "s1", "s2", "at", "text", "whole"])
+
+    return one.select("t1", "body", "asked").mapInArrow(run, WINDOW)
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text",
-                   kept: str = "kept", removed: str = "removed", keep_text: bool = True) -> DataFrame:
+                   kept: str = "kept", removed: str = "removed", keep_text: bool = True,
+                   passage: int | None = None) -> DataFrame:
     """The frame with the bytes that stay and the removed runs (replaced where they exist).
 
     Every byte covered by a string of ``length`` bytes that also starts anywhere else in
@@ -325,11 +415,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text",
     on the input. ``kept`` is binary, since cuts may fall inside characters;
     ``removed`` lists maximal runs as start and end in bytes. Null counts as empty; shorter
     texts are left alone; repeated rows are occurrences like any other. ``keep_text=False``
-    leaves the text itself out.
+    leaves the text itself out. With ``passage``, runs of so many words that another row has
+    too are removed as well, from their first word to their last.
     """
     session_of(docs)
-    marks = repeated_windows(docs, length, text).groupBy("t1", "t2").agg(
-        F.collect_list(F.struct("start", "more", "at", "windows")).alias("marks"))
+    marks = repeated_windows(docs, length, text).withColumn("unit", F.lit(0))
+    if passage:
+        marks = marks.unionByName(shared_windows(docs, passage, text).withColumn("unit", F.lit(1)))
+    marks = marks.groupBy("t1", "t2").agg(
+        F.collect_list(F.struct("start", "more", "at", "windows", "unit")).alias("marks"))
     marks = marks.select(F.col("t1").alias("__m1"), F.col("t2").alias("__m2"), F.col("marks").alias("__marks"))
     base = docs.drop(*[c for c in (kept, removed) if c != text])
     one, two = text_key(text)
@@ -343,8 +437,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text",
             bodies, spans = batch.column(batch.num_columns - 1), batch.column(batch.num_columns - 2)
             left, gone = [], []
             for body, marked in zip(bodies, spans):
-                runs = _covered(marked, length)
                 raw, at, parts = body.as_buffer(), 0, []
+                runs = _covered(marked, raw, length, passage)
                 view = memoryview(raw)
                 for a, b in runs:
                     parts.append(view[at:a])
@@ -361,17 +455,24 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text",
     return joined.mapInArrow(run, schema)
 
 
-def _covered(marks: pa.Scalar, length: int) -> list[tuple[int, int]]:
+def _covered(marks: pa.Scalar, body: pa.Buffer, length: int, passage: int | None) -> list[tuple[int, int]]:
     """Maximal byte runs covered by runs of windows."""
     if not marks.is_valid:
         return []
     flat = marks.values
-    at, windows = flat.field(2).to_numpy(), flat.field(3).to_numpy()
+    at, windows, unit = (flat.field(k).to_numpy() for k in (2, 3, 4))
     start = flat.field(0).to_numpy() + at
     for k in np.flatnonzero(flat.field(1).is_valid().to_numpy(zero_copy_only=False)):
         more = np.frombuffer(flat.field(1)[int(k)].as_py(), np.int64) + at[k]
-        start, windows = np.concatenate([start, more]), np.concatenate([windows, np.full(len(more), windows[k])])
+        start = np.concatenate([start, more])
+        windows, unit = (np.concatenate([x, np.full(len(more), x[k])]) for x in (windows, unit))
     stop = start + windows + length - 1
+    worded = unit == 1
+    if worded.any():
+        data = np.frombuffer(body, np.uint8)
+        first, last, _ = words(data, np.array([0, len(data)]))
+        stop[worded] = last[(start + windows + passage - 2)[worded]]
+        start[worded] = first[start[worded]]
     order = np.argsort(start)
     start, stop = start[order], np.maximum.accumulate(stop[order])
     new = np.ones(len(start), bool)
@@ -390,13 +491,13 @@ def repeat_report(docs: DataFrame) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Pipeline stage: the documents without repeated strings; emptied ones are dropped.
+def cut_repeats(docs: DataFrame, length: int = LENGTH, passage: int | None = PASSAGE) -> DataFrame:
+    """Pipeline stage: the documents without repeated strings and passages; emptied ones are dropped.
 
     A character cut in two becomes a replacement character. ``n_chars`` follows the text.
     """
     columns = docs.columns
-    cut = remove_repeats(docs, length, kept="__kept", removed="__removed")
+    cut = remove_repeats(docs, length, kept="__kept", removed="__removed", passage=passage)
     text = F.when(F.size("__removed") > 0, F.make_valid_utf8(F.col("__kept").cast("string"))).otherwise(F.col("text"))
     out = cut.where((F.octet_length("__kept") > 0) | (F.size("__removed") == 0)).withColumn("text", text)
     if "n_chars" in columns:

@@ -54,14 +54,15 @@ def _powers(seed: int, log_size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Rolling:
-    """Hashes of any substring of one byte array."""
+    """Hashes of any run of one array of bytes, or of words given by 64-bit hashes."""
 
     def __init__(self, data: np.ndarray, seed: int = 1, fold: bool = False):
         # One size of table serves all pieces; only longer single texts need another.
         log_size = max(18, len(data).bit_length())
         powers, self.inverse = _powers(seed, log_size)
         self.sums = np.zeros(len(data) + 1, U64)
-        np.cumsum(letter_codes(seed, fold)[data] * powers[:len(data)], out=self.sums[1:])
+        codes = mix(data + U64(seed)) if data.dtype == U64 else letter_codes(seed, fold)[data]
+        np.cumsum(codes * powers[:len(data)], out=self.sums[1:])
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.inverse[start])
