@@ -153,3 +153,18 @@ def test_stage_removes_passages_shorter_than_its_strings(spark, make_docs):
     assert len(passage) < suffix_dedup.LENGTH
     out = suffix_dedup.cut_repeats(make_docs([f"one {passage} two", f"three {passage}", f"four {passage[:-4]} w"]))
     assert {r["text"] for r in out.collect()} == {"one  two", "three ", f"four {passage[:-4]} w"}
+
+
+def test_report_counts_passages_shorter_than_its_strings(spark, make_docs):
+    passage = " ".join(f"w{k}" for k in range(51))
+    long = " ".join(f"{k:08d}" for k in range(51))
+    assert len(passage) < suffix_dedup.LENGTH < len(long)
+    texts = [f"one {passage} two", f"three {passage}", f"four {passage[:-4]} w", f"{passage}", None, "",
+             f"{long} five {passage}", f"six {long}", "x" * 500, "x" * 500]
+    rows = suffix_dedup.repeat_report(make_docs(texts)).orderBy("doc_id").collect()
+    assert [(r["n_passages"], r["n_passage_bytes"]) for r in rows] == [
+        (1, len(passage))] * 2 + [(0, 0), (1, len(passage)), (0, 0), (0, 0),
+                                  (2, len(long) + len(passage)), (1, len(long)), (0, 0), (0, 0)]
+    got = [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows]
+    assert got == brute.removed_repeats(texts, 400)
+    assert [r["n_removed"] > 0 for r in rows] == [False] * 6 + [True] * 4

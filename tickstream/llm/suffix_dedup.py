@@ -17,7 +17,8 @@ Passages of many words may have fewer bytes than ``length``. Where they are aske
 are taken as runs of word hashes too: their segments meet by anchors in the same way, those
 that two documents have are shared as a whole, and under anchors with different segments one
 copy of each gives its windows, counted by hash. Words end at ``[\\x20\\x09-\\x0D]`` and are
-compared by their bytes.
+compared by their bytes. The pipeline removes such passages; the report counts them beside
+what it removes.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from tickstream.llm.suffix_array import repeated_starts
 from tickstream.llm.textbatch import PIECE_BYTES, Rolling, mix, pieces, row_bounds, text_bytes, words
 
 LENGTH = 400
-# Words of a passage that the pipeline removes besides: more than 50, whatever their bytes.
+# Words of a passage that the pipeline removes and the report counts besides: more than 50, whatever their bytes.
 PASSAGE = 51
 # Bytes hashed at each place to choose anchors: so many that few repeat by chance, and few
 # enough that a window has many places to choose from.
@@ -407,7 +408,7 @@ def _passage_windows(docs: DataFrame, kinds: DataFrame, size: int, text: str) ->
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text",
                    kept: str = "kept", removed: str = "removed", keep_text: bool = True,
-                   passage: int | None = None) -> DataFrame:
+                   passage: int | None = None, passages: str | None = None) -> DataFrame:
     """The frame with the bytes that stay and the removed runs (replaced where they exist).
 
     Every byte covered by a string of ``length`` bytes that also starts anywhere else in
@@ -416,7 +417,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text",
     ``removed`` lists maximal runs as start and end in bytes. Null counts as empty; shorter
     texts are left alone; repeated rows are occurrences like any other. ``keep_text=False``
     leaves the text itself out. With ``passage``, runs of so many words that another row has
-    too are removed as well, from their first word to their last.
+    too are removed as well, from their first word to their last; if ``passages`` names a
+    column, they stay and are listed there like the removed ones.
     """
     session_of(docs)
     marks = repeated_windows(docs, length, text).withColumn("unit", F.lit(0))
@@ -425,7 +427,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text",
     marks = marks.groupBy("t1", "t2").agg(
         F.collect_list(F.struct("start", "more", "at", "windows", "unit")).alias("marks"))
     marks = marks.select(F.col("t1").alias("__m1"), F.col("t2").alias("__m2"), F.col("marks").alias("__marks"))
-    base = docs.drop(*[c for c in (kept, removed) if c != text])
+    lists = [removed, passages] if passages else [removed]
+    base = docs.drop(*[c for c in (kept, *lists) if c != text])
     one, two = text_key(text)
     joined = base.withColumn("__t1", one).withColumn("__t2", two).join(
         marks, (F.col("__t1") == F.col("__m1")) & (F.col("__t2") == F.col("__m2")), "left")
@@ -435,31 +438,37 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text",
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             bodies, spans = batch.column(batch.num_columns - 1), batch.column(batch.num_columns - 2)
-            left, gone = [], []
+            left, found = [], [[] for _ in lists]
             for body, marked in zip(bodies, spans):
                 raw, at, parts = body.as_buffer(), 0, []
-                runs = _covered(marked, raw, length, passage)
+                runs = _covered(marked, raw, length, passage, (0,) if passages else (0, 1))
                 view = memoryview(raw)
                 for a, b in runs:
                     parts.append(view[at:a])
                     at = b
                 parts.append(view[at:])
                 left.append(b"".join(parts))
-                gone.append([{"start": a, "end": b} for a, b in runs])
+                found[0].append([{"start": a, "end": b} for a, b in runs])
+                if passages:
+                    found[1].append([{"start": a, "end": b} for a, b in _covered(marked, raw, length, passage, (1,))])
+            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-2], pa.array(left, pa.binary()),
-                 pa.array(gone, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                [*batch.schema.names[:-2], kept, removed])
+                [*batch.columns[:-2], pa.array(left, pa.binary()), *[pa.array(x, kind) for x in found]],
+                [*batch.schema.names[:-2], kept, *lists])
 
-    schema = extended(base, {kept: "binary", removed: "array<struct<start: long, end: long>>"})
+    schema = extended(base, {kept: "binary"} | dict.fromkeys(lists, "array<struct<start: long, end: long>>"))
     return joined.mapInArrow(run, schema)
 
 
-def _covered(marks: pa.Scalar, body: pa.Buffer, length: int, passage: int | None) -> list[tuple[int, int]]:
-    """Maximal byte runs covered by runs of windows."""
+def _covered(marks: pa.Scalar, body: pa.Buffer, length: int, passage: int | None,
+             units: tuple[int, ...]) -> list[tuple[int, int]]:
+    """Maximal byte runs covered by runs of windows, of bytes (unit 0) or of words (1)."""
     if not marks.is_valid:
         return []
     flat = marks.values
+    flat = flat.filter(pa.array(np.isin(flat.field(4).to_numpy(), units)))
+    if not len(flat):
+        return []
     at, windows, unit = (flat.field(k).to_numpy() for k in (2, 3, 4))
     start = flat.field(0).to_numpy() + at
     for k in np.flatnonzero(flat.field(1).is_valid().to_numpy(zero_copy_only=False)):
@@ -483,12 +492,18 @@ def _covered(marks: pa.Scalar, body: pa.Buffer, length: int, passage: int | None
 
 
 def repeat_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and a digest of the bytes that stay."""
-    cut = remove_repeats(docs.select("doc_id", "text"), keep_text=False)
-    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda total, r: total + r["end"] - r["start"])
+    """doc_id, n_bytes, n_removed, n_spans and a digest of the bytes that stay; n_passages and n_passage_bytes.
+
+    The last two are the runs of over 50 words that another document has, and their bytes. They
+    are counted, not removed: a passage of fewer bytes than ``LENGTH`` stays whole.
+    """
+    cut = remove_repeats(docs.select("doc_id", "text"), keep_text=False, passage=PASSAGE, passages="passages")
+    gone, shared = (F.aggregate(name, F.lit(0).cast("long"), lambda total, r: total + r["end"] - r["start"])
+                    for name in ("removed", "passages"))
     return cut.select(
         "doc_id", (F.octet_length("kept") + gone).alias("n_bytes"), gone.alias("n_removed"),
-        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        F.size("passages").cast("long").alias("n_passages"), shared.alias("n_passage_bytes"))
 
 
 def cut_repeats(docs: DataFrame, length: int = LENGTH, passage: int | None = PASSAGE) -> DataFrame:
