@@ -182,6 +182,8 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, text: str = "text")
         "h", "s1", "s2", "t1", "t2", "start", "more", "windows").agg(
         (F.count("*") * F.first(starts)).alias("copies"))
     live = keep(live.join(anchors, "h"), "live-segments")
+    forget(found)
+    forget(anchors)
 
     kinds = live.groupBy("h", "s1", "s2", "mixed", "windows").agg(
         F.sum("copies").alias("copies"), F.min(F.struct("t1", "t2", "start")).alias("one"))
@@ -437,58 +439,72 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text",
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            bodies, spans = batch.column(batch.num_columns - 1), batch.column(batch.num_columns - 2)
-            left, found = [], [[] for _ in lists]
-            for body, marked in zip(bodies, spans):
-                raw, at, parts = body.as_buffer(), 0, []
-                runs = _covered(marked, raw, length, passage, (0,) if passages else (0, 1))
-                view = memoryview(raw)
-                for a, b in runs:
-                    parts.append(view[at:a])
-                    at = b
-                parts.append(view[at:])
-                left.append(b"".join(parts))
-                found[0].append([{"start": a, "end": b} for a, b in runs])
-                if passages:
-                    found[1].append([{"start": a, "end": b} for a, b in _covered(marked, raw, length, passage, (1,))])
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+            if not batch.num_rows:
+                continue
+            bodies = batch.column(batch.num_columns - 1)
+            row, start, stop, worded = _places(batch.column(batch.num_columns - 2), bodies, length, passage)
+            parts = [~worded, worded] if passages else [slice(None)]
+            spans = [_maximal(row[k], start[k], stop[k]) for k in parts]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-2], pa.array(left, pa.binary()), *[pa.array(x, kind) for x in found]],
+                [*batch.columns[:-2], _without(bodies, *spans[0]), *[_span_lists(batch.num_rows, *x) for x in spans]],
                 [*batch.schema.names[:-2], kept, *lists])
 
     schema = extended(base, {kept: "binary"} | dict.fromkeys(lists, "array<struct<start: long, end: long>>"))
     return joined.mapInArrow(run, schema)
 
 
-def _covered(marks: pa.Scalar, body: pa.Buffer, length: int, passage: int | None,
-             units: tuple[int, ...]) -> list[tuple[int, int]]:
-    """Maximal byte runs covered by runs of windows, of bytes (unit 0) or of words (1)."""
-    if not marks.is_valid:
-        return []
-    flat = marks.values
-    flat = flat.filter(pa.array(np.isin(flat.field(4).to_numpy(), units)))
-    if not len(flat):
-        return []
+def _places(marks: pa.Array, bodies: pa.Array, length: int, passage: int | None) -> tuple[np.ndarray, ...]:
+    """Bytes that each run of windows covers, of all rows: row, start, stop and whether it counts words."""
+    flat = marks.flatten()
+    row = np.repeat(np.arange(len(marks)), marks.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
     at, windows, unit = (flat.field(k).to_numpy() for k in (2, 3, 4))
     start = flat.field(0).to_numpy() + at
-    for k in np.flatnonzero(flat.field(1).is_valid().to_numpy(zero_copy_only=False)):
-        more = np.frombuffer(flat.field(1)[int(k)].as_py(), np.int64) + at[k]
-        start = np.concatenate([start, more])
-        windows, unit = (np.concatenate([x, np.full(len(more), x[k])]) for x in (windows, unit))
+    several = np.flatnonzero(flat.field(1).is_valid().to_numpy(zero_copy_only=False))
+    if len(several):
+        more = [np.frombuffer(flat.field(1)[int(k)].as_py(), np.int64) + at[k] for k in several]
+        times = [len(x) for x in more]
+        start = np.concatenate([start, *more])
+        row, windows, unit = (np.concatenate([x, np.repeat(x[several], times)]) for x in (row, windows, unit))
     stop = start + windows + length - 1
     worded = unit == 1
     if worded.any():
-        data = np.frombuffer(body, np.uint8)
-        first, last, _ = words(data, np.array([0, len(data)]))
-        stop[worded] = last[(start + windows + passage - 2)[worded]]
-        start[worded] = first[start[worded]]
-    order = np.argsort(start)
-    start, stop = start[order], np.maximum.accumulate(stop[order])
-    new = np.ones(len(start), bool)
-    new[1:] = start[1:] > stop[:-1]
-    first = np.flatnonzero(new)
-    last = np.append(first[1:] - 1, len(start) - 1)
-    return list(zip(start[first].tolist(), stop[last].tolist()))
+        own, k = np.unique(row[worded], return_inverse=True)
+        data, offsets = text_bytes(bodies.take(pa.array(own)))
+        first, last, word_row = words(data, offsets)
+        word = row_bounds(word_row, len(own))[k] + start[worded]
+        start[worded] = first[word] - offsets[k]
+        stop[worded] = last[word + windows[worded] + passage - 2] - offsets[k]
+    return row, start, stop, worded
+
+
+def _maximal(row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of the places, by row and start."""
+    order = np.lexsort((start, row))
+    row, start, stop = row[order], start[order], stop[order]
+    # A row's places lie behind all of the row before.
+    lift = row << 32
+    reach = np.maximum.accumulate(stop + lift)
+    first = np.flatnonzero(np.concatenate([[True], (start + lift)[1:] > reach[:-1]])[:len(row)])
+    last = np.append(first[1:], len(row))[:len(first)] - 1
+    return row[first], start[first], (reach[last] - lift[first])
+
+
+def _without(bodies: pa.Array, row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Array:
+    """The texts without their maximal runs."""
+    data, offsets = text_bytes(bodies)
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[offsets[row] + start] += 1
+    edge[offsets[row] + stop] -= 1
+    stay = data[np.cumsum(edge[:-1], dtype=np.int8) == 0]
+    gone = np.zeros(len(offsets), np.int64)
+    np.add.at(gone, row + 1, stop - start)
+    ends = (offsets - np.cumsum(gone)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bodies), [None, pa.py_buffer(ends), pa.py_buffer(stay)])
+
+
+def _span_lists(rows: int, row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Array:
+    spans = pa.StructArray.from_arrays([pa.array(start), pa.array(stop)], ["start", "end"])
+    return pa.ListArray.from_arrays(pa.array(row_bounds(row, rows), pa.int32()), spans)
 
 
 def repeat_report(docs: DataFrame) -> DataFrame:
